@@ -1,0 +1,165 @@
+"""Collaborative filtering, catalogue ranking and similar items."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.vectors import as_doubles, unit
+from ..session import ensure_checkpoint_dir
+from .numbering import dense_index, take_n, top_k_per_key
+from .ratings import prediction_error
+
+# Rows of each side that meet in one task of a vector product.
+CELL_ROWS = 2048
+
+# Scores are compared at this many decimals, so that equal vectors tie and fall back to the id.
+SCORE_DIGITS = 9
+
+
+def als_train(
+    ratings: DataFrame,
+    rank: int = 10,
+    max_iter: int = 20,
+    reg: float = 0.01,
+    seed: int = 7,
+    blocks: int = 10,
+) -> ALSModel:
+    """Explicit-feedback ALS on (user, item, rate); pairs with unseen ids get no prediction."""
+    ensure_checkpoint_dir(ratings.sparkSession)  # ALS cuts its own lineage there
+    als = ALS(
+        rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
+        numUserBlocks=blocks, numItemBlocks=blocks,
+        userCol="user", itemCol="item", ratingCol="rate",
+        coldStartStrategy="drop",
+    )
+    return als.fit(ratings)
+
+
+def als_factors(model: ALSModel) -> DataFrame:
+    """side ('user' / 'item'), id, features."""
+    users = model.userFactors.select(F.lit("user").alias("side"), "id", "features")
+    return users.unionByName(model.itemFactors.select(F.lit("item").alias("side"), "id", "features"))
+
+
+def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """user, item, pred for the given pairs; pairs with unseen ids vanish."""
+    scored = model.transform(pairs.select("user", "item"))
+    return scored.select("user", "item", F.col("prediction").cast("double").alias("pred"))
+
+
+def als_evaluate(model: ALSModel, ratings: DataFrame) -> DataFrame:
+    """Mean squared error of the model on ratings, repeated pairs multiplied."""
+    return prediction_error(ratings, als_predict(model, ratings))
+
+
+def recommend_top_n(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
+    """user, rank, item, score: the n best items for the given users, or for all."""
+    lists = (
+        model.recommendForAllUsers(n) if users is None
+        else model.recommendForUserSubset(users.select("user").distinct(), n)
+    )
+    return lists.select("user", F.posexplode("recommendations").alias("_at", "_r")).select(
+        "user", (F.col("_at") + 1).alias("rank"), F.col("_r.item").alias("item"),
+        F.col("_r.rating").cast("double").alias("score"),
+    )
+
+
+def _best_in_cell(n: int):
+    def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        if users.empty or items.empty:
+            return pd.DataFrame({"user": [], "item": [], "score": []}).astype(
+                {"user": "int64", "item": "int64", "score": "float64"}
+            )
+        items = items.sort_values("id")
+        products = np.stack(users["vector"]) @ np.stack(items["vector"]).T
+        products = np.round(products, SCORE_DIGITS)
+        # Columns are in id order, so a stable sort breaks ties by id.
+        best = np.argsort(-products, axis=1, kind="stable")[:, :n]
+        return pd.DataFrame({
+            "user": np.repeat(users["id"].to_numpy(), best.shape[1]),
+            "item": items["id"].to_numpy()[best].ravel(),
+            "score": np.take_along_axis(products, best, axis=1).ravel(),
+        })
+
+    return score
+
+
+def top_products(
+    users: DataFrame, items: DataFrame, n: int, cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """user, rank, item, score: the n items with the largest vector product per user.
+
+    Both inputs are (id bigint, vector array<double>). The user x item grid is
+    cut into cells of about ``cell_rows`` by ``cell_rows``; each side is sent
+    once to every cell in its row or column, a cell is one matrix product, and
+    only the cell's n best per user leave it. No cross join is planned and no
+    task holds more than one cell.
+    """
+    bands = max(1, -(-users.count() // cell_rows))
+    stacks = max(1, -(-items.count() // cell_rows))
+
+    def placed(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
+        return df.select(
+            "id", "vector",
+            F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
+        )
+
+    left = placed(users, "_band", bands, "_stack", stacks).groupBy("_band", "_stack")
+    right = placed(items, "_stack", stacks, "_band", bands).groupBy("_band", "_stack")
+    best = left.cogroup(right).applyInPandas(
+        _best_in_cell(n), "user bigint, item bigint, score double"
+    )
+    return top_k_per_key(best, n, ["user"], [F.col("score").desc(), "item"]).select(
+        "user", "rank", "item", "score"
+    )
+
+
+def as_vectors(df: DataFrame, id_column: str, vector: str, normalise: bool = False) -> DataFrame:
+    """Any id and vector columns -> (id bigint, vector array<double>); zero vectors go when normalised."""
+    values = unit(vector) if normalise else as_doubles(vector)
+    return df.select(F.col(id_column).cast("bigint").alias("id"), values.alias("vector")).where(
+        F.col("vector").isNotNull()
+    )
+
+
+def rank_all_items(users: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """The catalogue ranked per user by factor product, down to rank n.
+
+    With n at the size of the catalogue this is the full ranking; the item ids
+    travel with their factors, so no position -> id map is needed.
+    """
+    return top_products(as_vectors(users, "id", "features"), as_vectors(items, "id", "features"), n)
+
+
+def similar_items(items: DataFrame, seeds: DataFrame, n: int = 10) -> DataFrame:
+    """item, rank, other, cosine: the n nearest items of each seed, itself included.
+
+    Both inputs are (id, features). All seeds are scored in one job.
+    """
+    nearest = top_products(
+        as_vectors(seeds, "id", "features", normalise=True),
+        as_vectors(items, "id", "features", normalise=True),
+        n,
+    )
+    return nearest.select(
+        F.col("user").alias("item"), "rank", F.col("item").alias("other"), F.col("score").alias("cosine")
+    )
+
+
+def seed_items(items: DataFrame, n: int = 10) -> DataFrame:
+    """The n first items by id."""
+    return take_n(items, n, "id")
+
+
+def score_index_join(scores: DataFrame, items: DataFrame) -> DataFrame:
+    """Scores by catalogue position (idx, score) -> idx, item, score.
+
+    A position is an item's place in id order, counted from 0.
+    """
+    positions = dense_index(items.select(F.col("id").alias("item")), ["item"], "idx")
+    return scores.join(positions, "idx").select("idx", "item", "score")
