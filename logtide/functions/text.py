@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A length no text reaches: substr() up to the end.
+TO_END = 2147483647
+
+
 def as_column(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
@@ -49,7 +53,7 @@ def text_after(value: Column | str, mark: str, skip: int = 0) -> Column:
     """What follows the first ``mark``, less ``skip`` characters; null without the mark."""
     text = as_column(value)
     at = F.instr(text, F.lit(mark))
-    return F.when(at > 0, text.substr(at + F.lit(len(mark) + skip), F.length(text)))
+    return F.when(at > 0, text.substr(at + F.lit(len(mark) + skip), F.lit(TO_END)))
 
 
 def archive_key(hour: Column | str) -> Column:

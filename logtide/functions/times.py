@@ -16,8 +16,7 @@ LOG_TIME_SHAPE = r"[0-9]{1,2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{1,2}:[0-9]{1,2}:[0-9]{1
 
 def floor_to(seconds: Column | str, width: int) -> Column:
     """The start of the ``width``-second bucket, cut toward zero."""
-    s = as_column(seconds)
-    return s - s % F.lit(width)
+    return F.call_function("div", as_column(seconds), F.lit(width)) * F.lit(width)
 
 
 def _floor_text(seconds: Column | str, width: int) -> Column:
@@ -76,19 +75,18 @@ def batch_time_parts(moment: Column | str) -> dict[str, Column]:
     }
 
 
-def bracketed(line: Column | str) -> Column:
-    """Text between the first ``[`` and the first ``]``, which must come in that order."""
-    found = F.regexp_extract(as_column(line), r"^[^\[\]]*\[([^\]]*)\]", 1)
+def _bracketed_time(line: Column | str, shape: str) -> Column:
+    """What has the given shape right after the first ``[``; null when a ``]`` is missing or comes first."""
+    found = F.regexp_extract(as_column(line), rf"^[^\[\]]*\[({shape})[^\]]*\]", 1)
     return F.nullif(found, F.lit(""))
 
 
 def log_seconds(line: Column | str) -> Column:
     """Epoch seconds of a log line's bracketed local time; a zone after it is not read."""
-    moment = F.regexp_extract(bracketed(line), f"^{LOG_TIME_SHAPE}", 0)
-    return F.unix_timestamp(text_to_time(moment, LOG_TIME))
+    return F.unix_timestamp(text_to_time(_bracketed_time(line, LOG_TIME_SHAPE), LOG_TIME))
 
 
 def log_hour(line: Column | str) -> Column:
     """``yyyy/MM/dd/HH`` of a log line's bracketed time, with its zone taken into account."""
-    moment = F.regexp_extract(bracketed(line), f"^{LOG_TIME_SHAPE} [+-][0-9]{{4}}", 0)
+    moment = _bracketed_time(line, f"{LOG_TIME_SHAPE} [+-][0-9]{{4}}")
     return F.date_format(text_to_time(moment, LOG_TIME_WITH_ZONE), "yyyy/MM/dd/HH")

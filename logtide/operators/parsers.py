@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.net import url_parts
+from ..functions.net import URL_PARTS, url_path
 from ..functions.text import as_column, split_trimmed, strict_int, strict_long, text_after
 from ..functions.times import floor_to, log_hour, log_seconds
 from .filters import drop_malformed, http_get_only, tag_contains
@@ -18,6 +18,16 @@ FIREWALL_TAG = "KS_FWLOG_TAG"
 KEYWORD_REQUEST = "domain string, stream_name string, node string"
 
 
+def _parsed(df: DataFrame, *fields: Column | str) -> DataFrame:
+    """``df.select(*fields)``, with each field computed once per row.
+
+    A filter on parsed fields would otherwise be pushed below the projection
+    and repeat the parsing inside its condition, once per field it tests.
+    Filters are not pushed through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*fields))))
+
+
 def _piece(pieces: Column | str, position: int) -> Column:
     return F.get(as_column(pieces), F.lit(position))
 
@@ -36,15 +46,20 @@ def _keep_complete(
     return df.withColumn(required[0], F.coalesce(checked.cast(df.schema[required[0]].dataType), required[0]))
 
 
-def parse_media_log(lines: DataFrame, line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
+def parse_media_log(
+    lines: DataFrame, line: str = "line", keep: Sequence[str] = (), only: str | None = None
+) -> DataFrame:
     """Media access lines -> domain, flag, cs, timestamp (text seconds of the minute).
 
     After the first ``]`` come blank-separated tokens: the second is the domain
     and the seventh the command, which must have something after it. The byte
     count stands between the last ``" `` and the first `` -`` of the line, so a
-    line with an earlier `` -`` is malformed.
+    line with an earlier `` -`` is malformed. With ``only``, rows of one flag are
+    kept, and lines that do not hold that word are passed over unparsed.
     """
     text = F.col(line)
+    if only is not None:
+        lines = lines.where(F.lower(text).contains(f" {only} "))
     tail = F.substring_index(text, '" ', -1)
     tail_dash = F.instr(tail, F.lit(" -"))
     first_dash_is_in_tail = (tail_dash > 0) & (
@@ -57,10 +72,11 @@ def parse_media_log(lines: DataFrame, line: str = "line", keep: Sequence[str] =
         floor_to(log_seconds(text), 60).cast("string").alias("timestamp"),
     )
     flag = F.when(F.size("_tokens") > 7, F.lower(_piece("_tokens", 6)))
-    parsed = tokens.select(
-        *keep, _piece("_tokens", 1).alias("domain"), flag.alias("flag"), "cs", "timestamp"
+    parsed = _parsed(
+        tokens, *keep, _piece("_tokens", 1).alias("domain"), flag.alias("flag"), "cs", "timestamp"
     )
-    return drop_malformed(parsed, ["domain", "flag", "cs", "timestamp"])
+    complete = drop_malformed(parsed, ["domain", "flag", "cs", "timestamp"])
+    return complete if only is None else complete.where(F.col("flag") == only)
 
 
 def parse_access_log(lines: DataFrame, line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
@@ -77,13 +93,20 @@ def parse_access_log(lines: DataFrame, line: str = "line", keep: Sequence[str] =
         F.split(text_after(line, "]"), " ").alias("_tokens"),
         floor_to(log_seconds(line), 60).alias("timestamp"),
     )
-    url = _piece("_tokens", 2)
-    fields = tokens.where(http_get_only(url=url)).select(
+    with_url = _parsed(
+        tokens,
         *keep,
-        *[part.alias(name) for name, part in url_parts(url).items()],
+        _piece("_tokens", 2).alias("_url"),
         "timestamp",
         F.when(F.size("_tokens") > 6, strict_long(_piece("_tokens", 5))).alias("cs"),
     )
+    fields = _parsed(
+        with_url.where(http_get_only(url="_url")).withColumn("_parts", url_path("_url")),
+        *keep,
+        *[_piece("_parts", at).alias(name) for at, name in enumerate(URL_PARTS)],
+        "timestamp",
+        "cs",
+    )
     return drop_malformed(fields, ["domain", "dir1", "dir2", "timestamp", "cs"])
 
 
@@ -101,7 +124,7 @@ def parse_counter_csv(lines: DataFrame, line: str = "line") -> DataFrame:
         (_piece("_cells", at) if name == "host" else strict_long(_piece("_cells", at))).alias(name)
         for name, at in COUNTER_FIELDS.items()
     ]
-    return drop_malformed(cells.select(*columns), list(COUNTER_FIELDS))
+    return drop_malformed(_parsed(cells, *columns), list(COUNTER_FIELDS))
 
 
 def hour_key(lines: DataFrame, line: str = "value", strict: bool = False) -> DataFrame:
@@ -111,7 +134,8 @@ def hour_key(lines: DataFrame, line: str = "value", strict: bool = False) -> Dat
     time is skipped too, or fails the job with ``strict``.
     """
     bracketed = lines.where(F.col(line).rlike(r"^[^\[\]]*\[[^\]]*\]"))
-    return _keep_complete(bracketed.withColumn("hour", log_hour(line)), ["hour"], strict, line)
+    keyed = _parsed(bracketed, *bracketed.columns, log_hour(line).alias("hour"))
+    return _keep_complete(keyed, ["hour"], strict, line)
 
 
 def reshape_firewall_log(lines: DataFrame, line: str = "line", tag: str = FIREWALL_TAG) -> DataFrame:
@@ -122,7 +146,8 @@ def reshape_firewall_log(lines: DataFrame, line: str = "line", tag: str = FIREWA
     """
     plain = tag_contains(lines, tag, line).select(F.replace(line, F.lit('\\"'), F.lit('"')).alias("_t"))
     upto_value_end = F.regexp_extract("_t", f'(?s)^(.*?{tag}.*?)","', 1)
-    parts = plain.select(
+    parts = _parsed(
+        plain,
         F.nullif(F.regexp_extract("_t", '(?s)"hostname":"(.*?)",', 1), F.lit("")).alias("_host"),
         F.nullif(F.regexp_extract("_t", '(?s)"si":"(.*?)",', 1), F.lit("")).alias("_si"),
         F.nullif(F.regexp_extract(upto_value_end, '(?s)"ori":"(.* )', 1), F.lit("")).alias("_ori"),
@@ -141,7 +166,8 @@ def parse_offset_manifest(lines: DataFrame, line: str = "line", strict: bool = F
     def value(at: int) -> Column:
         return _piece(F.split(_piece("_pairs", at), "="), 1)
 
-    ranges = pairs.select(
+    ranges = _parsed(
+        pairs,
         "_line",
         F.nullif(value(0), F.lit("")).alias("topic"),
         strict_int(value(1)).alias("partition_id"),
@@ -156,7 +182,8 @@ def parse_ratings(lines: DataFrame, line: str = "line", strict: bool = False) ->
     """``user::item::rate::name`` -> user, item, rate; exactly four fields."""
     fields = lines.select(F.col(line).alias("_line"), split_trimmed(line, "::").alias("_f"))
     four = F.size("_f") == 4
-    ratings = fields.select(
+    ratings = _parsed(
+        fields,
         "_line",
         F.when(four, strict_int(_piece("_f", 0))).alias("user"),
         F.when(four, strict_int(_piece("_f", 1))).alias("item"),
@@ -169,14 +196,15 @@ def parse_ratings(lines: DataFrame, line: str = "line", strict: bool = False) ->
 def parse_points(lines: DataFrame, line: str = "line") -> DataFrame:
     """Blank-separated numbers -> ``point`` array<double>; a bad number drops the line."""
     cells = F.transform(split_trimmed(line, " "), lambda cell: F.trim(cell).try_cast("double"))
-    points = lines.select(cells.alias("point"))
+    points = _parsed(lines, cells.alias("point"))
     return points.where((F.size("point") > 0) & ~F.exists("point", lambda x: x.isNull()))
 
 
 def parse_labeled_points(lines: DataFrame, line: str = "line") -> DataFrame:
     """First number = label, second = the one feature; further numbers are not read."""
     cells = lines.select(F.split(F.col(line), " ").alias("_c"))
-    labeled = cells.select(
+    labeled = _parsed(
+        cells,
         _piece("_c", 0).try_cast("double").alias("label"),
         _piece("_c", 1).try_cast("double").alias("feature"),
     )
@@ -190,7 +218,7 @@ def split_tagged_docs(lines: DataFrame, line: str = "line", keep: Sequence[str]
     except at the end. A line without text is dropped.
     """
     parts = lines.select(*keep, split_trimmed(line, ",").alias("_p"))
-    texts = parts.select(*keep, _piece("_p", 0).alias("name"), _piece("_p", 1).alias("_text"))
+    texts = _parsed(parts, *keep, _piece("_p", 0).alias("name"), _piece("_p", 1).alias("_text"))
     return drop_malformed(texts, ["name", "_text"]).select(
         *keep, "name", split_trimmed("_text", " ").alias("words")
     )
@@ -205,7 +233,7 @@ def json_extract(
     requests: DataFrame, request: str, schema: str, keep: Sequence[str] = ()
 ) -> DataFrame:
     """JSON text -> the fields of a DDL schema; rows lacking any of them are dropped."""
-    parsed = requests.select(*keep, F.from_json(request, schema).alias("_r"))
+    parsed = _parsed(requests, *keep, F.from_json(request, schema).alias("_r"))
     fields = parsed.select(*keep, "_r.*")
     return drop_malformed(fields, [name for name in fields.columns if name not in keep])
 

@@ -2,7 +2,7 @@
 
 Some rows are malformed on purpose, so that parsers have something to drop.
 Event times are folded into one half hour (counters: six hours), so that
-minute groups hold several rows.
+minute groups hold several rows; message times fill two days.
 """
 
 from __future__ import annotations
@@ -68,6 +68,15 @@ class Inputs:
             "CAST(round(value * 100) AS BIGINT) AS cs",
         )
 
+    def hour_events(self) -> DataFrame:
+        """event_id, domain, cs and a time folded into the six hours around a midnight."""
+        return self.table("events").selectExpr(
+            "event_id",
+            "concat('d', user_id % 20, '.example.com') AS domain",
+            "CAST(round(value * 100) AS BIGINT) AS cs",
+            f"timestamp_seconds({DAY_START} - 10800 + unix_timestamp(ts) % 21600) AS moment",
+        )
+
     def counter_csv(self) -> DataFrame:
         return self.table("events").selectExpr(
             """concat('mongdb,h', user_id % 20, '.example.com,', unix_timestamp(ts), ',', user_id, ',',
@@ -116,8 +125,9 @@ class Inputs:
             "concat('t', o_custkey % 5) AS topic",
             "CAST(o_orderkey % 12 AS INT) AS partition_id",
             "o_orderkey AS msg_offset",
-            """CASE WHEN o_orderkey % 37 = 0 THEN 'no time' ELSE concat('h [',
-            date_format(o_orderdate, 'dd/MMM/yyyy:HH:mm:ss'), ' +0800] ', o_orderpriority) END AS value""",
+            f"""CASE WHEN o_orderkey % 37 = 0 THEN 'no time' ELSE concat('h [',
+            date_format(timestamp_seconds({DAY_START} + o_orderkey * 37 % 172800), 'dd/MMM/yyyy:HH:mm:ss'),
+            ' +0800] ', o_orderpriority) END AS value""",
         )
 
     def rating_txt(self) -> DataFrame:

@@ -36,7 +36,7 @@ def parse_counter_csv(inputs: Inputs):
 
 
 @register("hour_key", """
-    SELECT msg_offset, strftime(o_orderdate - INTERVAL 8 HOUR, '%Y/%m/%d/%H') AS hour
+    SELECT msg_offset, strftime(sent - INTERVAL 8 HOUR, '%Y/%m/%d/%H') AS hour
     FROM {MESSAGE} WHERE msg_offset % 37 <> 0""")
 def hour_key(inputs: Inputs):
     return parsers.hour_key(inputs.message()).select("msg_offset", "hour")

@@ -18,6 +18,7 @@ SQL_TERMS = {
     "EPOCH": "CAST(floor(epoch(ts)) AS BIGINT)",
     "SEC": "(1704067200 + CAST(floor(epoch(ts)) AS BIGINT) % 1800)",
     "CS": "CAST(round(value * 100) AS BIGINT)",
+    "MOMENT": "make_timestamp((1704067200 - 10800 + CAST(floor(epoch(ts)) AS BIGINT) % 21600) * 1000000)",
     "FLAG": "CASE event_type WHEN 'click' THEN 'publish' WHEN 'view' THEN 'play' ELSE event_type END",
     "DOMAIN": "concat('d', user_id % 20, '.example.com')",
     "CHANNEL": (
@@ -35,8 +36,9 @@ SQL_TERMS = {
     ),
     "MESSAGE": (
         "(SELECT concat('t', o_custkey % 5) AS topic, CAST(o_orderkey % 12 AS INTEGER) AS partition_id, "
-        "o_orderkey AS msg_offset, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 37 = 0 THEN 'no time' "
-        "ELSE concat('h [', strftime(o_orderdate, '%d/%b/%Y:%H:%M:%S'), ' +0800] ', o_orderpriority) END "
+        "o_orderkey AS msg_offset, make_timestamp((1704067200 + o_orderkey * 37 % 172800) * 1000000) AS sent, "
+        "CASE WHEN o_orderkey % 37 = 0 THEN 'no time' "
+        "ELSE concat('h [', strftime(sent, '%d/%b/%Y:%H:%M:%S'), ' +0800] ', o_orderpriority) END "
         "AS value FROM orders)"
     ),
     "MANIFEST": (

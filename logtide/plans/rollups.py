@@ -15,7 +15,9 @@ MEDIA_MINUTE_SQL = """
 
 @register("media_traffic_minute", MEDIA_MINUTE_SQL)
 def media_traffic_minute(inputs: Inputs):
-    return rollups.media_traffic_minute(parsers.parse_media_log(inputs.media_log()), inputs.channels())
+    return rollups.media_traffic_minute(
+        parsers.parse_media_log(inputs.media_log(), only="publish"), inputs.channels()
+    )
 
 
 @register("dir_traffic_minute", """

@@ -87,23 +87,21 @@ def dated_index_sink(inputs: Inputs):
 
 
 HOURLY_SQL = """
-    SELECT event_id, {CS} AS cs, strftime(ts, '%Y%m') AS month_, strftime(ts, '%d') AS day_,
-      strftime(ts, '%H') AS hour_ FROM events"""
+    SELECT event_id, {CS} AS cs, strftime({MOMENT}, '%Y%m') AS month_, strftime({MOMENT}, '%d') AS day_,
+      strftime({MOMENT}, '%H') AS hour_ FROM events"""
 
 
 def _hourly(inputs: Inputs, folder: str) -> None:
-    rows = inputs.table("events").select(
-        "event_id", F.round(F.col("value") * 100).cast("bigint").alias("cs"), "ts"
-    )
-    table_sinks.hourly_parquet_append(rows, folder, "ts")
+    rows = inputs.hour_events().select("event_id", "cs", "moment")
+    table_sinks.hourly_parquet_append(rows, folder, "moment")
 
 
 @register("hourly_parquet_append", HOURLY_SQL)
 def hourly_parquet_append(inputs: Inputs):
     folder = inputs.new_folder("hourly")
     _hourly(inputs, folder)
-    schema = "event_id bigint, cs bigint, ts timestamp_ntz, month_ string, day_ string, hour_ string"
-    return inputs.spark.read.schema(schema).parquet(folder).drop("ts")
+    schema = "event_id bigint, cs bigint, moment timestamp, month_ string, day_ string, hour_ string"
+    return inputs.spark.read.schema(schema).parquet(folder).drop("moment")
 
 
 @register("register_partition", HOURLY_SQL)
@@ -112,17 +110,17 @@ def register_partition(inputs: Inputs):
     table = "hourly_" + folder.rsplit("-", 1)[-1]
     _hourly(inputs, folder)
     spark = inputs.spark
-    table_sinks.create_hourly_table(spark, table, folder, "event_id BIGINT, cs BIGINT, ts TIMESTAMP_NTZ")
+    table_sinks.create_hourly_table(spark, table, folder, "event_id BIGINT, cs BIGINT, moment TIMESTAMP")
     table_sinks.register_partition(spark, table, "202401", "01", "00")
     table_sinks.register_partition(spark, table, "202401", "01", "00")
     table_sinks.register_all_partitions(spark, table)
-    return spark.table(table).drop("ts")
+    return spark.table(table).drop("moment")
 
 
 @register("hour_keyed_archive", """
-    SELECT concat(strftime(at, '%Y/%m/%d/%H'), '_', strftime(at, '%Y-%m-%d-%H'), chr(9), value) AS value,
-      strftime(at, '%Y/%m/%d/%H') AS folder
-    FROM (SELECT value, o_orderdate - INTERVAL 8 HOUR AS at FROM {MESSAGE} WHERE msg_offset % 37 <> 0)""")
+    SELECT concat(strftime(moment, '%Y/%m/%d/%H'), '_', strftime(moment, '%Y-%m-%d-%H'), chr(9), value) AS value,
+      strftime(moment, '%Y/%m/%d/%H') AS folder
+    FROM (SELECT value, sent - INTERVAL 8 HOUR AS moment FROM {MESSAGE} WHERE msg_offset % 37 <> 0)""")
 def hour_keyed_archive(inputs: Inputs):
     folder = inputs.new_folder("archive")
     text_sinks.hour_keyed_archive(parsers.hour_key(inputs.message()), folder)
@@ -163,17 +161,17 @@ def text_write_modes(inputs: Inputs):
 
 
 def _export_lines(inputs: Inputs):
-    return inputs.table("events").selectExpr(
-        "concat('d', user_id % 20, '.example.com') AS domain",
-        "date_format(ts, 'yyyy-MM-dd') AS day",
-        "date_format(ts, 'HH') AS hour",
-        "concat(event_id, ' ', event_type) AS value",
+    return inputs.hour_events().selectExpr(
+        "domain",
+        "date_format(moment, 'yyyy-MM-dd') AS day",
+        "date_format(moment, 'HH') AS hour",
+        "concat(event_id, ' ', cs) AS value",
     )
 
 
 @register("file_inventory", """
-    SELECT concat('domain=', {DOMAIN}, '/day=', strftime(ts, '%Y-%m-%d'), '/hour=', strftime(ts, '%H')) AS folder,
-      CAST(sum(strlen(concat(event_id, ' ', event_type)) + 1) AS BIGINT) AS bytes FROM events GROUP BY 1""")
+    SELECT concat('domain=', {DOMAIN}, strftime({MOMENT}, '/day=%Y-%m-%d/hour=%H')) AS folder,
+      CAST(sum(strlen(concat(event_id, ' ', {CS})) + 1) AS BIGINT) AS bytes FROM events GROUP BY 1""")
 def file_inventory(inputs: Inputs):
     folder = inputs.new_folder("export-files")
     text_sinks.export_by_domain_day(_export_lines(inputs), folder)
@@ -185,8 +183,8 @@ def file_inventory(inputs: Inputs):
 
 
 @register("export_by_domain_day", """
-    SELECT {DOMAIN} AS domain, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hour,
-      concat(event_id, ' ', event_type) AS value FROM events
+    SELECT {DOMAIN} AS domain, strftime({MOMENT}, '%Y-%m-%d') AS day, strftime({MOMENT}, '%H') AS hour,
+      concat(event_id, ' ', {CS}) AS value FROM events
     WHERE {DOMAIN} IN (SELECT domain FROM {CHANNEL} WHERE userid = '3038')""")
 def export_by_domain_day(inputs: Inputs):
     folder = inputs.new_folder("export")

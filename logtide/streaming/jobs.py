@@ -22,7 +22,7 @@ def media_traffic_stream(lines: DataFrame, lateness: str = "30 minutes") -> Data
     Minutes are held as state until the watermark passes them; later rows are
     dropped by then. Each batch emits the minutes it changed, with their new sum.
     """
-    media = publish_only(parse_media_log(lines))
+    media = publish_only(parse_media_log(lines, only="publish"))
     timed = media.withColumn("at", F.timestamp_seconds(F.col("timestamp").cast("bigint")))
     sums = (
         timed.withWatermark("at", lateness)
