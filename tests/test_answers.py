@@ -1,0 +1,24 @@
+"""Every registered query against its SQL answer."""
+
+import pytest
+from check_answers import compare, connect
+
+from logtide import plans
+
+QUERIES, ORACLES = plans.queries(), plans.oracles()
+
+
+@pytest.fixture(scope="module")
+def db(data):
+    return connect(data)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_answer(spark, data, db, name):
+    df = QUERIES[name](spark, data)
+    result = compare(df, db, ORACLES[name])
+    assert result.startswith("ok") and not result.startswith("ok 0 "), result
+
+
+def test_every_query_has_an_answer():
+    assert set(QUERIES) == set(ORACLES)

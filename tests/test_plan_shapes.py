@@ -1,0 +1,27 @@
+"""What must not occur in the plans of the registered queries."""
+
+import pytest
+
+from logtide import plans
+
+# Queries that run Python inside tasks (matrix products) or inside the ML library.
+MATRIX = {"rank_all_items", "similar_items"}
+LIBRARY = {"als_train", "als_predict", "als_evaluate", "recommend_top_n", "kmeans_train"}
+
+RUN = [name for name in plans.queries() if not name.startswith("stream_") and name not in LIBRARY]
+
+
+@pytest.mark.parametrize("name", RUN)
+def test_no_cross_join_and_no_python(spark, data, plan_of, name):
+    plan = plan_of(plans.queries()[name](spark, data))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    python = [p for p in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapCoGroups") if p in plan]
+    assert name in MATRIX or not python
+
+
+def test_flagship_sums_before_it_joins(spark, data, plan_of):
+    plan = plan_of(plans.queries()["media_traffic_minute"](spark, data))
+    assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate")
+    assert plan.count("partial_sum") >= 1
+    # Only the columns that the lines are made of are read.
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
