@@ -1,4 +1,12 @@
-"""Dimension joins with a checked broadcast and a salted join beyond it."""
+"""Dimension joins: a broadcast behind a size check, a shuffle join beyond it.
+
+Facts may hold one key in a third of their rows. A broadcast moves no facts, so
+such a key does no harm there. In a shuffle join, adaptive execution cuts the
+partition of a hot key into slices (facts stand on the left, the side that may
+be cut in every join type used here), which costs nothing where no key is hot.
+``salted_join`` spreads keys up front, for joins that adaptive execution does
+not reach.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +18,7 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 16
+SALTS = 8
 
 
 def fits_broadcast(
@@ -70,16 +78,15 @@ def lookup_join(
     residual: Column | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join facts to a dimension: broadcast when its measured size allows, else salted.
+    """Join facts to a dimension: broadcast when its measured size allows, else by shuffle.
 
     ``how`` is inner, left, left_semi or left_anti; ``residual`` is a further
     condition over column names that the two sides do not share.
     """
     if fits_broadcast(dim, max_rows, max_bytes):
         return _matched(facts, F.broadcast(dim), on, how, residual)
-    return salted_join(facts, dim, on, how, residual, salts)
+    return _matched(facts, dim, on, how, residual)
 
 
 def channel_users(channels: DataFrame, domain: str = "domain", userid: str = "userid") -> DataFrame:
@@ -105,7 +112,6 @@ def domain_anti_join(df: DataFrame, domains: DataFrame) -> DataFrame:
 def term_lookup(terms: DataFrame, vocabulary: DataFrame, on: str = "term") -> DataFrame:
     """Add term ids and weights; terms outside the vocabulary are dropped.
 
-    A frequent term may fill a large part of ``terms``, and a vocabulary grows
-    with the data, hence the salted join unless the vocabulary is small.
+    A vocabulary grows with the data, so it is broadcast only while it is small.
     """
     return lookup_join(terms, vocabulary, [on], "inner")

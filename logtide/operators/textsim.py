@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_through
 from .lookups import lookup_join, term_lookup
 from .numbering import dense_index
 
@@ -50,21 +51,27 @@ def idf(docs: DataFrame, frequencies: DataFrame, compat: bool = False) -> DataFr
     return document_frequency(frequencies).select("term", "df", weight.alias("idf"))
 
 
-def tf_weight(docs: DataFrame, compat: bool = False) -> DataFrame:
+def tf_weight(
+    docs: DataFrame, compat: bool = False, frequencies: DataFrame | None = None
+) -> DataFrame:
     """name, term, cnt, total, tf = sqrt(cnt / words in the document).
 
-    Lengths come from the unexploded rows, one small row per document.
+    Lengths come from the unexploded rows, one small row per document. Pass
+    ``frequencies`` where :func:`term_frequency` has been computed already.
     """
-    counts = term_frequency(docs)
+    counts = term_frequency(docs) if frequencies is None else frequencies
     lengths = docs.groupBy("name").agg(F.sum(F.size("words")).cast("bigint").alias("total"))
     joined = lookup_join(counts, lengths, ["name"], "inner")
     weight = F.sqrt(_ratio(F.col("cnt"), F.col("total"), compat))
     return joined.select("name", "term", "cnt", "total", weight.alias("tf"))
 
 
-def vocabulary(docs: DataFrame, compat: bool = False) -> DataFrame:
+def vocabulary(
+    docs: DataFrame, compat: bool = False, frequencies: DataFrame | None = None
+) -> DataFrame:
     """term, term_id (contiguous, by term), df, idf."""
-    return dense_index(idf(docs, term_frequency(docs), compat), ["term"], "term_id")
+    counts = term_frequency(docs) if frequencies is None else frequencies
+    return dense_index(idf(docs, counts, compat), ["term"], "term_id")
 
 
 def tfidf_vectors(
@@ -72,11 +79,16 @@ def tfidf_vectors(
 ) -> DataFrame:
     """Sparse vectors in long form: name, term_id, term, tf, idf.
 
-    Neither the vocabulary nor the weights visit the driver. Pass ``terms``
-    (from :func:`vocabulary`) to weigh new documents by earlier ones.
+    Neither the vocabulary nor the weights visit the driver. Word counts feed
+    both, so they are written once. Pass ``terms`` (from :func:`vocabulary`)
+    to weigh new documents by earlier ones.
     """
-    known = vocabulary(docs, compat) if terms is None else terms
-    weighted = term_lookup(tf_weight(docs, compat), known.select("term", "term_id", "idf"))
+    if terms is None:
+        counts = write_through(term_frequency(docs), "word-counts")
+        terms = vocabulary(docs, compat, counts)
+    else:
+        counts = None
+    weighted = term_lookup(tf_weight(docs, compat, counts), terms.select("term", "term_id", "idf"))
     return weighted.select("name", "term_id", "term", "tf", "idf")
 
 

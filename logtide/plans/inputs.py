@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import new_folder, spread
 from ..sources.streams import table_stream_scan
 
 DAY_START = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -148,13 +148,14 @@ class Inputs:
 
     def tagged_doc(self) -> DataFrame:
         """``name,text,language``: commas inside the text become blanks, so all of it is the second field."""
-        return self.table("documents").selectExpr(
+        return spread(self.table("documents").select("doc_id", "text", "lang"), "doc_id").selectExpr(
             """concat('doc', doc_id, ',', replace(replace(replace(text, chr(10), ' '), chr(13), ' '), ',', ' '),
             ',', lang) AS line"""
         )
 
     def point_txt(self) -> DataFrame:
-        return self.table("lineitem").selectExpr(
+        lines = spread(self.table("lineitem").select("l_orderkey", "l_quantity"), "l_orderkey")
+        return lines.selectExpr(
             "concat(CAST(l_quantity AS BIGINT), ' ', CAST(l_orderkey % 50 AS BIGINT)) AS line"
         )
 

@@ -78,3 +78,25 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_through(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and continue from the table.
+
+    For rows that several later steps read: they are computed once, columns
+    not needed are not read back, and their size is known to the planner.
+    """
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when the scan has fewer splits than there are cores.
+
+    For heavy per-row work (tokenising, model training) on a table that comes
+    as a few files. A scan with enough splits is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

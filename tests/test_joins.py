@@ -17,13 +17,16 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_broadcast_and_salted_joins_agree(skewed, rows, how):
+def test_all_ways_to_join_agree(skewed, rows, how):
     facts, dim = skewed
     plain = facts.join(dim, "k", how)
-    small = lookups.lookup_join(facts, dim, ["k"], how)
-    large = lookups.lookup_join(facts, dim, ["k"], how, max_rows=5)
-    assert rows(small, *sorted(plain.columns)) == rows(plain, *sorted(plain.columns))
-    assert rows(large, *sorted(plain.columns)) == rows(plain, *sorted(plain.columns))
+    columns = sorted(plain.columns)
+    for joined in (
+        lookups.lookup_join(facts, dim, ["k"], how),
+        lookups.lookup_join(facts, dim, ["k"], how, max_rows=5),
+        lookups.salted_join(facts, dim, ["k"], how),
+    ):
+        assert rows(joined, *columns) == rows(plain, *columns)
 
 
 def test_salting_spreads_a_hot_key(spark, skewed):
@@ -50,8 +53,30 @@ def test_size_check_bounds_rows_and_bytes(skewed):
 def test_plans_of_both_ways(skewed, plan_of):
     facts, dim = skewed
     assert "BroadcastHashJoin" in plan_of(lookups.lookup_join(facts, dim, ["k"]))
-    beyond = plan_of(lookups.lookup_join(facts, dim, ["k"], max_rows=5))
-    assert "_salt" in beyond and "NestedLoop" not in beyond
+    plan = plan_of(lookups.salted_join(facts, dim, ["k"]))
+    assert "_salt" in plan and "NestedLoop" not in plan
+
+
+def test_shuffle_join_slices_a_hot_key(spark, skewed, rows, plan_of):
+    facts, dim = skewed
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    expected = rows(facts.join(dim, "k", "left"), "id", "k", "v")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookups.lookup_join(facts.repartition(8, "id"), dim, ["k"], "left", max_rows=5)
+        assert rows(joined, "id", "k", "v") == expected
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_unknown_domain_keeps_its_row(spark, rows):
@@ -77,7 +102,7 @@ def ranges(spark):
 
 @pytest.mark.parametrize("limit", [None, 3])
 def test_ip_ranges_equal_brute_force(spark, ranges, rows, monkeypatch, limit):
-    if limit:  # force the salted join
+    if limit:  # force the shuffle join
         real = lookups.fits_broadcast
         monkeypatch.setattr(lookups, "fits_broadcast", lambda dim, *_: real(dim, limit))
     rng = random.Random(5)
