@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 8
 

@@ -219,9 +219,8 @@ def split_tagged_docs(lines: DataFrame, line: str = "line", keep: Sequence[str]
     """
     parts = lines.select(*keep, split_trimmed(line, ",").alias("_p"))
     texts = _parsed(parts, *keep, _piece("_p", 0).alias("name"), _piece("_p", 1).alias("_text"))
-    return drop_malformed(texts, ["name", "_text"]).select(
-        *keep, "name", split_trimmed("_text", " ").alias("words")
-    )
+    named = drop_malformed(texts, ["name", "_text"])
+    return _parsed(named, *keep, "name", split_trimmed("_text", " ").alias("words"))
 
 
 def tokenize_tagged_docs(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -16,11 +16,15 @@ from .lookups import lookup_join, term_lookup
 from .numbering import dense_index
 
 
-def term_frequency(docs: DataFrame) -> DataFrame:
-    """name, term, cnt: how often each word occurs in each document."""
-    return docs.select("name", F.explode("words").alias("term")).groupBy("name", "term").agg(
-        F.count("*").alias("cnt")
-    )
+def term_frequency(docs: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """name, term, cnt: how often each word occurs in each document.
+
+    With ``only`` (one row per ``term``) other words are left out before the count.
+    """
+    words = docs.select("name", F.explode("words").alias("term"))
+    if only is not None:
+        words = lookup_join(words, only.select("term").distinct(), ["term"], "left_semi")
+    return words.groupBy("name", "term").agg(F.count("*").alias("cnt"))
 
 
 def document_frequency(frequencies: DataFrame) -> DataFrame:
@@ -75,19 +79,23 @@ def vocabulary(
 
 
 def tfidf_vectors(
-    docs: DataFrame, compat: bool = False, terms: DataFrame | None = None
+    docs: DataFrame,
+    compat: bool = False,
+    terms: DataFrame | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Sparse vectors in long form: name, term_id, term, tf, idf.
 
     Neither the vocabulary nor the weights visit the driver. Word counts feed
     both, so they are written once. Pass ``terms`` (from :func:`vocabulary`)
-    to weigh new documents by earlier ones.
+    to weigh new documents by earlier ones; ``only`` then limits the vectors to
+    some terms, as a query needs them.
     """
     if terms is None:
         counts = write_through(term_frequency(docs), "word-counts")
         terms = vocabulary(docs, compat, counts)
     else:
-        counts = None
+        counts = term_frequency(docs, only)
     weighted = term_lookup(tf_weight(docs, compat, counts), terms.select("term", "term_id", "idf"))
     return weighted.select("name", "term_id", "term", "tf", "idf")
 
@@ -102,7 +110,7 @@ def score_query(vectors: DataFrame, query: DataFrame, terms: DataFrame) -> DataF
     weights = term_lookup(wanted, terms.select("term", "idf"))
     norm = weights.agg(F.sqrt(F.sum(F.col("idf") * F.col("idf")))).scalar()
     size = wanted.agg(F.count("*")).scalar()
-    hits = term_lookup(vectors.select("name", "term", "tf", "idf"), wanted)
+    hits = lookup_join(vectors.select("name", "term", "tf", "idf"), wanted, ["term"], "left_semi")
     matched = F.count(F.when(F.col("tf") > 0, True))
     sums = hits.groupBy("name").agg(
         matched.alias("matched"), F.sum(F.col("tf") * F.col("idf") * F.col("idf")).alias("_sum")

@@ -97,5 +97,6 @@ def score_query(inputs: Inputs):
     docs = _docs(inputs)
     terms = textsim.vocabulary(docs)
     query = inputs.table("benchmark").select(F.explode(F.split("text", " ")).alias("term"))
-    scores = textsim.score_query(textsim.tfidf_vectors(docs, terms=terms), query, terms)
+    vectors = textsim.tfidf_vectors(docs, terms=terms, only=query)
+    scores = textsim.score_query(vectors, query, terms)
     return scores.select("name", "matched", F.round("score", 6).alias("score"))
