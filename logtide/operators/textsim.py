@@ -23,10 +23,15 @@ def term_frequency(docs: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """
     words = docs.select("name", F.explode("words").alias("term"))
     if only is not None:
-        words = lookup_join(words, only.select("term").distinct(), ["term"], "left_semi")
+        words = _only_terms(words, only)
     return words.groupBy("name", "term").agg(F.count("*").alias("cnt"))
 
 
+def _only_terms(rows: DataFrame, only: DataFrame) -> DataFrame:
+    """Rows whose term is listed in ``only``; the list is the side that may be broadcast."""
+    return lookup_join(rows, only.select("term").distinct(), ["term"], "left_semi")
+
+
 def document_frequency(frequencies: DataFrame) -> DataFrame:
     """term, df: in how many documents each word occurs (input: one row per name and term)."""
     return frequencies.groupBy("term").agg(F.count("*").alias("df"))
@@ -96,6 +101,8 @@ def tfidf_vectors(
         terms = vocabulary(docs, compat, counts)
     else:
         counts = term_frequency(docs, only)
+        if only is not None:
+            terms = _only_terms(terms, only)
     weighted = term_lookup(tf_weight(docs, compat, counts), terms.select("term", "term_id", "idf"))
     return weighted.select("name", "term_id", "term", "tf", "idf")
 
@@ -107,10 +114,10 @@ def score_query(vectors: DataFrame, query: DataFrame, terms: DataFrame) -> DataF
     Documents without any query term score 0 and are not listed.
     """
     wanted = query.select("term").distinct()
-    weights = term_lookup(wanted, terms.select("term", "idf"))
+    weights = _only_terms(terms.select("term", "idf"), wanted)
     norm = weights.agg(F.sqrt(F.sum(F.col("idf") * F.col("idf")))).scalar()
     size = wanted.agg(F.count("*")).scalar()
-    hits = lookup_join(vectors.select("name", "term", "tf", "idf"), wanted, ["term"], "left_semi")
+    hits = _only_terms(vectors.select("name", "term", "tf", "idf"), wanted)
     matched = F.count(F.when(F.col("tf") > 0, True))
     sums = hits.groupBy("name").agg(
         matched.alias("matched"), F.sum(F.col("tf") * F.col("idf") * F.col("idf")).alias("_sum")
