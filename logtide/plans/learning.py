@@ -61,30 +61,28 @@ def recommend_top_n(inputs: Inputs):
 @register("rank_all_items", """
     SELECT "user", item, score, rank FROM (
       SELECT a.vec_id AS "user", b.vec_id AS item,
-        round(round(list_dot_product(a.v, b.v), 9), 6) AS score,
+        round(list_dot_product(a.v, b.v), 9) AS score,
         CAST(row_number() OVER (PARTITION BY a.vec_id
           ORDER BY round(list_dot_product(a.v, b.v), 9) DESC, b.vec_id) AS INTEGER) AS rank
       FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) a,
            (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) b)
     WHERE rank <= 20""")
 def rank_all_items(inputs: Inputs):
-    ranked = recommend.rank_all_items(inputs.vectors(), inputs.vectors(), 20)
-    return ranked.select("user", "item", F.round("score", 6).alias("score"), "rank")
+    return recommend.rank_all_items(inputs.vectors(), inputs.vectors(), 20)
 
 
 @register("similar_items", """
     WITH unit AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v
                   FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
     SELECT item, rank, other, cosine FROM (
-      SELECT a.vec_id AS item, b.vec_id AS other, round(round(list_dot_product(a.v, b.v), 9), 6) AS cosine,
+      SELECT a.vec_id AS item, b.vec_id AS other, round(list_dot_product(a.v, b.v), 9) AS cosine,
         CAST(row_number() OVER (PARTITION BY a.vec_id
           ORDER BY round(list_dot_product(a.v, b.v), 9) DESC, b.vec_id) AS INTEGER) AS rank
       FROM (SELECT * FROM unit ORDER BY vec_id LIMIT 10) a, unit b)
     WHERE rank <= 10""")
 def similar_items(inputs: Inputs):
     items = inputs.vectors()
-    near = recommend.similar_items(items, recommend.seed_items(items, 10), 10)
-    return near.select("item", "rank", "other", F.round("cosine", 6).alias("cosine"))
+    return recommend.similar_items(items, recommend.seed_items(items, 10), 10)
 
 
 @register("score_index_join", """
