@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import cluster, parsers, recommend, regress
+from ..session import write_through
 from .inputs import Inputs
 from .registry import register
 
@@ -12,7 +13,7 @@ RANK = 10
 
 
 def _ratings(inputs: Inputs):
-    return parsers.parse_ratings(inputs.rating_txt()).persist()
+    return write_through(parsers.parse_ratings(inputs.rating_txt()), "ratings")
 
 
 def _model(ratings):
