@@ -12,6 +12,7 @@ from ..functions.text import as_column
 # 12 months of 30 days, in seconds.
 EVENT_TIME_SPAN = 12 * 30 * 24 * 60 * 60
 
+# Fixed values of the channel dimension.
 LIVE_BUSINESS = "2"
 EXPORT_CUSTOMER = "3038"
 

@@ -12,7 +12,9 @@ from ..functions.text import as_column, split_trimmed, strict_int, strict_long,
 from ..functions.times import floor_to, log_hour, log_seconds
 from .filters import drop_malformed, http_get_only, tag_contains
 
+# Fixed values of the firewall log format.
 FIREWALL_TAG = "KS_FWLOG_TAG"
+RELAYED_PREFIX = "CDNLOG_cache "
 
 # Keyword search requests: every field is required, further keys are ignored.
 KEYWORD_REQUEST = "domain string, stream_name string, node string"
@@ -154,7 +156,7 @@ def reshape_firewall_log(lines: DataFrame, line: str = "line", tag: str = FIREWA
     )
     complete = drop_malformed(parts, ["_host", "_si", "_ori"])
     return complete.select(
-        F.concat(F.lit("CDNLOG_cache "), "_host", F.lit(" "), "_ori", "_si", F.lit(" "), "_si").alias("line")
+        F.concat(F.lit(RELAYED_PREFIX), "_host", F.lit(" "), "_ori", "_si", F.lit(" "), "_si").alias("line")
     )
 
 

@@ -116,7 +116,7 @@ class Inputs:
         return self.table("orders").groupBy(
             F.expr("o_custkey % 5").alias("t"), F.expr("o_orderkey % 12").alias("p")
         ).agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).selectExpr(
-            """concat('EtlRequest{topic=t', t, ',partition=', p, ',start=', low + 50, ',end=',
+            """concat('request{topic=t', t, ',partition=', p, ',start=', low + 50, ',end=',
             CASE WHEN p = 5 THEN low ELSE high - 50 END, '}') AS line"""
         )
 

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from logtide.operators import cluster, parsers, recommend, regress
 
-# Twelve label / feature pairs on very different scales, as in small demo files.
-PAIRS = [
-    (60, 55), (70, 10), (90, 86), (30, 22), (15, 11), (288, 300), (223, 200), (5, 5), (14, 5), (320, 280), (65, 55), (13, 2),
-]
+# Twelve label / feature pairs on scales from single digits to hundreds.
+PAIRS = [(5 + 7 * i * i % 311, 2 + 5 * i * i % 293) for i in range(12)]
 
 
 def mllib_weight(spark, pairs):

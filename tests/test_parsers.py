@@ -68,9 +68,9 @@ def test_short_first_word_passes_with_any_method(lines):
 
 
 def test_counter_line(lines, rows):
-    good = "mongdb,#other#,1494342000,30125,111365,0,0,54,10,mongdb,2,3"
+    good = "db7,h1.example.com,1704067200,71,88,0,0,54,10,db7,2,3"
     got = rows(parsers.parse_counter_csv(lines(good, good + ",,", good.replace(",10,", ", 10,"), "a,b", good[:-2])))
-    one = ("#other#", 2, 3, 1494342000, 10, 30125, 111365, 54)
+    one = ("h1.example.com", 2, 3, 1704067200, 10, 71, 88, 54)
     assert got == [one, one]
 
 
@@ -91,7 +91,7 @@ def test_firewall_line(lines, rows):
 
 def test_manifest(lines, rows):
     source = lines(
-        "EtlRequest{topic=t1,partition=3,start=5,end=9}", "x{a=t2,b=0,c=7,d=7}", "{a=t3,b=x,c=1,d=2}", "nothing"
+        "request{topic=t1,partition=3,start=5,end=9}", "x{a=t2,b=0,c=7,d=7}", "{a=t3,b=x,c=1,d=2}", "nothing"
     )
     parsed = parsers.parse_offset_manifest(source)
     assert rows(parsed) == [("t1", 3, 5, 9), ("t2", 0, 7, 7)]
