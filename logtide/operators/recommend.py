@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import as_doubles, unit
 from ..session import ensure_checkpoint_dir
+from .lookups import lookup_join
 from .numbering import dense_index, take_n, top_k_per_key
 from .ratings import prediction_error
 
@@ -56,18 +57,6 @@ def als_evaluate(model: ALSModel, ratings: DataFrame) -> DataFrame:
     return prediction_error(ratings, als_predict(model, ratings))
 
 
-def recommend_top_n(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
-    """user, rank, item, score: the n best items for the given users, or for all."""
-    lists = (
-        model.recommendForAllUsers(n) if users is None
-        else model.recommendForUserSubset(users.select("user").distinct(), n)
-    )
-    return lists.select("user", F.posexplode("recommendations").alias("_at", "_r")).select(
-        "user", (F.col("_at") + 1).alias("rank"), F.col("_r.item").alias("item"),
-        F.col("_r.rating").cast("double").alias("score"),
-    )
-
-
 def _best_in_cell(n: int):
     def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if users.empty or items.empty:
@@ -136,6 +125,19 @@ def rank_all_items(users: DataFrame, items: DataFrame, n: int) -> DataFrame:
     return top_products(as_vectors(users, "id", "features"), as_vectors(items, "id", "features"), n)
 
 
+def recommend_top_n(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
+    """user, rank, item, score: the n best items for the given users, or for all.
+
+    Scored by ``top_products``; the model's own recommend methods would plan a
+    cross join of factor blocks.
+    """
+    chosen = model.userFactors
+    if users is not None:
+        asked = users.select(F.col("user").alias("id")).distinct()
+        chosen = lookup_join(chosen, asked, ["id"], "left_semi")
+    return rank_all_items(chosen, model.itemFactors, n)
+
+
 def similar_items(items: DataFrame, seeds: DataFrame, n: int = 10) -> DataFrame:
     """item, rank, other, cosine: the n nearest items of each seed, itself included.
 

@@ -56,7 +56,8 @@ def als_evaluate(inputs: Inputs):
     SELECT CAST(u AS INTEGER) AS "user", CAST(unnest([1, 2, 3]) AS INTEGER) AS rank
     FROM (SELECT DISTINCT "user" AS u FROM {RATING})""")
 def recommend_top_n(inputs: Inputs):
-    return recommend.recommend_top_n(_model(_ratings(inputs)), 3).select("user", "rank")
+    tops = recommend.recommend_top_n(_model(_ratings(inputs)), 3)
+    return tops.select(F.col("user").cast("int").alias("user"), "rank")
 
 
 @register("rank_all_items", """

@@ -99,5 +99,7 @@ def test_als(spark):
     some = spark.createDataFrame([(1,), (2,)], "user int")
     tops = recommend.recommend_top_n(model, 3, some).collect()
     assert sorted((r.user, r["rank"]) for r in tops) == [(u, k) for u in (1, 2) for k in (1, 2, 3)]
+    own = {r.user: [x.item for x in r.recommendations] for r in model.recommendForAllUsers(3).collect()}
+    assert all([r.item for r in sorted((t for t in tops if t.user == u), key=lambda t: t["rank"])] == own[u] for u in (1, 2))
     by_rank = sorted((r for r in tops if r.user == 1), key=lambda r: r["rank"])
     assert [r.score for r in by_rank] == sorted((r.score for r in by_rank), reverse=True)
