@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
-from .common import register, table
+from . import exact_dedup, html_extract, langid, mixing, ordinal, packing, topk, urls
+from .common import crc_remainder, register, table
 
 DEDUP_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256,
@@ -69,3 +69,44 @@ SELECT doc_id, size, source_size, target, 0::BIGINT FROM sizes s JOIN targets t
 @register("op6_mixing", MIX_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op1_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@register("op3_langid")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc_remainder("doc_id", 5) == 0
+    found = langid.predict(docs, langid.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_topk")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.exact_topk(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+RULES = [
+    urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
+]
+
+
+@register("op7_urls")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), RULES)
+
+
+@register("op9_html")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
+@register("op10_quality")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, ordinal.quality_ratings(table(spark, folder, "labels")), grades=3)
+    return ordinal.grade_documents(docs, model).drop("text")

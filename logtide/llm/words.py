@@ -50,12 +50,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _hash_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions of the words in ``data``."""
+def _hash_bytes(data: np.ndarray, prefix: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (of the first ``prefix`` bytes) and start positions of the words in ``data``."""
     up, down = _power_tables(len(data) + 1)
     word = ~_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
+    if prefix:
+        ends = np.minimum(ends, starts + prefix)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
@@ -79,8 +81,11 @@ def _pieces(texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
         yield i, data[at:]
 
 
-def word_hashes(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and the number of words of each text."""
+def word_hashes(texts: list[str | None], lower: bool = False, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and the number of words of each text.
+
+    ``lower`` lower-cases A-Z; ``prefix`` hashes the first bytes of each word only.
+    """
     counts = np.zeros(len(texts), np.int64)
     out: list[np.ndarray] = []
     held: list[tuple[int, bytes]] = []
@@ -93,7 +98,7 @@ def word_hashes(texts: list[str | None], lower: bool = False) -> tuple[np.ndarra
         data = np.frombuffer(b" ".join(d for _, d in held), np.uint8)
         if lower:
             data = _LOWER[data]
-        hashes, starts = _hash_bytes(data)
+        hashes, starts = _hash_bytes(data, prefix)
         bounds = np.cumsum([len(d) + 1 for _, d in held])
         per_piece = np.diff(np.searchsorted(starts, np.concatenate(([0], bounds))))
         np.add.at(counts, [i for i, _ in held], per_piece)
