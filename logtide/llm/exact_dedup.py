@@ -12,7 +12,7 @@ counted as kept per id), a null id sorts after all ids, an empty table gives no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_folder, write_through
@@ -21,14 +21,14 @@ from .common import SPACE, text_or_empty
 BUCKETS = 64  # files of the index per append; only the layout, not the result, depends on it
 
 
+def digest() -> Column:
+    """SHA-256 of the text without space characters."""
+    return F.sha2(F.regexp_replace(text_or_empty(), SPACE + "+", "").cast("binary"), 256)
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, text_sha256 of the text without space characters, n_points of the original text."""
-    text = text_or_empty()
-    return docs.select(
-        "doc_id",
-        F.sha2(F.regexp_replace(text, SPACE + "+", "").cast("binary"), 256).alias("text_sha256"),
-        F.char_length(text).cast("long").alias("n_points"),
-    )
+    return docs.select("doc_id", digest().alias("text_sha256"), F.char_length(text_or_empty()).cast("long").alias("n_points"))
 
 
 def best_of_digest(rows: DataFrame) -> DataFrame:
@@ -100,6 +100,16 @@ def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """The documents that stay, with the columns they came with; one of rows equal in id and text."""
+    # One key of digest and id, so that the join's shuffle also serves the grouping after it.
+    key = lambda digest: F.concat_ws(":", digest, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    kept = write_through(exact_dedup(docs, index).filter("kept").select(key(F.col("text_sha256")).alias("_key")).distinct(), "kept")
+    rows = docs.select(F.struct("*").alias("_row"), F.char_length(text_or_empty()).alias("_points"), key(digest()).alias("_key"))
+    found = rows.join(kept, "_key")
+    return found.groupBy("_key").agg(F.max_by("_row", "_points").alias("_row")).select("_row.*")
+
+
 def new_index(spark, label: str = "digest_index") -> DigestIndex:
     """An empty index in the shared folder, under a name of its own."""
     folder = new_folder(spark, label)

@@ -178,25 +178,23 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
         rows["grade"].to_numpy(np.int64), grades)
 
 
-def grade_documents(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
-    """Every column of ``docs`` with expected_grade, tail (P of the highest grade) and selected appended."""
-    names = {"expected_grade": "double", "tail": "double", "selected": "boolean"}
-    taken = {c.lower() for c in docs.columns}
-    fields = [f"`{c}` {t}" for c, t in docs.dtypes]
-    assert not taken & set(names), "a column of the documents has the name of a result"
-    used = [i for i, c in enumerate(docs.columns) if c == "text"][0]
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
-
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        local = Model(*shared.value)
-        for batch in batches:
-            tails = local.tails(list(batch.iloc[:, used]))
-            batch["expected_grade"] = tails.sum(axis=1)
-            batch["tail"] = tails[:, -1]
-            batch["selected"] = tails[:, -1] >= keep_at
-            yield batch
+def graded(model: Model, text: Column, keep_at: float = KEEP_AT) -> Column:
+    """Of a text: expected_grade, tail (P of the highest grade) and selected, as one struct."""
+    shared = (model.weights.astype(np.float32), model.thresholds)
+
+    @F.pandas_udf("expected_grade double, tail double, selected boolean")
+    def grade(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        local = Model(*shared)
+        for some in texts:
+            tails = local.tails(list(some))
+            yield pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail": tails[:, -1], "selected": tails[:, -1] >= keep_at})
+
+    return grade(text)
+
 
-    return docs.mapInPandas(predict, ", ".join(fields + [f"{n} {t}" for n, t in names.items()]))
+def select_documents(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
+    """The documents whose highest grade is likely enough, with the columns they came with."""
+    return docs.filter(graded(model, F.col("text"), keep_at).getField("selected"))
 
 
 def quality_ratings(labels: DataFrame) -> DataFrame:

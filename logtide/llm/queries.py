@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, langid, mixing, ordinal, packing, topk, urls
+from . import exact_dedup, html_extract, jaccard_join, kneser_ney, langid, mixing, ordinal, packing, topk, urls
 from .common import crc_remainder, register, table
 
 DEDUP_SQL = r"""
@@ -109,4 +109,16 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = ordinal.train(docs, ordinal.quality_ratings(table(spark, folder, "labels")), grades=3)
-    return ordinal.grade_documents(docs, model).drop("text")
+    return docs.select("doc_id", ordinal.graded(model, F.col("text")).alias("grade")).select("doc_id", "grade.*")
+
+
+@register("op2_language_model")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc_remainder("doc_id", 10) == 0
+    return kneser_ney.score(docs, kneser_ney.train(docs.filter(~held_out)), held_out)
+
+
+@register("op4_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"))
