@@ -272,7 +272,7 @@ class Scorer:
         if level == 1:
             total = about["sum"]
             spread = sum(a * b for a, b in zip(d, about["more"])) / total if total else 1.0
-            p = (self._discounted(1, count) / total if total else 0.0) + spread / (self.size + 1)
+            p = self._discounted(1, count) / max(total, 1) + spread / (self.size + 1)
         else:
             lower = self.probabilities(distinct[:, 1:])
             context, context_one, _ = summed(gram_keys(distinct[:, :-1]))
