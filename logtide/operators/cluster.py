@@ -35,15 +35,23 @@ def kmeans_centres(model: KMeansModel) -> list[list[float]]:
 
 
 def _nearest(point: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """struct(distance, cluster) of the nearest centre; the first of equally near ones."""
-    candidates = []
-    for index, centre in enumerate(centres):
-        square = F.lit(0.0)
-        for axis, at in enumerate(centre):
-            step = F.get(point, F.lit(axis)) - F.lit(float(at))
-            square = square + step * step
-        candidates.append(F.struct(square.alias("distance"), F.lit(index).alias("cluster")))
-    return F.array_min(F.array(*candidates))
+    """struct(distance, cluster) of the nearest centre; the first of equally near ones.
+
+    The centres are one constant that the expression walks, so the plan has the same
+    few nodes for any number of centres and axes. A point of another length fails the job.
+    """
+    width = len(centres[0])
+    if any(len(centre) != width for centre in centres):
+        raise ValueError("centres differ in their number of axes")
+    table = F.lit([[float(x) for x in centre] for centre in centres])
+    wrong = F.raise_error(F.concat(F.lit(f"a point has not {width} axes: "), F.size(point).cast("string")))
+    checked = F.when(F.size(point) == width, point).otherwise(wrong.cast("array<double>"))
+
+    def square(centre: Column) -> Column:
+        steps = F.zip_with(checked, centre, lambda x, at: (x - at) * (x - at))
+        return F.aggregate(steps, F.lit(0.0), lambda total, step: total + step)
+
+    return F.array_min(F.transform(table, lambda c, i: F.struct(square(c).alias("distance"), i.alias("cluster"))))
 
 
 def kmeans_assign(points: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:

@@ -8,50 +8,42 @@ from pyspark.sql import functions as F
 from ..functions.net import ip_to_long
 from .lookups import lookup_join
 
-# Ranges are cut at multiples of 2^16; those over 256 such blocks at multiples of 2^24.
-NARROW_BITS = 16
-WIDE_BITS = 24
-NARROW_BLOCKS = 256
-
-# Wide ranges are listed by block up to this address, far above 255.255.255.255.
-LAST_ADDRESS = (1 << 40) - 1
-
-
-def _by_block(ranges: DataFrame, bits: int, suffix: str) -> DataFrame:
-    """One row per block a range touches.
-
-    Disjoint ranges share at most their edge blocks, so this adds no more rows
-    than there are blocks, whatever the width of the ranges.
-    """
-    first = F.shiftright(F.greatest("start_ip", F.lit(0)), bits)
-    last = F.shiftright(F.least("end_ip", F.lit(LAST_ADDRESS)), bits)
-    return ranges.where(first <= last).select(
-        F.explode(F.sequence(first, last)).alias(f"_block{bits}"),
-        F.col("start_ip").alias(f"_start{suffix}"),
-        F.col("end_ip").alias(f"_end{suffix}"),
-        F.col("company").alias(f"_company{suffix}"),
+# Block sizes (in bits) that ranges are cut at. A range is listed at the smallest one at which
+# it touches under MOST_BLOCKS blocks; at the largest one no range of long addresses touches more.
+BLOCK_BITS = (16, 24, 32, 40, 48, 56)
+MOST_BLOCKS = 256
+
+
+def _touched(bits: int):
+    return F.shiftright("end_ip", bits) - F.shiftright("start_ip", bits)
+
+
+def _by_block(ranges: DataFrame, bits: int) -> DataFrame:
+    """One row per block that a range of this size class touches."""
+    chosen = ranges.where((F.col("start_ip") <= F.col("end_ip")) & (_touched(bits) < MOST_BLOCKS))
+    if bits > BLOCK_BITS[0]:
+        chosen = chosen.where(_touched(bits - 8) >= MOST_BLOCKS)
+    return chosen.select(
+        F.explode(F.sequence(F.shiftright("start_ip", bits), F.shiftright("end_ip", bits))).alias(f"_block{bits}"),
+        F.col("start_ip").alias(f"_start{bits}"),
+        F.col("end_ip").alias(f"_end{bits}"),
+        F.col("company").alias(f"_company{bits}"),
     )
 
 
 def ip_to_company(events: DataFrame, ranges: DataFrame, ip: str = "ip", how: str = "left") -> DataFrame:
-    """Add the company whose range holds the address.
+    """Add the company whose range holds the address, whatever its number of fields.
 
-    ``how='left'`` keeps unmatched rows with a null company, ``'inner'`` drops
-    them. The range condition rides on an equality over address blocks, so no
-    nested loop is planned.
+    ``how='left'`` keeps unmatched rows with a null company, ``'inner'`` drops them. The range
+    condition rides on an equality over address blocks, so no nested loop is planned. Ranges
+    should be disjoint: of overlapping ones, those of the same block size each give a row.
     """
-    touched = F.shiftright("end_ip", NARROW_BITS) - F.shiftright("start_ip", NARROW_BITS)
-    narrow = _by_block(ranges.where(touched < NARROW_BLOCKS), NARROW_BITS, "_n")
-    wide = _by_block(ranges.where(touched >= NARROW_BLOCKS), WIDE_BITS, "_w")
-
     address = F.col("_address")
-    placed = events.withColumn("_address", ip_to_long(ip)).withColumns({
-        f"_block{NARROW_BITS}": F.shiftright("_address", NARROW_BITS),
-        f"_block{WIDE_BITS}": F.shiftright("_address", WIDE_BITS),
-    })
-    found = placed
-    for side, bits, suffix in ((narrow, NARROW_BITS, "_n"), (wide, WIDE_BITS, "_w")):
-        inside = address.between(F.col(f"_start{suffix}"), F.col(f"_end{suffix}"))
-        found = lookup_join(found, side, [f"_block{bits}"], "left", inside)
-    named = found.select(*events.columns, F.coalesce("_company_n", "_company_w").alias("company"))
+    found = events.withColumn("_address", ip_to_long(ip))
+    for bits in BLOCK_BITS:
+        inside = address.between(F.col(f"_start{bits}"), F.col(f"_end{bits}"))
+        found = found.withColumn(f"_block{bits}", F.shiftright("_address", bits))
+        found = lookup_join(found, _by_block(ranges, bits), [f"_block{bits}"], "left", inside)
+    company = F.coalesce(*[F.col(f"_company{bits}") for bits in BLOCK_BITS])
+    named = found.select(*events.columns, company.alias("company"))
     return named.where(F.col("company").isNotNull()) if how == "inner" else named

@@ -17,8 +17,8 @@ from .ratings import prediction_error
 # Rows of each side that meet in one task of a vector product.
 CELL_ROWS = 2048
 
-# Scores are compared at this many decimals, so that equal vectors tie and fall back to the id.
-SCORE_DIGITS = 9
+# Seeds up to this number are scored next to the scan of the items.
+MOST_SEEDS = 1024
 
 
 def als_train(
@@ -27,9 +27,13 @@ def als_train(
     max_iter: int = 20,
     reg: float = 0.01,
     seed: int = 7,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Explicit-feedback ALS on (user, item, rate); pairs with unseen ids get no prediction."""
+    """Explicit-feedback ALS on (user, item, rate); pairs with unseen ids get no prediction.
+
+    Users and items are cut into ``blocks`` each, by default twice the cluster's parallelism.
+    """
+    blocks = blocks or 2 * ratings.sparkSession.sparkContext.defaultParallelism
     ensure_checkpoint_dir(ratings.sparkSession)  # ALS cuts its own lineage there
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
@@ -57,6 +61,22 @@ def als_evaluate(model: ALSModel, ratings: DataFrame) -> DataFrame:
     return prediction_error(ratings, als_predict(model, ratings))
 
 
+def _best_columns(products: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each row's n largest values; of equal ones the first columns.
+
+    A partial selection finds the n-th value; only what reaches it is sorted.
+    """
+    rows, columns = [], []
+    last = products.shape[1] - n
+    least = np.partition(products, last, axis=1)[:, last] if last > 0 else None
+    for i, values in enumerate(products):
+        near = np.arange(len(values)) if least is None else np.flatnonzero(values >= least[i])
+        best = near[np.argsort(-values[near], kind="stable")[:n]]
+        rows.append(np.full(len(best), i))
+        columns.append(best)
+    return np.concatenate(rows), np.concatenate(columns)
+
+
 def _best_in_cell(n: int):
     def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if users.empty or items.empty:
@@ -65,13 +85,11 @@ def _best_in_cell(n: int):
             )
         items = items.sort_values("id")
         products = np.stack(users["vector"]) @ np.stack(items["vector"]).T
-        products = np.round(products, SCORE_DIGITS)
-        # Columns are in id order, so a stable sort breaks ties by id.
-        best = np.argsort(-products, axis=1, kind="stable")[:, :n]
+        row, best = _best_columns(products, n)
         return pd.DataFrame({
-            "user": np.repeat(users["id"].to_numpy(), best.shape[1]),
-            "item": items["id"].to_numpy()[best].ravel(),
-            "score": np.take_along_axis(products, best, axis=1).ravel(),
+            "user": users["id"].to_numpy()[row],
+            "item": items["id"].to_numpy()[best],
+            "score": products[row, best],
         })
 
     return score
@@ -86,7 +104,9 @@ def top_products(
     cut into cells of about ``cell_rows`` by ``cell_rows``; each side is sent
     once to every cell in its row or column, a cell is one matrix product, and
     only the cell's n best per user leave it. No cross join is planned and no
-    task holds more than one cell.
+    task holds more than one cell. The work is users x items products, and each side is
+    shuffled once per ``cell_rows`` rows of the other: the cost of an exact ranking.
+    Equal scores are ordered by item id.
     """
     bands = max(1, -(-users.count() // cell_rows))
     stacks = max(1, -(-items.count() // cell_rows))
@@ -119,8 +139,7 @@ def as_vectors(df: DataFrame, id_column: str, vector: str, normalise: bool = Fal
 def rank_all_items(users: DataFrame, items: DataFrame, n: int) -> DataFrame:
     """The catalogue ranked per user by factor product, down to rank n.
 
-    With n at the size of the catalogue this is the full ranking; the item ids
-    travel with their factors, so no position -> id map is needed.
+    The item ids travel with their factors, so no position -> id map is needed.
     """
     return top_products(as_vectors(users, "id", "features"), as_vectors(items, "id", "features"), n)
 
@@ -141,13 +160,23 @@ def recommend_top_n(model: ALSModel, n: int, users: DataFrame | None = None) ->
 def similar_items(items: DataFrame, seeds: DataFrame, n: int = 10) -> DataFrame:
     """item, rank, other, cosine: the n nearest items of each seed, itself included.
 
-    Both inputs are (id, features). All seeds are scored in one job.
+    Both inputs are (id, features). Up to MOST_SEEDS seeds go to the tasks that read the
+    items, which send on the n best of each batch; more seeds are ranked in cells.
     """
-    nearest = top_products(
-        as_vectors(seeds, "id", "features", normalise=True),
-        as_vectors(items, "id", "features", normalise=True),
-        n,
-    )
+    asked = as_vectors(seeds, "id", "features", normalise=True)
+    catalogue = as_vectors(items, "id", "features", normalise=True)
+    few = asked.limit(MOST_SEEDS + 1).toPandas()
+    if len(few) > MOST_SEEDS:
+        nearest = top_products(asked, catalogue, n)
+    else:
+        score = _best_in_cell(n)
+
+        def near(batches):
+            for batch in batches:
+                yield score(few, batch)
+
+        best = catalogue.mapInPandas(near, "user bigint, item bigint, score double")
+        nearest = top_k_per_key(best, n, ["user"], [F.col("score").desc(), "item"])
     return nearest.select(
         F.col("user").alias("item"), "rank", F.col("item").alias("other"), F.col("score").alias("cosine")
     )

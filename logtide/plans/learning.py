@@ -17,7 +17,7 @@ def _ratings(inputs: Inputs):
 
 
 def _model(ratings):
-    return recommend.als_train(ratings, rank=RANK, max_iter=10)
+    return recommend.als_train(ratings, rank=RANK, max_iter=20)
 
 
 # Factors depend on the seed and on float summation order, so what is compared
@@ -65,12 +65,13 @@ def recommend_top_n(inputs: Inputs):
       SELECT a.vec_id AS "user", b.vec_id AS item,
         round(list_dot_product(a.v, b.v), 9) AS score,
         CAST(row_number() OVER (PARTITION BY a.vec_id
-          ORDER BY round(list_dot_product(a.v, b.v), 9) DESC, b.vec_id) AS INTEGER) AS rank
+          ORDER BY list_dot_product(a.v, b.v) DESC, b.vec_id) AS INTEGER) AS rank
       FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) a,
            (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) b)
     WHERE rank <= 20""")
 def rank_all_items(inputs: Inputs):
-    return recommend.rank_all_items(inputs.vectors(), inputs.vectors(), 20)
+    ranked = recommend.rank_all_items(inputs.vectors(), inputs.vectors(), 20)
+    return ranked.withColumn("score", F.round("score", 9))
 
 
 @register("similar_items", """
@@ -79,12 +80,13 @@ def rank_all_items(inputs: Inputs):
     SELECT item, rank, other, cosine FROM (
       SELECT a.vec_id AS item, b.vec_id AS other, round(list_dot_product(a.v, b.v), 9) AS cosine,
         CAST(row_number() OVER (PARTITION BY a.vec_id
-          ORDER BY round(list_dot_product(a.v, b.v), 9) DESC, b.vec_id) AS INTEGER) AS rank
+          ORDER BY list_dot_product(a.v, b.v) DESC, b.vec_id) AS INTEGER) AS rank
       FROM (SELECT * FROM unit ORDER BY vec_id LIMIT 10) a, unit b)
     WHERE rank <= 10""")
 def similar_items(inputs: Inputs):
     items = inputs.vectors()
-    return recommend.similar_items(items, recommend.seed_items(items, 10), 10)
+    near = recommend.similar_items(items, recommend.seed_items(items, 10), 10)
+    return near.withColumn("cosine", F.round("cosine", 9))
 
 
 @register("score_index_join", """
@@ -100,15 +102,18 @@ def score_index_join(inputs: Inputs):
 
 
 @register("kmeans_train", """
-    SELECT CAST(unnest([0, 1, 2, 3]) AS INTEGER) AS cluster, true AS cheaper_than_one_centre""")
+    SELECT CAST(4 AS BIGINT) AS clusters, count(*) AS points,
+      round(var_pop(x) * count(*) + var_pop(y) * count(*), 3) AS one_centre_cost, true AS cheaper
+    FROM (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_orderkey % 50 AS DOUBLE) AS y FROM lineitem)""")
 def kmeans_train(inputs: Inputs):
     points = parsers.parse_points(inputs.point_txt())
-    centres = cluster.kmeans_centres(cluster.kmeans_train(points, k=4, runs=3))
+    centres = cluster.kmeans_centres(cluster.kmeans_train(points, k=4, runs=10))
     costs = cluster.kmeans_cost(points, centres)
     x, y = F.get("point", F.lit(0)), F.get("point", F.lit(1))
     one_centre = points.agg(F.var_pop(x) * F.count("*") + F.var_pop(y) * F.count("*")).scalar()
-    total = costs.agg(F.sum("cost")).scalar()
-    return costs.select("cluster", (total < one_centre).alias("cheaper_than_one_centre"))
+    trained = costs.agg(F.count("*").alias("clusters"), F.sum("points").alias("points"), F.sum("cost").alias("_cost"))
+    return trained.select(
+        "clusters", "points", F.round(one_centre, 3).alias("one_centre_cost"), (F.col("_cost") < one_centre).alias("cheaper"))
 
 
 _DISTANCES = ", ".join(f"pow(x - {x}, 2) + pow(y - {y}, 2)" for x, y in CENTRES)

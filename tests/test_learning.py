@@ -68,14 +68,37 @@ def test_top_products_equal_brute_force(vectors, cell_rows):
     side = recommend.as_vectors(df, "id", "features")
     got = recommend.top_products(side, side, 5, cell_rows).collect()
     for user, v in made:
-        scores = sorted(((-round(sum(a * b for a, b in zip(v, w)), 9), item) for item, w in made))[:5]
+        scores = sorted(((-sum(a * b for a, b in zip(v, w)), item) for item, w in made))[:5]
         mine = sorted((r.rank, r.item) for r in got if r.user == user)
         assert mine == [(i + 1, item) for i, (_, item) in enumerate(scores)]
 
 
-def test_full_ranking_lists_the_whole_catalogue(vectors):
-    made, df = vectors
-    assert recommend.rank_all_items(df, df, len(made)).count() == len(made) ** 2
+def test_small_scores_keep_their_order(spark):
+    users = spark.createDataFrame([(1, [1e-6, 0.0])], "id bigint, features array<double>")
+    items = spark.createDataFrame([(1, [1e-5, 0.0]), (2, [2e-5, 0.0]), (3, [3e-5, 0.0])], "id bigint, features array<double>")
+    ranked = sorted((r["rank"], r.item) for r in recommend.rank_all_items(users, items, 2).collect())
+    assert ranked == [(1, 3), (2, 2)]
+
+
+def test_many_seeds_are_ranked_in_cells(vectors, monkeypatch, rows):
+    _, df = vectors
+    seeds = recommend.seed_items(df, 6)
+    few = rows(recommend.similar_items(df, seeds, 4), "item", "rank", "other")
+    monkeypatch.setattr(recommend, "MOST_SEEDS", 2)
+    assert rows(recommend.similar_items(df, seeds, 4), "item", "rank", "other") == few
+
+
+def test_points_of_another_length_fail(spark):
+    points = spark.createDataFrame([([0.0, 1.0],), ([0.0],)], "point array<double>")
+    with pytest.raises(Exception, match="has not 2 axes"):
+        cluster.kmeans_assign(points, [[1.0, 1.0]]).collect()
+
+
+def test_plan_does_not_grow_with_the_centres(spark, plan_of):
+    points = spark.createDataFrame([([0.0] * 64,)], "point array<double>")
+    centres = [[float(i + j) for j in range(64)] for i in range(500)]
+    assert cluster.kmeans_assign(points, centres).first().cluster == 0
+    assert plan_of(cluster.kmeans_assign(points, centres)).count("zip_with") <= 4
 
 
 def test_similar_items_include_the_item(vectors, plan_of):
