@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import offsets, parsers
-from ..sinks.tables import read_latest
+from ..sinks.tables import create_hourly_table, read_sums
 from ..streaming import jobs
 from ..streaming.batches import RefreshingDimension, batch_function_sink, batch_table_sink
 from .inputs import Inputs
@@ -34,8 +34,8 @@ def stream_media_traffic(inputs: Inputs):
     channels = RefreshingDimension(inputs.channels)
     lines = inputs.media_log(inputs.stream("events"))
     jobs.stream_media_traffic(lines, channels, out, checkpoint).awaitTermination()
-    latest = read_latest(inputs.spark, out, ["domain", "timestamp"])
-    return latest.select("domain", "userid", "timestamp", "cs")
+    sums = read_sums(inputs.spark, out, ["domain", "timestamp"], "cs")
+    return sums.select("domain", "userid", "timestamp", "cs")
 
 
 @register("stream_hourly_table", f"""
@@ -46,12 +46,11 @@ def stream_media_traffic(inputs: Inputs):
 def stream_hourly_table(inputs: Inputs):
     out, checkpoint = _folders(inputs, "stream-hourly")
     lines = inputs.access_log(inputs.stream("events"))
-    jobs.stream_hourly_table(lines, out, checkpoint).awaitTermination()
-    schema = (
-        "domain string, dir1 string, dir2 string, timestamp bigint, cs bigint, "
-        "batch_id int, month_ string, day_ string, hour_ string"
-    )
-    return inputs.spark.read.schema(schema).parquet(out).drop("batch_id")
+    table = "hourly_" + out.rsplit("-", 1)[-1]
+    columns = "domain STRING, dir1 STRING, dir2 STRING, timestamp BIGINT, cs BIGINT"
+    create_hourly_table(inputs.spark, table, out, columns, batches=True)
+    jobs.stream_hourly_table(lines, out, checkpoint, table=table).awaitTermination()
+    return inputs.spark.table(table).drop("batch_id")
 
 
 @register("stream_relay", """
@@ -67,15 +66,8 @@ def stream_relay(inputs: Inputs):
 @register("batch_function_sink", MEDIA_SQL)
 def batch_function(inputs: Inputs):
     out, checkpoint = _folders(inputs, "batch-function")
-    keep = batch_table_sink(out)
-
-    def twice(batch, batch_id):
-        # The second run stands for a replay after a failure: it must not add rows.
-        keep(batch, batch_id)
-        keep(batch, batch_id)
-
     media = parsers.parse_media_log(inputs.media_log(inputs.stream("events")))
-    batch_function_sink(media, twice, checkpoint).awaitTermination()
+    batch_function_sink(media, batch_table_sink(out), checkpoint).awaitTermination()
     return inputs.spark.read.parquet(out).drop("batch_id")
 
 

@@ -32,11 +32,15 @@ def hourly_parquet_append(df: DataFrame, path: str, moment: Column | str) -> Non
     placed.hint("rebalance", *HOUR_PARTITION).write.mode("append").partitionBy(*HOUR_PARTITION).parquet(path)
 
 
-def create_hourly_table(spark: SparkSession, table: str, path: str, columns: str) -> None:
-    """Catalog table over the hourly layout; ``columns`` is the DDL of the data columns."""
+def create_hourly_table(spark: SparkSession, table: str, path: str, columns: str, batches: bool = False) -> None:
+    """Catalog table over the hourly layout; ``columns`` is the DDL of the data columns.
+
+    ``batches`` adds the batch id below the hour, as ``write_hours`` lays it out.
+    """
+    own, key = (", batch_id BIGINT", ", batch_id") if batches else ("", "")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, month_ STRING, day_ STRING, hour_ STRING) "
-        f"USING parquet PARTITIONED BY (month_, day_, hour_) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, month_ STRING, day_ STRING, hour_ STRING{own}) "
+        f"USING parquet PARTITIONED BY (month_, day_, hour_{key}) LOCATION '{path}'"
     )
 
 
@@ -64,6 +68,48 @@ def write_batch(
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_hours(df: DataFrame, path: str, batch_id: int, table: str | None = None) -> None:
+    """Write one micro-batch under ``month_/day_/hour_/batch_id``, and put its hours into the catalog.
+
+    Only the folders of this batch id are replaced, so a batch that runs again leaves its
+    rows once, and other batches of the hour stay.
+    """
+    spark = df.sparkSession
+    layout = [*HOUR_PARTITION, "batch_id"]
+    placed = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    placed.hint("rebalance", *HOUR_PARTITION).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
+    if table is None:
+        return
+    # The hours that a batch touches are a handful of short rows.
+    hours = df.select(*HOUR_PARTITION).distinct().collect()
+    for hour in hours:
+        values = ", ".join(f"{name}='{hour[name]}'" for name in HOUR_PARTITION)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}, batch_id={batch_id})")
+    if hours:
+        spark.catalog.refreshTable(table)
+
+
+def read_sums(spark: SparkSession, path: str, keys: Sequence[str], value: str) -> DataFrame:
+    """Partial sums written by ``write_batch`` -> one row per key: the sum over all batches.
+
+    Other columns come from the newest batch that has the key.
+    """
+    rows = spark.read.parquet(path)
+    others = [name for name in rows.columns if name not in (*keys, value, "batch_id")]
+    newest = [F.max_by(name, "batch_id").alias(name) for name in others]
+    return rows.groupBy(*keys).agg(F.sum(value).alias(value), *newest)
+
+
+def compact_sums(spark: SparkSession, path: str, target: str, keys: Sequence[str], value: str, day: Column) -> None:
+    """Fold all batches into one table by day, for readers of long histories.
+
+    ``day`` is an expression over the keys. The answer of ``read_sums`` is kept, one row per key.
+    """
+    folded = read_sums(spark, path, keys, value).withColumns({"day": day, "batch_id": F.lit(0)})
+    folded.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Batches written by ``write_batch`` -> the newest row of every key."""
     rows = spark.read.parquet(path)

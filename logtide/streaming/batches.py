@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import write_through
 from ..sinks.tables import write_batch
 
 
@@ -41,7 +42,9 @@ def batch_table_sink(path: str) -> Callable[[DataFrame, int], None]:
 class RefreshingDimension:
     """A dimension that is read again once it is older than ``ttl`` seconds.
 
-    Used inside a batch function: every batch asks for the current rows.
+    Used inside a batch function: every batch asks for the current rows. What is loaded is
+    written once to a folder of its own and served from there, so replacing the source in
+    the meantime disturbs no batch, and batches share one reading of it.
     """
 
     def __init__(
@@ -59,6 +62,6 @@ class RefreshingDimension:
     def rows(self) -> DataFrame:
         now = self._clock()
         if self._rows is None or now - self._read_at > self._ttl:
-            self._rows = self._load()
+            self._rows = write_through(self._load(), "dimension")
             self._read_at = now
         return self._rows

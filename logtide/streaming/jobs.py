@@ -11,27 +11,15 @@ from ..operators.lookups import attach_userid
 from ..operators.offsets import save_offset_nodes
 from ..operators.parsers import FIREWALL_TAG, parse_access_log, parse_media_log, reshape_firewall_log
 from ..functions.times import batch_time_parts
-from ..sinks.tables import HOUR_PARTITION, write_batch
+from ..sinks.tables import HOUR_PARTITION, write_batch, write_hours
 from ..sinks.text import keyed_messages
 from .batches import RefreshingDimension, batch_function_sink
 
 
-def media_traffic_stream(lines: DataFrame, lateness: str = "30 minutes") -> DataFrame:
-    """Published bytes by domain and event minute, for update mode.
-
-    Minutes are held as state until the watermark passes them; later rows are
-    dropped by then. Each batch emits the minutes it changed, with their new sum.
-    """
+def media_traffic_batch(lines: DataFrame) -> DataFrame:
+    """Published bytes by domain and event minute of one batch of lines."""
     media = publish_only(parse_media_log(lines, only="publish"))
-    timed = media.withColumn("at", F.timestamp_seconds(F.col("timestamp").cast("bigint")))
-    sums = (
-        timed.withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 minute").alias("_minute"), "domain")
-        .agg(F.sum("cs").alias("cs"))
-    )
-    return sums.select(
-        "domain", F.unix_timestamp("_minute.start").cast("string").alias("timestamp"), "cs"
-    )
+    return media.groupBy("domain", "timestamp").agg(F.sum("cs").alias("cs"))
 
 
 def stream_media_traffic(
@@ -39,23 +27,20 @@ def stream_media_traffic(
     channels: RefreshingDimension,
     path: str,
     checkpoint: str,
-    lateness: str = "30 minutes",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Keep published bytes per (domain, userid, minute) in ``path``.
+    """Keep published bytes per (domain, userid, minute) in ``path``, as partial sums per batch.
 
-    Read the result with ``read_latest(path, ['domain', 'timestamp'])``. A
-    minute whose lines arrive in several batches is one row with the whole sum,
-    not one row per batch.
+    Read the result with ``read_sums(path, ['domain', 'timestamp'], 'cs')``. A line counts
+    however late it comes: a batch adds its own sums for every minute it touches, no state is
+    held between batches, and a batch that runs again replaces its sums.
     """
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        named = attach_userid(batch, channels.rows())
+        named = attach_userid(media_traffic_batch(batch), channels.rows())
         write_batch(named.select("domain", "timestamp", "userid", "cs"), path, batch_id)
 
-    return batch_function_sink(
-        media_traffic_stream(lines, lateness), action, checkpoint, "update", interval
-    )
+    return batch_function_sink(lines, action, checkpoint, "append", interval)
 
 
 def stream_hourly_table(
@@ -64,10 +49,13 @@ def stream_hourly_table(
     checkpoint: str,
     batch_time: bool = False,
     interval: str | None = None,
+    table: str | None = None,
 ) -> StreamingQuery:
-    """Parsed access lines under batch_id / month_ / day_ / hour_.
+    """Parsed access lines under month_ / day_ / hour_, each hour's batches below it.
 
-    The hour is the line's own; with ``batch_time`` it is that of the batch.
+    The hour is the line's own; with ``batch_time`` it is that of the batch. With ``table``
+    (see ``create_hourly_table``) every hour that a batch wrote is put into the catalog. A
+    batch that runs again replaces its rows, as each hour holds them under the batch's id.
     """
     parsed = parse_access_log(lines)
     moment = F.current_timestamp() if batch_time else F.timestamp_seconds("timestamp")
@@ -75,7 +63,7 @@ def stream_hourly_table(
     def action(batch: DataFrame, batch_id: int) -> None:
         parts = batch_time_parts(moment)
         placed = batch.withColumns({name: parts[name] for name in HOUR_PARTITION})
-        write_batch(placed.hint("rebalance", *HOUR_PARTITION), path, batch_id, HOUR_PARTITION)
+        write_hours(placed, path, batch_id, table)
 
     return batch_function_sink(parsed, action, checkpoint, "append", interval)
 

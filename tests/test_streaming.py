@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from logtide.operators import parsers, rollups
 from logtide.plans.inputs import Inputs
 from logtide.session import new_folder
-from logtide.sinks.tables import read_latest, write_batch
+from logtide.sinks.tables import compact_sums, create_hourly_table, read_sums, write_batch, write_hours
 from logtide.sources.streams import file_stream_scan
 from logtide.streaming import jobs
 from logtide.streaming.batches import RefreshingDimension, batch_function_sink, batch_table_sink
@@ -34,9 +34,30 @@ def test_many_batches_give_the_batch_answer(spark, inputs, media_folder, rows):
     jobs.stream_media_traffic(media_stream(spark, media_folder), channels, out, checkpoint).awaitTermination()
     assert spark.read.parquet(out).select("batch_id").distinct().count() >= 6
     columns = ["domain", "userid", "timestamp", "cs"]
-    latest = read_latest(spark, out, ["domain", "timestamp"])
+    sums = read_sums(spark, out, ["domain", "timestamp"], "cs")
     batch = rollups.media_traffic_minute(parsers.parse_media_log(inputs.media_log()), inputs.channels())
-    assert rows(latest, *columns) == rows(batch, *columns)
+    assert rows(sums, *columns) == rows(batch, *columns)
+
+
+def test_late_lines_count_and_replays_and_compaction_keep_the_sums(spark, lines, rows):
+    line = "edge1 [{}/Jan/2024:{}:00:07 +0000] 1 a.com live s1 10.0.0.1 172.16.0.1 PUBLISH rtmp://x \"args\" 100 - 1"
+    hours = [("02", "05"), ("02", "06"), ("01", "01"), ("02", "05")]  # hours and a day out of order
+    folder, out, checkpoint, folded = (new_folder(spark, n) for n in ("late", "out", "cp", "folded"))
+    for day, hour in hours:
+        lines(line.format(day, hour)).coalesce(1).write.mode("append").text(folder)
+    channels = RefreshingDimension(lambda: spark.createDataFrame([("a.com", "u")], "domain string, userid string"))
+    jobs.stream_media_traffic(media_stream(spark, folder), channels, out, checkpoint).awaitTermination()
+    keys = ["domain", "timestamp"]
+    got = rows(read_sums(spark, out, keys, "cs"), "timestamp", "cs", "userid")
+    at = lambda day, hour: str(1704067200 + (day - 1) * 86400 + hour * 3600)
+    assert got == sorted([(at(2, 5), 200, "u"), (at(2, 6), 100, "u"), (at(1, 1), 100, "u")])
+    first = spark.read.parquet(f"{out}/batch_id=0")
+    write_batch(spark.createDataFrame(first.collect(), first.schema), out, 0)
+    assert rows(read_sums(spark, out, keys, "cs"), "timestamp", "cs", "userid") == got
+    day = F.date_format(F.timestamp_seconds(F.col("timestamp").cast("bigint")), "yyyyMMdd")
+    compact_sums(spark, out, folded, keys, "cs", day)
+    assert rows(spark.read.parquet(folded), "timestamp", "cs", "userid") == got
+    assert spark.read.parquet(folded).select("day").distinct().count() == 2
 
 
 def test_stream_continues_from_its_checkpoint(spark, inputs, media_folder, rows):
@@ -91,3 +112,27 @@ def test_dimension_is_read_again_after_its_ttl(spark):
     for now[0] in (0.0, 10.0, 3600.0, 3601.0, 3700.0):
         dimension.rows()
     assert reads == [0.0, 3601.0]
+
+
+def test_dimension_survives_a_replaced_source(spark, rows):
+    source = new_folder(spark, "dim")
+    spark.range(3).write.parquet(source)
+    now = [0.0]
+    dimension = RefreshingDimension(lambda: spark.read.parquet(source), ttl=60, clock=lambda: now[0])
+    assert dimension.rows().count() == 3
+    spark.range(10, 15).write.mode("overwrite").parquet(source)
+    assert rows(dimension.rows()) == [(0,), (1,), (2,)]
+    now[0] = 61.0
+    assert dimension.rows().count() == 5
+
+
+def test_hours_are_in_the_catalog_and_replays_replace(spark):
+    out = new_folder(spark, "hours")
+    table = "hours_" + out.rsplit("-", 1)[-1]
+    create_hourly_table(spark, table, out, "id BIGINT", batches=True)
+    batch = lambda low, high: spark.range(low, high).select("id", *[F.lit(v).alias(n) for n, v in (("month_", "202401"), ("day_", "01"))], F.format_string("%02d", F.col("id") % 2).alias("hour_"))
+    for batch_id, rows_ in ((0, batch(0, 10)), (1, batch(10, 30)), (0, batch(0, 10))):
+        write_hours(rows_, out, batch_id, table)
+    assert sorted(r.id for r in spark.table(table).collect()) == list(range(30))
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 4
+    spark.sql(f"DROP TABLE {table}")
