@@ -6,11 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import export_path
-from ..sources.tables import file_inventory
 from .lookups import domain_semi_join
 
-__all__ = ["export_plan", "file_inventory", "reconcile_delivery", "delivery_failures"]
-
 
 def export_plan(files: DataFrame, domains: DataFrame) -> DataFrame:
     """Source files of the listed domains with the path each is delivered under.
@@ -31,9 +28,10 @@ def reconcile_delivery(plan: DataFrame, delivered: DataFrame) -> DataFrame:
     """target, source_size, delivered_size (0 when absent), difference, status.
 
     Status is ``failed`` when nothing arrived, ``short`` when the sizes differ,
-    else ``ok``.
+    else ``ok``. A file delivered several times counts with its largest size, so
+    every planned file has one row.
     """
-    arrived = delivered.select(F.col("path").alias("target"), F.col("size").alias("_arrived"))
+    arrived = delivered.groupBy(F.col("path").alias("target")).agg(F.max("size").alias("_arrived"))
     sizes = plan.select("target", F.col("size").alias("source_size")).join(arrived, "target", "left")
     both = sizes.select(
         "target", "source_size", F.coalesce("_arrived", F.lit(0)).cast("bigint").alias("delivered_size")

@@ -1,11 +1,11 @@
-"""Dimension joins: a broadcast behind a size check, a shuffle join beyond it.
-
-Facts may hold one key in a third of their rows. A broadcast moves no facts, so
-such a key does no harm there. In a shuffle join, adaptive execution cuts the
-partition of a hot key into slices (facts stand on the left, the side that may
-be cut in every join type used here), which costs nothing where no key is hot.
-``salted_join`` spreads keys up front, for joins that adaptive execution does
-not reach.
+"""Dimension joins: equality joins whose strategy the planner picks by size.
+
+A dimension read from files is sized by its files, a computed one by its shuffle when it
+has run: below ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, beyond it both
+sides are shuffled, and adaptive execution cuts the partition of a hot key into slices
+(facts stand on the left, the side that may be cut in every join type used here).
+Nothing is counted first and nothing runs while a join is being built. ``salted_join``
+spreads keys up front, for joins that adaptive execution does not reach.
 """
 
 from __future__ import annotations
@@ -16,25 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 8
 
 
-def fits_broadcast(
-    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Measure the side: true when it is within both bounds.
-
-    Reads at most ``max_rows + 1`` rows, so the check itself stays small
-    whatever the size of ``dim``.
-    """
-    width = F.octet_length(F.to_json(F.struct(*dim.columns)))
-    seen = dim.limit(max_rows + 1).select(F.coalesce(width, F.lit(0)).alias("_w"))
-    rows, size = seen.agg(F.count("*"), F.coalesce(F.sum("_w"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
-
 def _matched(
     facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str, residual: Column | None
 ) -> DataFrame:
@@ -62,10 +46,11 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which each key's facts are spread over ``salts`` tasks.
 
-    The salt is a hash of the fact row, so a retried task places its rows as
-    before; ``dim`` is repeated once per salt.
+    The salt is a hash of the fact row and of its number in its partition, so rows that are
+    equal are spread too; ``dim`` is repeated once per salt, so any salt finds its match.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int"))
+    own = F.xxhash64(*_hashable(facts), F.monotonically_increasing_id())
+    salted = facts.withColumn("_salt", F.pmod(own, F.lit(salts)).cast("int"))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return _matched(salted, repeated, [*on, "_salt"], how, residual).drop("_salt")
 
@@ -76,16 +61,12 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     residual: Column | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join facts to a dimension: broadcast when its measured size allows, else by shuffle.
+    """Join facts to a dimension.
 
     ``how`` is inner, left, left_semi or left_anti; ``residual`` is a further
     condition over column names that the two sides do not share.
     """
-    if fits_broadcast(dim, max_rows, max_bytes):
-        return _matched(facts, F.broadcast(dim), on, how, residual)
     return _matched(facts, dim, on, how, residual)
 
 
@@ -112,6 +93,6 @@ def domain_anti_join(df: DataFrame, domains: DataFrame) -> DataFrame:
 def term_lookup(terms: DataFrame, vocabulary: DataFrame, on: str = "term") -> DataFrame:
     """Add term ids and weights; terms outside the vocabulary are dropped.
 
-    A vocabulary grows with the data, so it is broadcast only while it is small.
+    A vocabulary grows with the data; it is broadcast only while the planner finds it small.
     """
     return lookup_join(terms, vocabulary, [on], "inner")

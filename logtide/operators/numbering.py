@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .lookups import salted_join
+from ..session import materialize, write_through
+from .lookups import lookup_join
 
 # monotonically_increasing_id(): partition number above, row number in the low 33 bits.
 _ROW_BITS = 33
 
+# Largest k for which Spark plans a group limit (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+SLICES = 64
+
 
 def dense_index(
     df: DataFrame, order_by: Sequence[Column | str], index: str = "idx", start: int = 0
@@ -49,11 +53,13 @@ def rank_per_user(
     """Every item ranked from 1 within its user, best score first, ties by item.
 
     A user's items may span many partitions: rows are numbered over the whole
-    (user, score, item) order and each user's first number is taken off.
+    (user, score, item) order and each user's first number is taken off. The first
+    numbers are written as a table, so that the join is between two plain scans: a
+    broadcast where they are few, else a shuffle that slices a hot user's partition.
     """
     numbered = dense_index(scores, [F.col(user), F.col(score).desc(), F.col(item)], "_n")
-    firsts = numbered.groupBy(user).agg(F.min("_n").alias("_first"))
-    ranked = salted_join(numbered, firsts, [user], "inner")
+    firsts = write_through(numbered.groupBy(user).agg(F.min("_n").alias("_first")), "first-numbers")
+    ranked = lookup_join(numbered, firsts, [user], "inner")
     return ranked.select(*scores.columns, (F.col("_n") - F.col("_first") + 1).alias(rank))
 
 
@@ -77,8 +83,15 @@ def top_k_per_key(
 ) -> DataFrame:
     """The k first rows of every key, ranked from 1.
 
-    The rank filter is pushed below the shuffle as a group limit, so each task
-    sends at most k rows per key.
+    Up to GROUP_LIMIT the planner pushes the rank filter below the shuffle, so each task
+    sends at most k rows per key. Beyond it a key is first ranked in SLICES slices, and
+    only the k first rows of each slice meet in one task.
     """
     window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    if k <= GROUP_LIMIT:
+        # The planner itself puts a group limit before and after the shuffle.
+        return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    spread = df.withColumn("_slice", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if "map" not in t]), F.lit(SLICES)))
+    sliced = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
+    best = spread.withColumn(rank, F.row_number().over(sliced)).where(F.col(rank) <= k).drop("_slice", rank)
+    return best.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)

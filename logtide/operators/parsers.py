@@ -112,7 +112,7 @@ def parse_access_log(lines: DataFrame, line: str = "line", keep: Sequence[str] =
     return drop_malformed(fields, ["domain", "dir1", "dir2", "timestamp", "cs"])
 
 
-# Counter line layout: column name -> position, all but the host bigint.
+# Counter line layout, column name -> position, all but the host bigint.
 COUNTER_FIELDS = {
     "host": 1, "isp": 10, "region": 11, "timestamp": 2,
     "count": 8, "userid": 3, "zone": 4, "viewid": 7,

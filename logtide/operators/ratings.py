@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rollups import mean_squared_error
-
 
 def rating_prediction_join(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
     """Inner join on (user, item) -> user, item, rate, pred, pairs.
@@ -22,6 +20,24 @@ def rating_prediction_join(ratings: DataFrame, predictions: DataFrame) -> DataFr
     )
 
 
+def rated_predictions(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
+    """The join itself, for export: user, item, rate, pred once per multiplied pair."""
+    return ratings.select("user", "item", "rate").join(predictions.select("user", "item", "pred"), ["user", "item"])
+
+
 def prediction_error(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Mean squared error over the multiplied pairs of :func:`rating_prediction_join`."""
-    return mean_squared_error(rating_prediction_join(ratings, predictions), weight="pairs")
+    """pairs, mse: mean squared error over the multiplied pairs of :func:`rated_predictions`.
+
+    Each side is summed per (user, item) before the join: with n, the sum and the sum of
+    squares of both, the squared differences of all pairs add up to
+    m * sum(r^2) - 2 * sum(r) * sum(p) + n * sum(p^2). One shuffle per side.
+    """
+    def sums(df: DataFrame, value: str, prefix: str) -> DataFrame:
+        x = F.col(value)
+        return df.where(x.isNotNull()).groupBy("user", "item").agg(
+            F.count("*").alias(f"{prefix}n"), F.sum(x).alias(f"{prefix}1"), F.sum(x * x).alias(f"{prefix}2"))
+
+    both = sums(ratings, "rate", "_r").join(sums(predictions, "pred", "_p"), ["user", "item"])
+    squares = F.col("_pn") * F.col("_r2") - 2 * F.col("_r1") * F.col("_p1") + F.col("_rn") * F.col("_p2")
+    pairs = F.sum(F.col("_rn") * F.col("_pn"))
+    return both.agg(F.coalesce(pairs, F.lit(0)).alias("pairs"), F.try_divide(F.sum(squares), pairs).alias("mse"))

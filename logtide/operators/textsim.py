@@ -53,6 +53,11 @@ def _idf(docs: Column, df: Column, compat: bool) -> Column:
     return F.lit(1.0) + F.ln(_ratio(docs, df, compat))
 
 
+def _weighed(frequencies: DataFrame, documents: int, compat: bool) -> DataFrame:
+    weight = _idf(F.lit(documents), F.col("df"), compat)
+    return document_frequency(frequencies).select("term", "df", weight.alias("idf"))
+
+
 def idf(docs: DataFrame, frequencies: DataFrame, compat: bool = False) -> DataFrame:
     """term, df, idf = 1 + ln(documents / df)."""
     names = docs.select("name").distinct().agg(F.count("*"))
@@ -60,16 +65,22 @@ def idf(docs: DataFrame, frequencies: DataFrame, compat: bool = False) -> DataFr
     return document_frequency(frequencies).select("term", "df", weight.alias("idf"))
 
 
+def document_lengths(docs: DataFrame) -> DataFrame:
+    """name, total: words per document, from the unexploded rows."""
+    return docs.groupBy("name").agg(F.sum(F.size("words")).cast("bigint").alias("total"))
+
+
 def tf_weight(
-    docs: DataFrame, compat: bool = False, frequencies: DataFrame | None = None
+    docs: DataFrame, compat: bool = False, frequencies: DataFrame | None = None,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """name, term, cnt, total, tf = sqrt(cnt / words in the document).
 
-    Lengths come from the unexploded rows, one small row per document. Pass
-    ``frequencies`` where :func:`term_frequency` has been computed already.
+    Pass ``frequencies`` and ``lengths`` (name, total) where they have been computed already.
     """
     counts = term_frequency(docs) if frequencies is None else frequencies
-    lengths = docs.groupBy("name").agg(F.sum(F.size("words")).cast("bigint").alias("total"))
+    if lengths is None:
+        lengths = document_lengths(docs)
     joined = lookup_join(counts, lengths, ["name"], "inner")
     weight = F.sqrt(_ratio(F.col("cnt"), F.col("total"), compat))
     return joined.select("name", "term", "cnt", "total", weight.alias("tf"))
@@ -92,18 +103,21 @@ def tfidf_vectors(
     """Sparse vectors in long form: name, term_id, term, tf, idf.
 
     Neither the vocabulary nor the weights visit the driver. Word counts feed
-    both, so they are written once. Pass ``terms`` (from :func:`vocabulary`)
+    the vocabulary, the document lengths and the weights, so they are written once and
+    the text is read once. Pass ``terms`` (from :func:`vocabulary`)
     to weigh new documents by earlier ones; ``only`` then limits the vectors to
     some terms, as a query needs them.
     """
+    lengths = None
     if terms is None:
         counts = write_through(term_frequency(docs), "word-counts")
-        terms = vocabulary(docs, compat, counts)
+        lengths = write_through(counts.groupBy("name").agg(F.sum("cnt").alias("total")), "lengths")
+        terms = dense_index(_weighed(counts, lengths.count(), compat), ["term"], "term_id")
     else:
         counts = term_frequency(docs, only)
         if only is not None:
             terms = _only_terms(terms, only)
-    weighted = term_lookup(tf_weight(docs, compat, counts), terms.select("term", "term_id", "idf"))
+    weighted = term_lookup(tf_weight(docs, compat, counts, lengths), terms.select("term", "term_id", "idf"))
     return weighted.select("name", "term_id", "term", "tf", "idf")
 
 
@@ -124,3 +138,18 @@ def score_query(vectors: DataFrame, query: DataFrame, terms: DataFrame) -> DataF
     )
     score = F.coalesce(F.try_divide(F.col("_sum"), norm), F.lit(0.0)) * F.col("matched") / size
     return sums.select("name", "matched", score.alias("score"))
+
+
+def score_documents(docs: DataFrame, query: DataFrame, compat: bool = False) -> DataFrame:
+    """:func:`score_query` straight from the documents: name, matched, score.
+
+    Words are limited to the query's before anything is counted, so document frequencies,
+    weights and the join with the lengths see only those; no vocabulary is numbered.
+    """
+    wanted = write_through(query.select("term").distinct(), "query")
+    counts = write_through(term_frequency(docs, wanted), "query-counts")
+    lengths = write_through(document_lengths(docs), "lengths")
+    terms = write_through(_weighed(counts, lengths.count(), compat), "query-terms")
+    weighted = tf_weight(docs, compat, counts, lengths)
+    vectors = term_lookup(weighted, terms.select("term", "idf")).select("name", "term", "tf", "idf")
+    return score_query(vectors, wanted, terms)

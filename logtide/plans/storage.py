@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.times import batch_time_parts
-from ..operators import delivery, filters, lookups, parsers
+from ..operators import delivery, filters, lookups, parsers, ratings
 from ..sinks import tables as table_sinks
 from ..sinks import text as text_sinks
 from ..sources import tables
@@ -111,9 +111,10 @@ def register_partition(inputs: Inputs):
     _hourly(inputs, folder)
     spark = inputs.spark
     table_sinks.create_hourly_table(spark, table, folder, "event_id BIGINT, cs BIGINT, moment TIMESTAMP")
-    table_sinks.register_partition(spark, table, "202401", "01", "00")
-    table_sinks.register_partition(spark, table, "202401", "01", "00")
-    table_sinks.register_all_partitions(spark, table)
+    hours = spark.read.schema("month_ string, day_ string, hour_ string").parquet(folder).distinct()
+    for hour in hours.collect():  # one short row per hour of the fixture's day
+        table_sinks.register_partition(spark, table, *hour)
+    table_sinks.register_partition(spark, table, *hour)
     return spark.table(table).drop("moment")
 
 
@@ -139,12 +140,11 @@ def message_sink(inputs: Inputs):
 
 @register("csv_line_sink", f"""
     SELECT concat_ws(',', r."user", r.item, CAST(r.rate AS VARCHAR), CAST(p.pred AS VARCHAR)) AS value
-    FROM (SELECT DISTINCT * FROM {{RATING}}) r JOIN (SELECT DISTINCT "user", item, pred FROM {PREDICTED_SQL}) p
+    FROM {{RATING}} r JOIN {PREDICTED_SQL} p
       ON r."user" = p."user" AND r.item = p.item""")
 def csv_line_sink(inputs: Inputs):
     folder = inputs.new_folder("csv-lines")
-    rated = parsers.parse_ratings(inputs.rating_txt()).distinct()
-    pairs = rated.join(predictions(inputs).distinct(), ["user", "item"])
+    pairs = ratings.rated_predictions(parsers.parse_ratings(inputs.rating_txt()), predictions(inputs))
     columns = ["user", "item", "rate", "pred"]
     text_sinks.csv_line_sink(pairs, folder, columns, ["user", "item", "rate"])
     return tables.text_scan(inputs.spark, folder)

@@ -94,9 +94,6 @@ def tfidf_vectors(inputs: Inputs):
     FROM {TFW_SQL} f JOIN query q ON f.term = q.term JOIN {IDF_SQL} w ON f.term = w.term, norm, size
     GROUP BY f.name""")
 def score_query(inputs: Inputs):
-    docs = _docs(inputs)
-    terms = textsim.vocabulary(docs)
     query = inputs.table("benchmark").select(F.explode(F.split("text", " ")).alias("term"))
-    vectors = textsim.tfidf_vectors(docs, terms=terms, only=query)
-    scores = textsim.score_query(vectors, query, terms)
+    scores = textsim.score_documents(_docs(inputs), query)
     return scores.select("name", "matched", F.round("score", 6).alias("score"))

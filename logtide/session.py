@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -55,6 +57,7 @@ def work_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="logtide-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -80,6 +83,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the driver remove an intermediate folder when it ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def write_through(df: DataFrame, label: str = "rows") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and continue from the table.
 
@@ -89,6 +98,7 @@ def write_through(df: DataFrame, label: str = "rows") -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, label)
     df.write.parquet(folder)
+    remove_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -96,7 +106,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows over all cores when the scan has fewer splits than there are cores.
 
     For heavy per-row work (tokenising, model training) on a table that comes
-    as a few files. A scan with enough splits is returned as it is.
+    as a few files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +22,34 @@ def kafka_options(
     starting: str,
     max_rate: int = 0,
     batch_seconds: float = 0,
-    partitions: int = 1,
+    partitions: int | None = None,
 ) -> dict[str, str]:
-    """Source options; a rate per partition and second becomes a limit per trigger."""
-    options = {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": ",".join(topics),
-        "startingOffsets": starting,
-        "failOnDataLoss": "true",
-    }
+    """Source options; a rate per partition and second becomes a limit per trigger.
+
+    Offsets JSON names its partitions, and exactly these are read (``assign``); with
+    ``earliest`` or ``latest`` all partitions of the topics are. The source limits all
+    partitions together, so a rate needs their number: it is taken from the JSON, or
+    must be given.
+    """
+    options = {"kafka.bootstrap.servers": servers, "startingOffsets": starting, "failOnDataLoss": "true"}
+    if starting.startswith("{"):
+        assigned = assigned_partitions(starting)
+        options["assign"] = json.dumps(assigned)
+        partitions = sum(map(len, assigned.values()))
+    else:
+        options["subscribe"] = ",".join(topics)
     if max_rate > 0 and batch_seconds > 0:
+        if not partitions:
+            raise ValueError("a rate per partition needs the number of partitions")
         options["maxOffsetsPerTrigger"] = str(int(max_rate * batch_seconds) * partitions)
     return options
 
 
+def assigned_partitions(offsets: str) -> dict[str, list[int]]:
+    """Offsets JSON -> the partitions it names per topic, as the ``assign`` option wants them."""
+    return {topic: sorted(map(int, held)) for topic, held in json.loads(offsets).items()}
+
+
 def _messages(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("key").cast("string").alias("key"),
@@ -74,15 +89,11 @@ def stream_resume_scan(
 def offset_range_read(
     spark: SparkSession, servers: str, topics: Sequence[str], starting: str, ending: str
 ) -> DataFrame:
-    """Bounded batch read of ``[starting, ending)``, both given as offsets JSON."""
-    return _messages(
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics))
-        .option("startingOffsets", starting)
-        .option("endingOffsets", ending)
-        .load()
-    )
+    """Bounded batch read of ``[starting, ending)``, both offsets JSON over the same partitions."""
+    if assigned_partitions(starting) != assigned_partitions(ending):
+        raise ValueError("the starting and ending offsets name different partitions")
+    options = kafka_options(servers, topics, starting)
+    return _messages(spark.read.format("kafka").options(**options).option("endingOffsets", ending).load())
 
 
 def file_stream_scan(

@@ -29,7 +29,7 @@ def numeric_matrix_scan(spark: SparkSession, paths: str | Sequence[str], strict:
     return rows.select(F.when(bad, error.cast("array<bigint>")).otherwise(F.col("cells")).alias("cells"))
 
 
-# Channel dimension: column name -> position.
+# Channel dimension, column name -> position.
 CHANNEL_FIELDS = {"domain": 0, "customer": 6, "business": 10}
 
 
@@ -50,16 +50,17 @@ def dimension_csv_scan(
 
 def index_range_scan(
     spark: SparkSession, root: str, index: str, suffix: str, start: str, stop: str,
-    time: str = "timestamp",
+    time: str = "timestamp", schema: str | None = None,
 ) -> DataFrame:
     """One dated index, between two times inclusive (text seconds of equal length).
 
-    The index name and date are partition values, so only that folder is read;
-    the time range goes to the Parquet reader.
+    The one folder of that index and date is opened, so no other is listed and the date
+    stays the text it is; the time range goes to the Parquet reader. A stated ``schema``
+    saves opening a file to learn it.
     """
-    rows = spark.read.parquet(root)
-    chosen = rows.where((F.col("index_name") == index) & (F.col("index_date") == suffix))
-    return chosen.where(F.col(time).between(start, stop)).drop("index_name", "index_date")
+    folder = f"{root.rstrip('/')}/index_name={index}/index_date={suffix}"
+    rows = spark.read.parquet(folder) if schema is None else spark.read.schema(schema).parquet(folder)
+    return rows.where(F.col(time).between(start, stop))
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -68,6 +69,10 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         .select("path", "length")
     )
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    relative = F.substring_index(F.col("path"), f"{base}/", -1)
-    return files.select(relative.alias("path"), "length")
+    # The root as the file system writes it; every file's path begins with it.
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    base = path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString().rstrip("/")
+    # Spark writes local paths with an empty authority (file:///), Hadoop without (file:/).
+    plain = F.regexp_replace("path", "^file:/+", "file:/")
+    return files.select(F.substring(plain, len(base) + 2, 1 << 30).alias("path"), "length")

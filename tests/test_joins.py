@@ -23,7 +23,7 @@ def test_all_ways_to_join_agree(skewed, rows, how):
     columns = sorted(plain.columns)
     for joined in (
         lookups.lookup_join(facts, dim, ["k"], how),
-        lookups.lookup_join(facts, dim, ["k"], how, max_rows=5),
+        lookups.lookup_join(facts.hint("merge"), dim, ["k"], how),
         lookups.salted_join(facts, dim, ["k"], how),
     ):
         assert rows(joined, *columns) == rows(plain, *columns)
@@ -42,12 +42,36 @@ def test_salting_spreads_a_hot_key(spark, skewed):
     assert len(sizes) >= 5 and max(sizes) < sum(sizes) / 2
 
 
-def test_size_check_bounds_rows_and_bytes(skewed):
-    _, dim = skewed
-    assert lookups.fits_broadcast(dim)
-    assert not lookups.fits_broadcast(dim, max_rows=39)
-    assert lookups.fits_broadcast(dim, max_rows=40)
-    assert not lookups.fits_broadcast(dim, max_bytes=100)
+def test_equal_rows_of_a_hot_key_are_spread(spark, rows):
+    facts = spark.range(9000).select(F.lit(1).alias("k"), F.lit("same").alias("x")).repartition(4)
+    dim = spark.createDataFrame([(1, "v")], "k int, v string")
+    joined = lookups.salted_join(facts, dim, ["k"], "inner")
+    assert joined.count() == 9000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookups.salted_join(facts, dim, ["k"], "inner")
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) >= 4 and max(sizes) < 9000 * 0.6
+
+
+def test_building_a_lookup_runs_nothing(spark, data, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        facts = spark.read.parquet(f"{data}/lineitem.parquet")
+        parts = spark.read.parquet(f"{data}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_size")
+        tracked = list(tracker.getJobIdsForGroup("build"))
+        joined = lookups.lookup_join(facts, parts.groupBy("l_partkey").agg(F.max("p_size").alias("size")), ["l_partkey"])
+        joined.explain()
+        assert list(tracker.getJobIdsForGroup("build")) == tracked
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "SinglePartition" not in plan and "GlobalLimit" not in plan
 
 
 def test_plans_of_both_ways(skewed, plan_of):
@@ -70,7 +94,7 @@ def test_shuffle_join_slices_a_hot_key(spark, skewed, rows, plan_of):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = lookups.lookup_join(facts.repartition(8, "id"), dim, ["k"], "left", max_rows=5)
+        joined = lookups.lookup_join(facts.repartition(8, "id"), dim, ["k"], "left")
         assert rows(joined, "id", "k", "v") == expected
         joined.collect()
         assert "skew=true" in plan_of(joined)
@@ -100,11 +124,30 @@ def ranges(spark):
     return made
 
 
-@pytest.mark.parametrize("limit", [None, 3])
-def test_ip_ranges_equal_brute_force(spark, ranges, rows, monkeypatch, limit):
-    if limit:  # force the shuffle join
-        real = lookups.fits_broadcast
-        monkeypatch.setattr(lookups, "fits_broadcast", lambda dim, *_: real(dim, limit))
+def test_ranges_of_long_addresses(spark):
+    """Five to seven fields, wide and narrow ranges above 2^40, and a range that starts below zero."""
+    made = [(-50, 5, "low"), (2**32, 2**32 + 10, "five"), (2**40 - 3, 2**41, "across"), (2**44, 2**50, "wide"), (2**55, 2**55, "one"), (2**56 - 9, 2**56 + 2**40, "seven")]
+    asked = [0, 4, 5, 6, 2**32, 2**32 + 11, 2**40, 2**41, 2**41 + 1, 2**44 - 1, 2**47 + 5, 2**50, 2**55 - 1, 2**55, 2**56 - 9, 2**56 + 7]
+    text = lambda a: ".".join(str(a >> s & 255) for s in range(max(24, (a.bit_length() - 1) // 8 * 8), -1, -8))
+    events = spark.createDataFrame([(i, text(a)) for i, a in enumerate(asked)] + [(99, "300.0.0.0.7")], "id int, ip string")
+    table = spark.createDataFrame(made, "start_ip bigint, end_ip bigint, company string")
+    want = {i: next((c for s, e, c in made if s <= a <= e), None) for i, a in enumerate(asked)}
+    want[99] = next((c for s, e, c in made if s <= 300 * 2**32 + 7 <= e), None)
+    assert {r.id: r.company for r in ipranges.ip_to_company(events, table).collect()} == want
+    inner = ipranges.ip_to_company(events, table, how="inner")
+    assert {r.id: r.company for r in inner.collect()} == {i: c for i, c in want.items() if c}
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_ip_ranges_equal_brute_force(spark, ranges, rows, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_ranges(spark, ranges)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_ranges(spark, ranges):
     rng = random.Random(5)
     addresses = [edge + step for start, end, _ in ranges for edge in (start, end) for step in (-1, 0, 1)]
     addresses += [rng.randrange(2**32) for _ in range(500)]
@@ -126,7 +169,7 @@ def test_ip_plan_has_no_nested_loop(spark, ranges, plan_of):
     events = spark.createDataFrame([(1, "1.2.3.4")], "id int, ip string")
     table = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, company string")
     plan = plan_of(ipranges.ip_to_company(events, table))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "BroadcastHashJoin" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Join") >= 6
 
 
 def test_repeated_pairs_multiply(spark, rows):
@@ -137,3 +180,5 @@ def test_repeated_pairs_multiply(spark, rows):
     plain = rated.join(predicted, ["user", "item"])
     assert folded.agg(F.sum("pairs")).first()[0] == plain.count()
     assert ratings.prediction_error(rated, predicted).first() == (9, 1.0)
+    whole = ratings.rated_predictions(rated, predicted)
+    assert rows(whole, "user", "item", "rate", "pred") == rows(plain, "user", "item", "rate", "pred") and whole.count() == 9

@@ -59,6 +59,17 @@ def test_top_k(spark, plan_of):
     assert plan_of(top_k_of(spark)).count("WindowGroupLimit") == 2
 
 
+def test_top_k_beyond_the_group_limit(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 5000).alias("v"))
+    monkeypatch.setattr(numbering, "GROUP_LIMIT", 10)
+    got = numbering.top_k_per_key(df, 50, ["k"], [F.col("v").desc()])
+    assert got.columns == ["k", "v", "rank"]
+    for key in (0, 1):
+        held = sorted((r["rank"], r.v) for r in got.collect() if r.k == key)
+        best = sorted((i * 7919 % 5000 for i in range(key, 5000, 2)), reverse=True)[:50]
+        assert held == [(i + 1, v) for i, v in enumerate(best)]
+
+
 def test_unique_ids(spark):
     ids = [r.uid for r in numbering.unique_id(spark.range(1000).repartition(8)).collect()]
     assert len(set(ids)) == 1000

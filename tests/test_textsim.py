@@ -51,3 +51,12 @@ def test_repeated_names_are_one_document(lines, rows):
     got = {r.term: (r.cnt, r.total) for r in textsim.tf_weight(docs).collect()}
     assert got == {"x": (2, 3), "y": (1, 3)}
     assert rows(textsim.term_doc_counts(docs)) == [(1, 2)]
+
+
+def test_scores_from_documents_equal_scores_from_vectors(spark, docs, rows):
+    query = spark.createDataFrame([("x",), ("w",), ("x",), ("unknown",)], "term string")
+    terms = textsim.vocabulary(docs)
+    slow = textsim.score_query(textsim.tfidf_vectors(docs, terms=terms), query, terms)
+    fast = textsim.score_documents(docs, query)
+    key = lambda df: [(n, m, round(s, 9)) for n, m, s in rows(df, "name", "matched", "score")]
+    assert key(fast) == key(slow) and len(key(fast)) == 3
