@@ -19,12 +19,13 @@ from logtide.session import build_session
 HEADLINE = [
     "media_traffic_minute", "dir_traffic_minute", "pno_traffic_5min",
     "parse_media_log", "parse_access_log", "parse_counter_csv", "reshape_firewall_log", "parse_json_request",
-    "attach_userid", "domain_semi_join", "ip_to_company", "offset_range_fetch", "bounded_intake",
+    "attach_userid", "domain_semi_join", "ip_to_company", "offset_range_fetch",
     "check_offset_bounds", "rating_prediction_join", "mean_squared_error",
     "dense_index", "rank_per_user", "top_k_per_key", "global_sort",
     "term_frequency", "idf", "tfidf_vectors", "score_query",
     "als_predict", "rank_all_items", "similar_items", "kmeans_assign_cost", "linear_sgd",
     "hour_keyed_archive", "reconcile_delivery", "stream_media_traffic", "stream_relay",
+    "als_evaluate", "recommend_top_n", "kmeans_train", "stream_hourly_table", "csv_line_sink",
 ]
 
 
