@@ -1,19 +1,22 @@
-"""Token ids of texts, by a public byte-level BPE file and the ``tokenizers`` library.
+"""Token ids of texts, by a public byte-level BPE vocabulary.
 
-A space between other characters always starts a new word of the vocabulary's pattern, so
-a text is encoded space by space and equal stretches are encoded once per worker. Texts in
-which a space lies inside a longer run of white space are encoded whole.
+The ids are those of the ``tokenizers`` library with the vocabulary's JSON file. The same
+vocabulary also comes as ranks for ``tiktoken``, which needs a third of the time. Texts of
+the characters on which both libraries' patterns are known to agree (COMMON) are encoded
+with the ranks, all others with ``tokenizers``; tests compare the two.
 """
 
 from __future__ import annotations
 
+import base64
+import os
 import re
 
 import numpy as np
 
-CACHE = 400_000  # stretches remembered per worker; the result does not depend on it
+# ASCII with tab and line ends, Latin letters, and general punctuation without its spaces.
+COMMON = re.compile(r"[\t\n\r -~¡-ɏ‐-‧‰-⁞]*")
 
-_INSIDE_RUN = re.compile(r"\s (?!\S)")
 _encoders: dict[str | None, "Encoder"] = {}
 
 
@@ -25,47 +28,31 @@ def encoder(path: str | None = None) -> "Encoder":
 
 
 class Encoder:
-    def __init__(self, path: str | None = None):
-        import os
+    """``path``: a file of the ``tokenizers`` library, used for all texts if it is named."""
 
+    def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        self.ranks = None
         if path is None:
             import public_tokenizers
+            import tiktoken
 
             path = public_tokenizers.path("byte_bpe_50k.json")
+            with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.ranks = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+    def slow_ids(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit bytes."""
-        known = self.known
-        parts: list[list[str] | None] = []
-        new: set[str] = set()
-        for text in texts:
-            if _INSIDE_RUN.search(text):
-                parts.append(None)
-                continue
-            # A stretch is kept with the space before it; only a text's first one has none.
-            head, *rest = text.split(" ")
-            stretches = [head, *map(" ".__add__, rest)]
-            new.update(s for s in stretches if s not in known)
-            parts.append(stretches)
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = {s for p in parts if p is not None for s in p}
-        fresh = list(new)
-        for at in range(0, len(fresh), 10_000):
-            some = fresh[at : at + 10_000]
-            known.update(zip(some, self._encode(some)))
-        out = [b"" if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
-        for i, p in enumerate(parts):
-            if p is None:
-                out[i] = self._encode([texts[i]])[0]
-        return out
+        if self.ranks is None:
+            return [self.slow_ids(t) for t in texts]
+        return [
+            np.asarray(self.ranks.encode_ordinary(t), "<u4").tobytes() if COMMON.fullmatch(t) else self.slow_ids(t)
+            for t in texts]
