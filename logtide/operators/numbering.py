@@ -19,17 +19,21 @@ SLICES = 64
 
 
 def dense_index(
-    df: DataFrame, order_by: Sequence[Column | str], index: str = "idx", start: int = 0
+    df: DataFrame, order_by: Sequence[Column | str], index: str = "idx", start: int = 0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Contiguous numbers in the order of ``order_by``, without sorting in one task.
 
     Rows are range-partitioned and sorted, and that placement is written to the
     checkpoint folder. A second look counts rows per partition; a row's number
-    is its place in the partition plus the rows of all earlier partitions.
+    is its place in the partition plus the rows of all earlier partitions. ``partitions``
+    sets the number of sorts for large inputs (default: the session's shuffle width). The
+    sampling for the ranges reads the input once more: write a costly one through first.
     """
     slot = F.col("_slot")
+    ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
     placed = materialize(
-        df.repartitionByRange(*order_by)
+        ranged
         .sortWithinPartitions(*order_by)
         .withColumn("_slot", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright(slot, _ROW_BITS))

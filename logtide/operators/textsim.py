@@ -112,7 +112,7 @@ def tfidf_vectors(
     if terms is None:
         counts = write_through(term_frequency(docs), "word-counts")
         lengths = write_through(counts.groupBy("name").agg(F.sum("cnt").alias("total")), "lengths")
-        terms = dense_index(_weighed(counts, lengths.count(), compat), ["term"], "term_id")
+        terms = dense_index(write_through(_weighed(counts, lengths.count(), compat), "terms"), ["term"], "term_id")
     else:
         counts = term_frequency(docs, only)
         if only is not None:
