@@ -157,11 +157,24 @@ def bin_completion(counts: Counts, capacity: int = CAPACITY, nodes: int = NODES)
     bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     best_bins = sum(n for _, n in best)
-    # Depth first; a node is (counts left, bins so far, waste so far, path).
-    stack = [(dict(counts), 0, 0, None)]
+    # Depth first; a node is (counts of its parent, content of the next bins, bins and waste so far,
+    # path). Its own counts are made when it is taken up, so only those on one path are held.
+    stack: list[tuple] = [(counts, (), 0, 0, None)]
     while stack and nodes and best_bins > bound:
         nodes -= 1
-        left, bins, waste, path = stack.pop()
+        above, content, bins, waste, path = stack.pop()
+        left = dict(above)
+        if content:
+            # The same content as often as the counts allow, while its waste stays within the bound.
+            empty = capacity - sum(content)
+            times = min(left[s] // content.count(s) for s in set(content))
+            if empty:
+                times = min(times, max(1, ((best_bins - 1) * capacity - total - waste) // empty))
+            for s in set(content):
+                left[s] -= times * content.count(s)
+                if not left[s]:
+                    del left[s]
+            bins, waste, path = bins + times, waste + times * empty, ((content, times), path)
         allowed = (best_bins - 1) * capacity - total - waste
         if allowed < 0:
             continue
@@ -175,18 +188,7 @@ def bin_completion(counts: Counts, capacity: int = CAPACITY, nodes: int = NODES)
         largest = sizes[0]
         left_but = {**left, largest: left[largest] - 1}
         for filling in reversed(fillings([s for s in sizes if left_but[s]], left_but, capacity - largest, allowed)):
-            content = (largest, *filling)
-            # The same filling as often as the counts allow, while its waste stays within the bound.
-            empty = capacity - sum(content)
-            times = min(left[s] // content.count(s) for s in set(content))
-            if empty:
-                times = min(times, max(1, allowed // empty))
-            rest = dict(left)
-            for s in set(content):
-                rest[s] -= times * content.count(s)
-                if not rest[s]:
-                    del rest[s]
-            stack.append((rest, bins + times, waste + times * empty, ((content, times), path)))
+            stack.append((left, (largest, *filling), bins, waste, path))
     return best
 
 
