@@ -19,10 +19,11 @@ of a vocabulary of one. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,9 @@ from . import store
 from .words import combine, mix, word_hashes
 
 ORDER = 2
-SHARD_CHARACTERS = 1 << 25  # characters of the corpus per shard, about
-STRETCH_TOKENS = 1 << 20  # tokens counted or looked up at once
+SHARD_CHARACTERS = 1 << 24  # characters of the corpus per shard, about
+COUNT_CHARACTERS = 1 << 23  # characters of texts counted at once
+SCORE_CHARACTERS = 1 << 20  # characters of texts looked up at once
 END = mix(np.array([0x0E2D], np.uint64))[0]
 START_ID, UNKNOWN_ID = 0, (1 << 32) - 1  # vocabulary ids are 1 + place in the sorted hashes
 
@@ -51,14 +53,31 @@ def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes, np.cumsum(counts), END), counts + 1
 
 
-def stretches(batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
-    """Rows with their tokens, about STRETCH_TOKENS at a time."""
+def stretches(batches: Iterator[pd.DataFrame], characters: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Rows with their tokens, texts of about ``characters`` in all at a time."""
     for batch in batches:
-        sizes = batch[column].str.len().fillna(0).to_numpy(np.int64)
-        group = np.cumsum(sizes) // (4 * STRETCH_TOKENS)
+        sizes = batch["text"].str.len().fillna(0).to_numpy(np.int64)
+        group = np.cumsum(sizes) // characters
         for g in np.unique(group):
             rows = batch[group == g]
-            yield (rows, *tokens_of(list(rows[column])))
+            yield (rows, *tokens_of(list(rows["text"])))
+
+
+def squeeze(rows: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, the bytes of equal weight side by side."""
+    planes = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueeze(blocks: Iterable[bytes], dtype: str, columns: int = 1) -> np.ndarray:
+    """The rows of all blocks, one after the other."""
+    width = np.dtype(dtype).itemsize * columns
+    out = []
+    for block in blocks:
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(-1, columns))
+    rows = np.concatenate(out) if out else np.empty((0, columns), dtype)
+    return rows if columns > 1 else rows[:, 0]
 
 
 def gram_keys(ids: np.ndarray) -> np.ndarray:
@@ -87,8 +106,15 @@ def cut_by_shard(keys: np.ndarray, shards: int) -> list[tuple[int, slice]]:
 
 
 def block_rows(kind: str, keys: np.ndarray, payload: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple]:
-    """Rows of (kind, shard, ids, counts) for keys in order."""
-    return [(kind, s, payload[at].tobytes(), counts[at].astype("<i8").tobytes()) for s, at in cut_by_shard(keys, shards)]
+    """Rows of (kind, shard, ids, counts) for keys in order. Ids are put in order of their own, which packs closer."""
+    out = []
+    for s, at in cut_by_shard(keys, shards):
+        ids, n = payload[at], counts[at].astype("<i8")
+        if ids.ndim > 1:
+            order = np.lexsort(ids.T[::-1])
+            ids, n = ids[order], n[order]
+        out.append((kind, s, squeeze(ids), squeeze(n)))
+    return out
 
 
 class Table:
@@ -152,12 +178,12 @@ def count_words(docs: DataFrame, folder: str, shards: int) -> list[dict]:
     """Write the vocabulary: sorted hashes of all tokens and their counts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, tokens, _ in stretches(batches):
+        for _, tokens, _ in stretches(batches, COUNT_CHARACTERS):
             keys, times = np.unique(tokens, return_counts=True)
             yield pd.DataFrame(block_rows("word", keys, keys, times, shards), columns=["kind", "shard", "ids", "counts"])
 
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        keys, _, (times,) = summed(np.frombuffer(b"".join(blocks["ids"]), "<u8"), np.frombuffer(b"".join(blocks["counts"]), "<i8"))
+        keys, _, (times,) = summed(unsqueeze(blocks["ids"], "<u8"), unsqueeze(blocks["counts"], "<i8"))
         part = Table.write(folder, "words", key[0], keys, times)
         return pd.DataFrame({"part": [json.dumps(part | {"sum": int(times.sum())})]})
 
@@ -171,7 +197,7 @@ def count_grams(docs: DataFrame, folder: str, order: int, shards: int, words: li
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Table(folder, "words", words, shards)
-        for _, tokens, counts in stretches(batches):
+        for _, tokens, counts in stretches(batches, COUNT_CHARACTERS):
             rows = grams(token_ids(vocabulary, tokens)[0], counts, order)
             keys, one, (times,) = summed(gram_keys(rows), np.ones(len(rows), np.int64))
             yield pd.DataFrame(block_rows("gram", keys, rows[one], times, shards), columns=["kind", "shard", "ids", "counts"])
@@ -183,8 +209,8 @@ def merge_level(blocks: DataFrame, folder: str, level: int, shards: int) -> Data
     """Write the grams of one level; give back blocks for the level below, for the contexts, and the counts of counts."""
 
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        ids = np.frombuffer(b"".join(blocks["ids"]), "<u4").reshape(-1, level)
-        keys, one, (times,) = summed(gram_keys(ids), np.frombuffer(b"".join(blocks["counts"]), "<i8"))
+        ids = unsqueeze(blocks["ids"], "<u4", level).reshape(-1, level)
+        keys, one, (times,) = summed(gram_keys(ids), unsqueeze(blocks["counts"], "<i8"))
         ids = ids[one]
         part = Table.write(folder, f"grams{level}", key[0], keys, times)
         part["of"] = [int((times == j).sum()) for j in range(1, 5)]
@@ -207,8 +233,7 @@ def merge_contexts(blocks: DataFrame, folder: str, level: int) -> list[dict]:
     """Write per context of a level: the sum of its grams' counts, and its grams of count 1, 2 and more."""
 
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        numbers = np.frombuffer(b"".join(blocks["counts"]), "<i8").reshape(-1, 4)
-        keys, _, sums = summed(np.frombuffer(b"".join(blocks["ids"]), "<u8"), *numbers.T)
+        keys, _, sums = summed(unsqueeze(blocks["ids"], "<u8"), *unsqueeze(blocks["counts"], "<i8", 4).T)
         return pd.DataFrame({"part": [json.dumps(Table.write(folder, f"contexts{level}", key[0], keys, *sums))]})
 
     rows = blocks.groupBy("shard").applyInPandas(merge, "part string").collect()  # one short row per shard
@@ -315,7 +340,7 @@ def score(docs: DataFrame, folder: str, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = scorer(folder)
-        for rows, tokens, counts in stretches(batches):
+        for rows, tokens, counts in stretches(batches, SCORE_CHARACTERS):
             out = pd.DataFrame({"doc_id": rows["doc_id"], "held_out": rows["held_out"]}).reset_index(drop=True)
             found = model.score(tokens, counts)
             for name in ("n_tokens", "n_known"):
