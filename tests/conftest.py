@@ -57,3 +57,18 @@ def plan_of(df):
 @pytest.fixture(name="plan_of")
 def plan_fixture():
     return plan_of
+
+
+@pytest.fixture
+def executed_plans(spark):
+    """The final plans of all executions that a function starts, from Spark's own status store."""
+
+    def run(function):
+        store = spark._jsparkSession.sharedState().statusStore()
+        before = store.executionsCount()
+        function()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+        found = store.executionsList(int(before), 10_000)
+        return [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+
+    return run

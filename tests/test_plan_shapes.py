@@ -1,43 +1,10 @@
-"""What must not occur in the plans that the registered queries run.
-
-A query that checkpoints, writes through or streams runs several plans; a listener keeps
-all of them, so a nested loop in the work before the last read-back is seen too.
-"""
-
-import pytest
+"""What the plans of some queries must show; test_answers.py looks at what no plan may hold."""
 
 from logtide import plans
 
-# Queries that run Python inside tasks (matrix products).
-MATRIX = {"rank_all_items", "similar_items", "recommend_top_n"}
-# Queries that run the ML library, whose own jobs are not plans of this package.
-LIBRARY = {"als_train", "als_predict", "als_evaluate", "kmeans_train", "recommend_top_n"}
-
-
-def executed_plans(spark, run):
-    """The final plans of all executions that ``run`` starts, from Spark's own status store."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
-    run()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
-    found = store.executionsList(int(before), 10_000)
-    return [found.apply(i).physicalPlanDescription() for i in range(found.size())]
-
-
-@pytest.mark.parametrize("name", list(plans.queries()))
-def test_no_cross_join_and_no_python(spark, data, name):
-    ran = executed_plans(spark, lambda: plans.queries()[name](spark, data).write.format("noop").mode("overwrite").save())
-    assert ran
-    if name in LIBRARY:
-        return
-    for plan in ran:
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-        python = [p for p in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapCoGroups") if p in plan]
-        assert name in MATRIX or not python
-
 
-def test_work_before_the_last_read_is_seen(spark, data):
-    ran = executed_plans(spark, lambda: plans.queries()["score_query"](spark, data).collect())
+def test_work_before_the_last_read_is_seen(spark, data, executed_plans):
+    ran = executed_plans(lambda: plans.queries()["score_query"](spark, data).collect())
     assert len(ran) >= 4 and any("Generate" in plan for plan in ran)
 
 
