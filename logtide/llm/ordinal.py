@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .words import mix, word_hashes
 
 BITS = 18
-SAMPLE = 12_000  # rated documents that the model is fitted on, about
+SAMPLE = 8_000  # rated documents that the model is fitted on, about
 EPOCHS = 20
 SELDOM = 8
 PREFIX = 4  # first bytes of a word that are a feature of their own
@@ -104,7 +104,7 @@ def fit(row: np.ndarray, feature: np.ndarray, times: np.ndarray, grade: np.ndarr
     n = len(grade)
     often = np.bincount(feature, minlength=1 << BITS) >= seldom
     row, feature, times = (x[often[feature]] for x in (row, feature, times))
-    value = unit_values(row, times, n)
+    value = unit_values(row, times, n).astype(np.float32)
     starts = np.searchsorted(row, np.arange(n + 1))
     weights, w_sum = np.zeros(1 << BITS), np.full(1 << BITS, 1e-8)
     # Thresholds are the first plus gaps exp(g), so they stay in order.
@@ -170,12 +170,19 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
     rows = rated_sample(docs, ratings, sample).toPandas().sort_values("doc_id", ignore_index=True)
     if not len(rows):
         return Model(np.zeros(1 << BITS), np.full(grades - 1, -40.0))
-    sizes = [len(f) // 4 for f in rows["feature"]]
-    return fit(
-        np.repeat(np.arange(len(rows)), sizes),
-        np.frombuffer(b"".join(rows["feature"]), "<i4").astype(np.int64),
-        np.frombuffer(b"".join(rows["times"]), "<i4").astype(np.int64),
-        rows["grade"].to_numpy(np.int64), grades)
+    found = [np.frombuffer(f, "<i4") for f in rows["feature"]]
+    times = [np.frombuffer(t, "<i4") for t in rows["times"]]
+    # Features that few rows have are left out before the rows are joined to one array: they are most.
+    held = np.zeros(1 << BITS, np.int32)
+    for f in found:
+        held[f] += 1
+    often = [held[f] >= SELDOM for f in found]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [int(o.sum()) for o in often])
+    grade = rows["grade"].to_numpy(np.int64)
+    feature = np.concatenate([f[o] for f, o in zip(found, often)])
+    times = np.concatenate([t[o] for t, o in zip(times, often)])
+    del rows, found
+    return fit(row, feature, times, grade, grades)
 
 
 def graded(model: Model, text: Column, keep_at: float = KEEP_AT) -> Column:
