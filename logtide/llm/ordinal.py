@@ -28,6 +28,7 @@ SAMPLE = 8_000  # rated documents that the model is fitted on, about
 EPOCHS = 20
 SELDOM = 8
 PREFIX = 4  # first bytes of a word that are a feature of their own
+CHUNK = 1 << 20  # characters of texts whose features are held at once
 KEEP_AT = 0.5  # tail probability from which a document is selected
 
 _SHAPE = bytes(
@@ -66,6 +67,17 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return (pairs >> np.uint64(BITS)).astype(np.int64), (pairs & np.uint64((1 << BITS) - 1)).astype(np.int64), times
 
 
+def chunks(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of about CHUNK characters each, that together are all texts."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text or "") > CHUNK:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text or "")
+    yield slice(start, len(texts))
+
+
 def unit_values(row: np.ndarray, times: np.ndarray, n: int) -> np.ndarray:
     """Log counts, each row of unit length."""
     value = np.log1p(times)
@@ -84,6 +96,9 @@ class Model:
 
     def tails(self, texts: list[str | None]) -> np.ndarray:
         """P(grade > j) per text and threshold j; 0 for texts without words."""
+        return np.concatenate([self._tails(texts[at]) for at in chunks(texts)])
+
+    def _tails(self, texts: list[str | None]) -> np.ndarray:
         row, feature, times = features(texts)
         words = np.bincount(row, minlength=len(texts))
         weight = self.weights[feature].astype(np.float64)
@@ -153,11 +168,12 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> D
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            row, feature, times = features(list(batch["text"]))
-            ends = np.searchsorted(row, np.arange(len(batch) + 1))
+        parts = (batch.iloc[at] for batch in batches for at in chunks(list(batch["text"])))
+        for part in parts:
+            row, feature, times = features(list(part["text"]))
+            ends = np.searchsorted(row, np.arange(len(part) + 1))
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "grade": batch["grade"],
+                "doc_id": part["doc_id"], "grade": part["grade"],
                 "feature": [feature[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])],
                 "times": [times[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])]})
 

@@ -32,9 +32,7 @@ class Encoder:
 
     def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.ranks = None
+        self.ranks = self.tokenizer = None
         if path is None:
             import public_tokenizers
             import tiktoken
@@ -43,10 +41,14 @@ class Encoder:
             with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.ranks = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.path = path
 
     def slow_ids(self, text: str) -> bytes:
+        if self.tokenizer is None:  # loaded with the first text that needs it
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
