@@ -1,10 +1,13 @@
 """Jaccard self-join of texts on word shingles, by a MinHash LSH forest and exact verification.
 
 Texts of equal shingle sets form a class; classes are what is joined. Each class has, for
-every tree, a label of DEPTH min-hashes, and a tree is the sorted trie of its labels: two
-classes meet in it as deep as their labels agree. Starting from whole labels, the matched
-prefix is shortened until a pair at the threshold meets in at least one tree with the target
-probability; classes that share such a prefix in a tree are candidates.
+every tree, a whole label of DEPTH min-hashes: two classes meet in a tree as deep as their
+labels agree. Starting from whole labels, the matched prefix is shortened level by level until
+a pair at the threshold meets in at least one tree with the target probability, and until as
+large a share of the links of a query set has met: its texts are compared with all classes by
+brute force while these are signed. Classes that share a prefix of that length in a tree are
+candidates; they are found by grouping on the prefix, which gives the same candidates as a walk
+over sorted labels. A pair that meets in no tree is lost; README states how likely that is.
 
 Candidates are gathered into clusters (connected by shared prefixes). A cluster's shingle sets
 are read again, once per block of the cluster, and all pairs of a block, or of two blocks of
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
@@ -32,9 +35,11 @@ from .words import combine, mix, word_hashes
 
 SIZE = 5  # words of a shingle
 THRESHOLD = 0.8
-TREES = 16
+TREES = 32
 DEPTH = 8  # min-hashes of a whole label
-TARGET = 0.998  # probability to meet for a pair at the threshold
+TARGET = 0.99999  # probability to meet for a pair at the threshold, and share of the query set's links to meet
+QUERIES = 512  # texts that are compared with all classes to measure which links meet
+QUERY_POINTS = 1 << 16  # only texts of up to so many characters are queries, so that the set is bounded
 BLOCK_SHINGLES = 1 << 18  # shingles of a block, about
 BLOCK_CLASSES = 512  # classes of a block, about
 _COLUMNS = 4096  # shingles compared at once
@@ -88,32 +93,86 @@ def label_of(shingles: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return out.reshape(depth, TREES).T
 
 
-def signed(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, key of the shingle set, its size, and per tree the hash of the matched prefix."""
+class QuerySet:
+    """Some shingle sets, to compare any other set with all of them by brute force."""
+
+    def __init__(self, sets: list[np.ndarray], threshold: float):
+        self.threshold = threshold
+        self.keys = [set_key(s) for s in sets]
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.labels = np.array([label_of(s) for s in sets]).reshape(len(sets), TREES, DEPTH)
+        shingles, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(shingles, kind="stable")
+        self.shingles, self.owner = shingles[order], owner[order]
+        self.maybe = np.zeros(1 << 20, bool)  # by the low bits: most shingles are in no query
+        self.maybe[self.shingles & np.uint64((1 << 20) - 1)] = True
+
+    def levels(self, shingles: np.ndarray, key: bytes, label: np.ndarray) -> list[int]:
+        """For each query that the set is linked to: the deepest level at which they meet in a tree."""
+        some = shingles[self.maybe[shingles & np.uint64((1 << 20) - 1)]]
+        low, high = np.searchsorted(self.shingles, some), np.searchsorted(self.shingles, some, "right")
+        times = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum()) if len(some) else low
+        common = np.bincount(self.owner[at], minlength=len(self.keys))
+        linked = np.flatnonzero(common >= self.threshold * (len(shingles) + self.sizes - common) - 1e-9)
+        return [int(np.logical_and.accumulate(self.labels[q] == label, axis=1).sum(axis=1).max()) for q in linked if self.keys[q] != key]
+
+
+def query_set(docs: DataFrame, threshold: float) -> QuerySet:
+    """The texts of the smallest hashes, copies once."""
+    texts = docs.filter(F.char_length("text") <= QUERY_POINTS).select("text", F.xxhash64("text").alias("hash"))
+    first = [r.hash for r in texts.select("hash").distinct().orderBy("hash").limit(QUERIES).collect()]
+    found = texts.filter(F.col("hash").isin(first)).groupBy("hash").agg(F.min("text").alias("text")).collect() if first else []
+    sets = {set_key(s): s for s in shingle_sets([r.text for r in found]) if len(s)}
+    return QuerySet([sets[k] for k in sorted(sets)], threshold)
+
+
+def settled_depth(met: dict[int, int], threshold: float = THRESHOLD, target: float = TARGET) -> int:
+    """Shorten the prefix of ``matched_depth`` further until the target share of the links of the query set has met.
+
+    ``met`` has the number of links by the deepest level at which they meet.
+    """
+    depth = matched_depth(threshold, target)
+    while depth > 1 and sum(n for level, n in met.items() if level >= depth) < target * sum(met.values()):
+        depth -= 1
+    return depth
+
+
+def signed(docs: DataFrame, queries: QuerySet) -> DataFrame:
+    """doc_id, key of the shingle set, its size, the whole labels of all trees, and where the set meets the queries it is linked to."""
     kind = dict(docs.dtypes)["doc_id"]
+    shared = docs.sparkSession.sparkContext.broadcast(queries)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[bytes, list[int]] = {}  # copies in a task are signed once
+        queries = shared.value
+        seen: dict[bytes, tuple[bytes, list[int]]] = {}  # copies in a task are signed once
         for batch in batches:
-            keys, sizes, prefixes = [], [], []
+            keys, sizes, labels, levels = [], [], [], []
             for s in shingle_sets(list(batch["text"])):
                 if not len(s):
                     keys.append(None)
                     sizes.append(0)
-                    prefixes.append([])
+                    labels.append(None)
+                    levels.append([])
                     continue
                 key = set_key(s)
                 if key not in seen:
                     if len(seen) > 20_000:
                         seen.clear()
-                    label = label_of(s, depth).astype(np.uint64)
-                    seen[key] = combine(np.arange(TREES, dtype=np.uint64), *label.T).astype(np.int64).tolist()
+                    label = label_of(s)
+                    seen[key] = label.astype(">u4").tobytes(), queries.levels(s, key, label)
                 keys.append(key)
                 sizes.append(len(s))
-                prefixes.append(seen[key])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": keys, "size": sizes, "prefixes": prefixes})
+                labels.append(seen[key][0])
+                levels.append(seen[key][1])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": keys, "size": sizes, "label": labels, "levels": levels})
+
+    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, key binary, size int, label binary, levels array<int>")
+
 
-    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, key binary, size int, prefixes array<long>")
+def prefixes_of(depth: int) -> Column:
+    """Per tree, a hash of the tree and the first ``depth`` min-hashes of its label."""
+    return F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(label, t * {DEPTH * 4} + 1, {depth * 4})))")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -136,9 +195,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("groups did not settle")
 
 
-def candidate_blocks(classes: DataFrame) -> DataFrame:
+def candidate_blocks(classes: DataFrame, depth: int) -> DataFrame:
     """key, size, cluster, block, blocks: classes that share a prefix with another, and the blocks of their cluster."""
-    prefixes = classes.select("key", F.explode("prefixes").alias("prefix"))
+    prefixes = classes.select("key", F.explode(prefixes_of(depth)).alias("prefix"))
     hubs = prefixes.groupBy("prefix").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     edges = write_through(prefixes.join(write_through(hubs, "hubs"), "prefix").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), "edges")
     found = components(edges).join(classes.select(F.col("key").alias("node"), "size"), "node")
@@ -232,11 +291,12 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, target: float =
     ``links`` counts the other classes whose similarity is at least ``threshold``;
     ``group_id`` is the smallest id of all classes connected by links.
     """
-    rows = write_through(signed(docs, matched_depth(threshold, target)), "signed")
+    rows = write_through(signed(docs, query_set(docs, threshold)), "signed")
     classes = write_through(
         rows.filter("size > 0").groupBy("key").agg(
-            F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes")), "classes")
-    blocks = write_through(candidate_blocks(classes).join(classes.select("key", "doc_id"), "key"), "blocks")
+            F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("label").alias("label"), F.first("levels").alias("levels")), "classes")
+    met = {r.level: r["count"] for r in classes.select(F.explode("levels").alias("level")).groupBy("level").count().collect()}
+    blocks = write_through(candidate_blocks(classes, settled_depth(met, threshold, target)).join(classes.select("key", "doc_id"), "key"), "blocks")
     found = write_through(verified(docs, blocks, threshold), "links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))

@@ -75,6 +75,32 @@ def test_prefix_is_shortened_to_the_target():
     assert met >= 296
 
 
+def test_pairs_at_the_threshold_meet():
+    depth, rng, met = jaccard_join.matched_depth(), np.random.default_rng(5), 0
+    for _ in range(5000):
+        base = rng.integers(1, 1 << 62, 30, dtype=np.uint64)  # 24 of 30 in common
+        met += bool((jaccard_join.label_of(base[:27], depth) == jaccard_join.label_of(base[3:], depth)).all(axis=1).any())
+    assert met >= 4999  # 0.015 pairs are lost on average; 16 trees would lose 8.7
+
+
+def test_prefix_is_shortened_until_the_queries_links_meet():
+    depth = jaccard_join.matched_depth()
+    assert jaccard_join.settled_depth({}) == jaccard_join.settled_depth({8: 40, depth: 1}) == depth
+    assert jaccard_join.settled_depth({8: 40, 3: 1}) == 3 and jaccard_join.settled_depth({8: 40, 0: 1}) == 1
+
+
+def test_queries_are_compared_with_whole_sets():
+    rng = np.random.default_rng(7)
+    base = np.sort(rng.integers(1, 1 << 62, 100, dtype=np.uint64))
+    near, far = base[:85], np.sort(np.concatenate([base[:70], rng.integers(1, 1 << 62, 30, dtype=np.uint64)]))
+    queries = jaccard_join.QuerySet([base, far], 0.8)
+    label = jaccard_join.label_of(near)
+    agree = next(d for d in range(jaccard_join.DEPTH, -1, -1) if (label[:, :d] == queries.labels[0][:, :d]).all(axis=1).any())
+    assert queries.levels(near, jaccard_join.set_key(near), label) == [agree]
+    assert queries.levels(base, jaccard_join.set_key(base), queries.labels[0]) == []
+    assert jaccard_join.QuerySet([], 0.8).levels(near, b"", label) == []
+
+
 def test_chains_settle(spark):
     edges = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(150)] + [("x", "x")], "a string, b string")
     roots = {r.node: r.root for r in jaccard_join.components(edges).collect()}
