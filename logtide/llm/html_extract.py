@@ -4,7 +4,10 @@ Every page scores its containers (text that is not link text, less what lies in
 containers of no use); its best container votes, under its path of tags and classes with
 digits as one sign, for its host. The votes are summed in Spark; then each page is read
 again and its text taken from its host's winning path, or from its own best container
-where it has none of that path.
+where it has none of that path, or where its own holds those and more main text. An inner
+container is chosen over the one around it only for a score at least as high: where the outer
+one has more main text, all of it stays, unless links outweigh it or the inner one is an
+article or main element, whose text counts half as much again. Boxes named as teasers, outside of articles, are junk.
 
 Defined results: a null or empty page has an empty text; pages without a url vote together;
 on a tie the smaller path wins; a page of several containers with the winning path gives
@@ -45,6 +48,7 @@ JUNK_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer footer "
     "header login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related "
     "reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar warning widget".split())
+BOX_WORDS = frozenset("teaser teasers".split())  # of containers outside of articles: lead-ins to other pages
 
 
 @dataclass
@@ -124,7 +128,8 @@ def read_page(page: str) -> list[Node]:
             classes, words = _names(m[4]) if m[4] else ("", set())
             within_article = any(node.tag == "article" for node in stack)
             dropped = stack[-1].dropped or tag in DROPPED and not (tag == "header" and within_article) or (
-                bool(words & JUNK_WORDS) and tag not in ("body", "html"))
+                bool(words & JUNK_WORDS) and tag not in ("body", "html")) or (
+                bool(words & BOX_WORDS) and tag in CONTAINER and not within_article and tag not in ("article", "body", "main"))
             node = Node(tag, f"{stack[-1].path}/{tag}{classes}", dropped, stack[-1].linked or tag == "a")
             stack.append(node)
             if tag in CONTAINER and not dropped:
@@ -143,8 +148,7 @@ def best_container(nodes: list[Node]) -> Node:
     """The container of the highest score; of equal scores the innermost, that is, the last."""
     best = nodes[0]
     for node in nodes[1:]:
-        # A container that holds nearly all of the text of the one around it says more about where the text is.
-        if score(node) >= score(best) or node.path.startswith(best.path + "/") and score(node) >= 0.9 * score(best):
+        if score(node) >= score(best):
             best = node
     return best
 
@@ -167,9 +171,12 @@ def winning_paths(votes: DataFrame) -> DataFrame:
 
 
 def text_of(page: str, path: str | None) -> str:
-    """The page's blocks in containers of ``path``, or in its own best container if it has none."""
+    """The page's blocks in containers of ``path``, or in its own best container if it has none or that holds them all."""
     nodes = read_page(page)
-    chosen = [n for n in nodes if n.path == path and n.blocks] or [best_container(nodes)]
+    best = best_container(nodes)
+    chosen = [n for n in nodes if n.path == path and n.blocks]
+    if {b for n in chosen for b in n.blocks} <= set(best.blocks):
+        chosen = [best]
     return "\n".join(text for _, text in sorted({b for n in chosen for b in n.blocks}))
 
 

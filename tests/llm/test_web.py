@@ -167,5 +167,18 @@ def test_extraction_equals_the_articles(spark, data):
         assert got[r.page_id] == "\n".join(w for w in want if w)
 
 
+LONG = "The story goes on and on. " * 40
+
+
+@pytest.mark.parametrize("outer, inner", [("div class=content", "div class=body"), ("main", "article"), ("section", "div"), ("article", "section")])
+def test_title_and_lead_stay_beside_a_long_body(pages, outer, inner):
+    source = f"<body><{outer}><h1>Title</h1><p>lead</p><{inner}>{LONG}</{inner.split()[0]}></{outer.split()[0]}></body>"
+    want = f"Title\nlead\n{LONG.strip()}"
+    assert html_extract.text_of(source, None) == want
+    bare = f"<body><{outer}><{inner}>{LONG}</{inner.split()[0]}></{outer.split()[0]}></body>"
+    rows = [("http://a.org/1", bare)] * 3 + [("http://a.org/2", source)]
+    assert [r.text for r in html_extract.extract(pages(*rows)).orderBy("page_id").collect()] == [LONG.strip()] * 3 + [want]
+
+
 def test_no_pages(pages):
     assert html_extract.extract(pages(("http://a.org/", "x")).limit(0)).count() == 0
