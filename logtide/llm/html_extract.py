@@ -9,6 +9,9 @@ container is chosen over the one around it only for a score at least as high: wh
 one has more main text, all of it stays, unless links outweigh it or the inner one is an
 article or main element, whose text counts half as much again. Boxes named as teasers, outside of articles, are junk.
 
+Elements named as junk are left out, except for article and main elements and for pages that
+have no other text.
+
 Defined results: a null or empty page has an empty text; pages without a url vote together;
 on a tie the smaller path wins; a page of several containers with the winning path gives
 all of them in page order; repeated pages vote and are answered each; an empty table gives
@@ -48,6 +51,8 @@ JUNK_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer footer "
     "header login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related "
     "reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar warning widget".split())
+MODIFIERS = frozenset("has no with without".split())  # a name that begins or ends so says what else is there
+STATES = frozenset("closed disabled enabled off on open".split())
 BOX_WORDS = frozenset("teaser teasers".split())  # of containers outside of articles: lead-ins to other pages
 
 
@@ -63,22 +68,29 @@ class Node:
 
 
 def _names(attributes: str) -> tuple[str, set[str]]:
-    """The class as part of a path, and the words of class, id and role."""
+    """The class as part of a path, and the words of class, id and role, without names like has-sidebar or comments-open."""
     classes, words = "", set()
     for key, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
-        words.update(_WORDS.findall(value))
+        for name in value.split():
+            parts = _WORDS.findall(name)
+            if len(parts) < 2 or parts[0] not in MODIFIERS and parts[-1] not in STATES:
+                words.update(parts)
         if key.lower() == "class":
             classes = "".join("." + re.sub(r"[0-9]+", "0", c) for c in sorted(value.split()))
     return classes, words
 
 
-def read_page(page: str) -> list[Node]:
-    """All containers of a page, in page order, each with the blocks of main text in its subtree."""
+def read_page(page: str, by_name: bool = True) -> list[Node]:
+    """All containers of a page, in page order, each with the blocks of main text in its subtree.
+
+    ``by_name`` drops elements by their names too; a page that has no other text is read without.
+    """
     root = Node("", "", False, False)
     stack, found = [root], []
     text: list[str] = []
     order = 0
+    named = False
 
     def end_block() -> None:
         nonlocal order
@@ -127,15 +139,18 @@ def read_page(page: str) -> list[Node]:
                         break
             classes, words = _names(m[4]) if m[4] else ("", set())
             within_article = any(node.tag == "article" for node in stack)
-            dropped = stack[-1].dropped or tag in DROPPED and not (tag == "header" and within_article) or (
-                bool(words & JUNK_WORDS) and tag not in ("body", "html")) or (
-                bool(words & BOX_WORDS) and tag in CONTAINER and not within_article and tag not in ("article", "body", "main"))
+            junk = by_name and tag not in ("article", "body", "html", "main") and (
+                bool(words & JUNK_WORDS) or bool(words & BOX_WORDS) and tag in CONTAINER and not within_article)
+            named = named or junk
+            dropped = stack[-1].dropped or junk or tag in DROPPED and not (tag == "header" and within_article)
             node = Node(tag, f"{stack[-1].path}/{tag}{classes}", dropped, stack[-1].linked or tag == "a")
             stack.append(node)
             if tag in CONTAINER and not dropped:
                 found.append(node)
     add(page[at:])
     end_block()
+    if named and not root.blocks:
+        return read_page(page, by_name=False)
     return found or [root]
 
 

@@ -180,5 +180,12 @@ def test_title_and_lead_stay_beside_a_long_body(pages, outer, inner):
     assert [r.text for r in html_extract.extract(pages(*rows)).orderBy("page_id").collect()] == [LONG.strip()] * 3 + [want]
 
 
+@pytest.mark.parametrize("tag", ["main class='site-main has-sidebar'", "article class='post comments-open'", "article class='post related'",
+                                 "div class='content no-sidebar'", "div id=content class='with-header'", "div class='widget'"])
+def test_names_do_not_drop_the_only_article(tag):
+    source = f"<body><nav>menu</nav><{tag}><h1>Title</h1><p>text</p><div class='related'>other</div></{tag.split()[0]}></body>"
+    assert html_extract.text_of(source, None) == ("Title\ntext\nother" if "widget" in tag else "Title\ntext")
+
+
 def test_no_pages(pages):
     assert html_extract.extract(pages(("http://a.org/", "x")).limit(0)).count() == 0
