@@ -273,7 +273,7 @@ def verified(docs: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
         rows = rows.sort_values(["block", "key"], ignore_index=True)
         sets = [np.frombuffer(s, "<u8") for s in rows["shingles"]]
         split = int((rows["block"] == key[1]).sum()) if key[1] != key[2] else 0
-        if split == len(sets) and split:
+        if key[1] != key[2] and split in (0, len(sets)):  # one of the two blocks is empty
             return pd.DataFrame({"key": [], "links": [], "root": []})
         linked = links_of(sets, np.array([len(s) for s in sets]), split, threshold)
         links = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)]) if split else linked.sum(axis=1)

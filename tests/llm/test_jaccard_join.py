@@ -56,6 +56,15 @@ def test_join_equals_brute_force(spark, documents, monkeypatch, block):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("copies", [2, 3, 4])
+def test_empty_blocks_count_no_link_again(spark, documents, monkeypatch, copies):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 8)  # far more blocks than classes
+    words = [f"w{i}" for i in range(60)]
+    rows = list(enumerate(" ".join(words + [f"last{i}"]) for i in range(copies)))
+    got = jaccard_join.jaccard_join(documents(*[t for _, t in rows]))
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
 def test_nothing_and_missing_ids(spark, documents):
     assert jaccard_join.jaccard_join(documents("a").limit(0)).count() == 0
     same = "one two three four five six seven"
