@@ -4,7 +4,8 @@ A text is lower-cased and cut into windows of WINDOW bytes (the last one filled
 spaces) that overlap by the widest filter, so every byte of the whole text is seen. Filters
 of several widths run over one-hot bytes, each filter's largest response in a window is
 kept, and a softmax over these gives the window's languages; a text's are the mean over its
-windows. Trained in numpy by Adam on a bounded sample of labelled documents.
+windows. Trained in numpy by Adam on a sample of distinct labelled texts that is bounded per
+language (SAMPLE, EACH), so that every labelled language is learned however rare it is.
 
 Over one-hot bytes a filter is a sum of table rows, so a response costs a few look-ups: the
 tables of two neighbouring bytes are added up once.
@@ -28,7 +29,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 OVERLAP = max(WIDTHS) - 1
-SAMPLE = 4000  # labelled documents that the network is fitted on, about
+SAMPLE = 4000  # labelled texts that the network is fitted on, about, by the languages' shares
+EACH = 400  # of each language at least, about, or all it has
 WINDOWS_EACH = 3  # windows taken from each of them, spread over the whole text
 EPOCHS = 6
 _ROUND = 1 << 18  # bytes run through the network at once
@@ -158,13 +160,18 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS
     return net
 
 
-def labelled_windows(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> DataFrame:
-    """lang and windows (as bytes) of about ``sample`` labelled documents, chosen by a hash of the text."""
+def labelled_windows(docs: DataFrame, learn: Column, sample: int = SAMPLE, each: int = EACH) -> DataFrame:
+    """lang and windows (as bytes) of about ``sample`` labelled texts and ``each`` of every language, chosen by a hash of the text."""
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
-    total = max(usable.count(), 1)
-    part = int(min(1.0, sample / total) * 1_000_003) + 1
-    # Equal texts hash alike: one row of each (text, language) is enough, and keeps the sample bounded.
-    picked = usable.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < part)
+    # Distinct texts are counted, as copies collapse to one row of each (text, language).
+    texts = usable.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    counts = {r.lang: r["count"] for r in texts.groupBy("lang").count().collect()}
+    total = sum(counts.values())
+    parts = [(lang, min(1.0, max(sample / total, each / n))) for lang, n in counts.items()]
+    # One row per language, so the broadcast is small.
+    limits = docs.sparkSession.createDataFrame(parts, "lang string, part double")
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    picked = usable.join(F.broadcast(limits), "lang").filter(share < F.col("part")).select("text", "lang")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

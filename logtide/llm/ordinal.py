@@ -3,8 +3,9 @@
 P(grade > j) = sigmoid(w . x - t_j) with one weight vector w over hashed text features and
 ordered thresholds t_0 < t_1 < ... The features of a text are its words, their first
 bytes, its word shapes (runs of upper case, lower case, digits; other characters as they are)
-and its share of distinct words, as log counts of unit length. The model is fitted on a bounded sample of rated
-documents (SAMPLE, a parameter) and applied to every whole text.
+and its share of distinct words, as log counts of unit length. The model is fitted on a sample of rated
+documents that is bounded per grade (SAMPLE, EACH), so that a rare grade keeps its words, and
+applied to every whole text.
 
 Defined results: a document's rating is the lowest of its ratings, ratings with a null are
 left out; a null text, or one without words, has expected grade 0, tail probability 0 and is
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from .words import mix, word_hashes
 
 BITS = 18
-SAMPLE = 8_000  # rated documents that the model is fitted on, about
+SAMPLE = 8_000  # rated documents that the model is fitted on, about, by the grades' shares
+EACH = 1_000  # of each grade at least, about, or all it has
 EPOCHS = 20
 SELDOM = 8
 PREFIX = 4  # first bytes of a word that are a feature of their own
@@ -159,12 +161,17 @@ def fit(row: np.ndarray, feature: np.ndarray, times: np.ndarray, grade: np.ndarr
     return Model(weights, base + np.concatenate(([0.0], np.cumsum(np.exp(gaps)))))
 
 
-def rated_sample(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, grade and features of about ``sample`` rated documents, one row per id, chosen by a hash of the id."""
+def rated_sample(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, each: int = EACH) -> DataFrame:
+    """doc_id, grade and features of about ``sample`` rated documents and ``each`` of every grade, one row per id, chosen by a hash of the id."""
     one = ratings.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    total = max(one.count(), 1)
-    picked = one.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(min(1.0, sample / total) * 1_000_003) + 1)
-    # At most about ``sample`` ids and grades, so the broadcast is bounded.
+    counts = {r.grade: r["count"] for r in one.groupBy("grade").count().collect()}
+    total = sum(counts.values())
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    wanted = F.lit(False)
+    for grade, n in sorted(counts.items()):
+        wanted = wanted | ((F.col("grade") == grade) & (share < min(1.0, max(sample / total, each / n))))
+    picked = one.filter(wanted)
+    # At most about ``sample`` ids and grades, and ``each`` of every grade, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -116,6 +116,20 @@ def test_language_on_held_out_documents(spark):
     assert (got["lang_pred"] == got["lang"]).mean() > 0.98 and got["score"].between(0, 1).all()
 
 
+def test_rare_languages_and_copies_are_sampled(spark):
+    rows = [(f"common words number {i}", "en") for i in range(3000)] + [("a copy of one text", "en")] * 20_000 + [(f"seldom {i}", "xx") for i in range(6)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    got = {r.lang: r["count"] for r in langid.labelled_windows(docs, F.lit(True), sample=300, each=50).groupBy("lang").count().collect()}
+    assert got["xx"] == 6 and 220 < got["en"] < 380
+
+
+def test_rare_grades_are_sampled(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    ratings = docs.select("doc_id", F.when(F.col("doc_id") % 200 == 0, 0).otherwise(2).alias("grade"))
+    got = {r.grade: r["count"] for r in ordinal.rated_sample(docs, ratings, sample=400, each=50).groupBy("grade").count().collect()}
+    assert got[0] == 20 and 320 < got[2] < 480
+
+
 def test_languages_of_odd_rows(spark, documents):
     docs = documents(None, "", "123 !!", (3, "hello there my friend", "en", "s"), (4, "bonjour mon ami", "fr", None), (5, "no label here", None, "s"), (None, "hello", "en", "s"), (3, "hello there my friend", "en", "s"), (8, "x" * 100_000, "en", "s"))
     rows = langid.predict(docs, langid.train(docs, F.lit(True))).collect()
