@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,12 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def lowered(text: Column) -> Column:
+    """A-Z in lower case. Texts of ASCII only take the faster function, which does the same there."""
+    ascii_only = F.char_length(text) == F.octet_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
 def crc_remainder(column: str, parts: int) -> Column:
     """crc32 of the value as text, modulo ``parts``; a null counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, jaccard_join, kneser_ney, langid, mixing, ordinal, packing, topk, urls
+from . import (
+    bag_search, exact_dedup, html_extract, jaccard_join, kneser_ney, langid, license_rules, license_scan, mixing, ordinal, packing, topk, urls, vector_codes,
+)
 from .common import crc_remainder, register, table
 
 DEDUP_SQL = r"""
@@ -122,3 +124,96 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @register("op4_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
+
+
+def _values(rules: list[license_rules.Rule]) -> str:
+    return ", ".join(f"({i}, {r.priority}, '{r.label}', ' {r.keyword} ', '{license_rules.pattern_of(r)}', {r.base})" for i, r in enumerate(rules))
+
+
+LICENSE_SQL = r"""
+WITH rules(rule, priority, label, keyword, pattern, base) AS (VALUES {rules}),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_replace(' ' || translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || ' ', '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g') AS s
+      FROM documents),
+m AS (SELECT rid, rule, priority, label, base, regexp_extract_all(s, pattern) AS ms, string_split_regex(s, pattern) AS gaps
+      FROM d JOIN rules ON contains(s, keyword) WHERE regexp_matches(s, pattern)),
+n AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m),
+found AS (
+  SELECT rid, rule, priority, label, base,
+         list_sum(list_transform(gaps[1:i], lambda x: (len(x) - len(replace(x, ' ', ''))) // 2)) + list_sum(list_transform(ms[1:i], lambda x: (len(x) - len(replace(x, ' ', ''))) // 2)) AS after,
+         (len(ms[i]) - len(replace(ms[i], ' ', ''))) // 2 AS width FROM n),
+placed AS (SELECT *, (after - width)::BIGINT AS first FROM found),
+kept AS (
+  SELECT * FROM placed d WHERE NOT EXISTS (
+    SELECT 1 FROM placed e WHERE e.rid = d.rid AND e.first <= d.first AND e.after >= d.after AND e.priority <= d.priority
+      AND (e.after - e.first > d.after - d.first OR e.priority < d.priority OR e.rule < d.rule))),
+bases AS (SELECT rid, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+          FROM placed WHERE base GROUP BY rid),
+named AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT rid, label FROM placed WHERE base UNION ALL SELECT rid, label FROM kept WHERE priority < 9) GROUP BY rid),
+others AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM kept GROUP BY rid),
+best AS (SELECT rid, min(priority) AS priority FROM kept GROUP BY rid)
+SELECT doc_id, ((len(s) - len(replace(s, ' ', ''))) // 2 - 1)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(named.labels, others.labels, '') AS labels,
+       CASE priority WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 WHEN 3 THEN 0.8 WHEN 9 THEN 0.3 ELSE 0.0 END::DOUBLE AS score
+FROM d LEFT JOIN bases USING (rid) LEFT JOIN named USING (rid) LEFT JOIN others USING (rid) LEFT JOIN best USING (rid)
+""".replace("{rules}", _values(license_rules.RULES))
+
+
+@register("op11_licenses", LICENSE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, folder, "documents")))
+
+
+SEARCH_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT rid, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM sized),
+tf AS MATERIALIZED (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, totals GROUP BY term, nd),
+norms AS (SELECT rid, doc_id, 75 + (25 * n * nd) // l AS m FROM sized, totals),
+i AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+asked AS (SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+scores AS (
+  SELECT iid, item_id, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN norms USING (rid) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+QUALIFY rank <= 20
+"""
+
+
+@register("op12_lexical_search", SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return bag_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    nearest = """a{k} AS MATERIALIZED (
+  SELECT rid, pos, part, arg_min(entry, dist * 16 + entry) AS entry, min(dist) AS dist
+  FROM (SELECT p.rid, p.pos, p.part, b.entry, list_sum(list_transform(range(1, len(p.part) + 1), lambda i: (p.part[i] - b.part[i]) * (p.part[i] - b.part[i])))::BIGINT AS dist
+        FROM p JOIN b{k} b USING (pos)) GROUP BY rid, pos, part)"""
+    means = """s{k} AS (SELECT pos, entry, list(mean ORDER BY j) AS part FROM (
+    SELECT pos, entry, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+    FROM (SELECT pos, entry, unnest(part) AS x, generate_subscripts(part, 1) AS j FROM a{k}) GROUP BY pos, entry, j) GROUP BY pos, entry),
+b{next} AS MATERIALIZED (SELECT b.pos, b.entry, coalesce(s.part, b.part) AS part FROM b{k} b LEFT JOIN s{k} s USING (pos, entry))"""
+    steps = [s.format(k=k, next=k + 1) for k in range(rounds) for s in (nearest, means)] + [nearest.format(k=rounds)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT rid, pos, q[pos * (len(q) // 8) + 1 : (pos + 1) * (len(q) // 8)] AS part FROM v, range(8) r(pos)),
+start AS (SELECT row_number() OVER (ORDER BY vec_id, q) - 1 AS entry, rid FROM v QUALIFY entry < 16),
+b0 AS MATERIALIZED (SELECT pos, entry, part FROM start JOIN p USING (rid)),
+{", ".join(steps)},
+coded AS (SELECT rid, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY pos) AS code, sum(dist)::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN v USING (rid)
+"""
+
+
+@register("op13_vector_codes", _codes_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
