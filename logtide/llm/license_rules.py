@@ -71,7 +71,7 @@ _WRITTEN = r"""
 1 bsl-1.0 boost distributed under the boost software license version 1 0
 1 bsl-1.0 boost boost software license version 1 0 august 17th 2003
 1 unlicense unencumbered this is free and unencumbered software released into the public domain
-1 unlicense domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
+1 unlicense anyone anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
 1 cc0-1.0 cc0 to the extent possible under law( [^ ]+){1,8} has waived all copyright and related or neighboring rights to( [^ ]+){0,6} cc0
 1 cc0-1.0 waived has waived all copyright and related or neighboring rights to this work
 1 wtfpl fuck do what the fuck you want to public license
