@@ -55,6 +55,18 @@ def lowered(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def row_key() -> Column:
+    """What rows equal in ``doc_id`` and ``text`` have in common: a digest of the text, and the id."""
+    return F.concat_ws(":", F.sha2(text_or_empty().cast("binary"), 256), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
+def least_row(rows: DataFrame) -> DataFrame:
+    """_row: of rows (_key, _row) with one key the smallest, or that of the smallest text where rows have no order."""
+    kind = dict(rows.dtypes)["_row"]
+    least = F.min_by("_row", F.to_json("_row")) if "map<" in kind or "variant" in kind else F.min("_row")
+    return rows.groupBy("_key").agg(least.alias("_row")).select("_row")
+
+
 def crc_remainder(column: str, parts: int) -> Column:
     """crc32 of the value as text, modulo ``parts``; a null counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts

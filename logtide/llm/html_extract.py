@@ -9,8 +9,9 @@ container is chosen over the one around it only for a score at least as high: wh
 one has more main text, all of it stays, unless links outweigh it or the inner one is an
 article or main element, whose text counts half as much again. Boxes named as teasers, outside of articles, are junk.
 
-Elements named as junk are left out, except for article and main elements and for pages that
-have no other text.
+Elements named as junk are left out, except for main elements, articles that are not named as a reader's, and pages that
+have no other text. Inside an article some names are no evidence; what they name is left out if more than half of it is
+links. Forms are left out unless more text stands in them than outside: then they wrap the page.
 
 Defined results: a null or empty page has an empty text; pages without a url vote together;
 on a tie the smaller path wins; a page of several containers with the winning path gives
@@ -34,10 +35,12 @@ from .urls import url_columns
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|select|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    # Quotes hold a value only behind an equals sign that they close; any other quote is a character.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[!?][^>]*>",
     re.S | re.I)
+RAW = frozenset("noscript script style template textarea".split())  # to their end tag, or to the end of the page
+SKIPPED = frozenset("button iframe select svg".split())  # to their end tag, if they have one of their own
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
@@ -53,6 +56,9 @@ JUNK_WORDS = frozenset(
     "reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar warning widget".split())
 MODIFIERS = frozenset("has no with without".split())  # a name that begins or ends so says what else is there
 STATES = frozenset("closed disabled enabled off on open".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond".split())  # an article so named is a reader's
+# Inside an article these names alone are no evidence: what they name goes only if it is mostly links, or a box of related pages.
+WEAK_WORDS = frozenset("disclaimer footer header masthead menu modal notice notices related reply replies respond social warning widget".split())
 BOX_WORDS = frozenset("teaser teasers".split())  # of containers outside of articles: lead-ins to other pages
 
 
@@ -62,6 +68,8 @@ class Node:
     path: str
     dropped: bool  # it or what it stands in holds no main text
     linked: bool
+    weak: bool = False  # left out if it is mostly links
+    first: int = 0  # number of the last block before it
     own: int = 0  # characters of main text, whole subtree
     links: int = 0
     blocks: list[tuple[int, str]] = field(default_factory=list)  # for containers only
@@ -81,16 +89,27 @@ def _names(attributes: str) -> tuple[str, set[str]]:
     return classes, words
 
 
-def read_page(page: str, by_name: bool = True) -> list[Node]:
+def _end_of(page: str, tag: str, at: int, ends: dict[str, int]) -> int:
+    """Where the end tag of ``tag`` begins, from ``at`` on; -1 if there is none. Each is looked for once."""
+    if ends.get(tag, 0) != -1 and ends.get(tag, 0) < at:
+        found = re.compile(f"</{tag}(?![a-z0-9:-])", re.I).search(page, at)
+        ends[tag] = found.start() if found else -1
+    return ends.get(tag, 0)
+
+
+def read_page(page: str, by_name: bool = True, forms: bool = False) -> list[Node]:
     """All containers of a page, in page order, each with the blocks of main text in its subtree.
 
     ``by_name`` drops elements by their names too; a page that has no other text is read without.
+    ``forms`` keeps what stands in forms; a page with most of its text there is read so.
     """
     root = Node("", "", False, False)
     stack, found = [root], []
     text: list[str] = []
-    order = 0
+    order = in_forms = 0
     named = False
+    gone: set[int] = set()  # numbers of blocks in weakly named link lists
+    ends: dict[str, int] = {}
 
     def end_block() -> None:
         nonlocal order
@@ -105,52 +124,88 @@ def read_page(page: str, by_name: bool = True) -> list[Node]:
                     node.blocks.append((order, joined))
 
     def add(raw: str) -> None:
-        if raw and not stack[-1].dropped:
-            text.append(raw)
-            n = len(raw.strip())
-            linked = stack[-1].linked
-            for node in stack:
-                node.own += n
-                node.links += n * linked
+        nonlocal in_forms
+        if not raw:
+            return
+        n = len(raw.strip())
+        if stack[-1].dropped:
+            # Only the form itself stands in the way of this text.
+            in_forms += n * all(not node.dropped or node.tag == "form" or above.dropped for above, node in zip(stack, stack[1:])) * any(node.tag == "form" for node in stack)
+            return
+        text.append(raw)
+        linked = stack[-1].linked
+        for node in stack:
+            node.own += n
+            node.links += n * linked
+
+    def close(size: int) -> None:
+        while len(stack) > size:
+            node = stack.pop()
+            if node.weak and 2 * node.links > node.own:
+                gone.update(range(node.first + 1, order + 1))
 
     at = 0
-    for m in _PIECE.finditer(page):
+    while m := _PIECE.search(page, at):
         add(page[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
+        if (tag in RAW or tag in SKIPPED) and not m[1]:
+            end = _end_of(page, tag, at, ends)
+            if m[3].endswith("/") and tag in SKIPPED:
+                continue
+            if tag in RAW:
+                at = len(page) if end < 0 else end
+            elif end >= 0 and not (tag in ("button", "select") and re.compile(f"<{tag}(?![a-z0-9:-])", re.I).search(page, at, end)):
+                at = end
+            continue
+        if tag in RAW or tag in SKIPPED:
+            continue
         if tag in BLOCK:
             end_block()
-        if m[2]:
-            if any(node.tag == tag for node in stack):
-                while stack.pop().tag != tag:
-                    pass
+        if m[1]:
+            open_at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            if open_at:
+                close(open_at)
         elif tag == "br":
             add(" ")
         elif tag not in VOID:
-            if tag in ("p", "li", "td", "th", "tr", "dd", "dt") or tag in BLOCK:
+            if tag in BLOCK:
                 # An open paragraph, or an item of the same kind, ends where the next block begins.
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == "p" or stack[i].tag == tag and tag in ("li", "td", "th", "tr", "dd", "dt"):
-                        del stack[i:]
+                        close(i)
                         break
                     if stack[i].tag in BLOCK:
                         break
-            classes, words = _names(m[4]) if m[4] else ("", set())
+            classes, words = _names(m[3]) if m[3] else ("", set())
             within_article = any(node.tag == "article" for node in stack)
-            junk = by_name and tag not in ("article", "body", "html", "main") and (
-                bool(words & JUNK_WORDS) or bool(words & BOX_WORDS) and tag in CONTAINER and not within_article)
+            weak = within_article and not words & (JUNK_WORDS - WEAK_WORDS) and bool(words & WEAK_WORDS) and not (tag in CONTAINER and "related" in words)
+            if tag in ("body", "html", "main"):
+                junk = False
+            elif tag == "article":
+                junk = bool(words & COMMENT_WORDS)
+            else:
+                junk = bool(words & JUNK_WORDS) and not weak or bool(words & BOX_WORDS) and tag in CONTAINER and not within_article
+            junk = junk and by_name
             named = named or junk
-            dropped = stack[-1].dropped or junk or tag in DROPPED and not (tag == "header" and within_article)
-            node = Node(tag, f"{stack[-1].path}/{tag}{classes}", dropped, stack[-1].linked or tag == "a")
+            outside = tag in DROPPED and not (tag == "header" and within_article) and not (tag == "form" and forms)
+            node = Node(tag, f"{stack[-1].path}/{tag}{classes}", stack[-1].dropped or junk or outside, stack[-1].linked or tag == "a", weak and by_name, order)
             stack.append(node)
-            if tag in CONTAINER and not dropped:
+            if tag in CONTAINER and not node.dropped:
                 found.append(node)
     add(page[at:])
     end_block()
+    close(1)
+    if not forms and in_forms > root.own:
+        return read_page(page, by_name, True)
     if named and not root.blocks:
-        return read_page(page, by_name=False)
+        return read_page(page, False, forms)
+    if gone and gone >= {n for n, _ in root.blocks}:
+        gone.clear()
+    for node in [root, *found] if gone else []:
+        node.blocks = [block for block in node.blocks if block[0] not in gone]
     return found or [root]
 
 

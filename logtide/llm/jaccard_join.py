@@ -9,7 +9,10 @@ brute force while these are signed. Classes that share a prefix of that length i
 candidates; they are found by grouping on the prefix, which gives the same candidates as a walk
 over sorted labels. A pair that meets in no tree is lost; README states how likely that is.
 
-Candidates are gathered into clusters (connected by shared prefixes). A cluster's shingle sets
+Candidates are gathered into clusters. Classes that share a prefix are joined into one cluster only
+where the sketches of their whole labels, and their sizes, leave a similarity near the threshold
+possible, so that chance prefixes do not chain unrelated texts; where more than SMALL classes
+share a prefix, all of them are. A cluster's shingle sets
 are read again, once per block of the cluster, and all pairs of a block, or of two blocks of
 the cluster, are verified exactly in one task by counting common shingles. No pair
 leaves the task: only the number of links per class and the links of a spanning forest do,
@@ -27,10 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
+from .common import SPACE, least_row, row_key, text_or_empty
 from .words import combine, mix, word_hashes
 
 SIZE = 5  # words of a shingle
@@ -40,6 +45,8 @@ DEPTH = 8  # min-hashes of a whole label
 TARGET = 0.99999  # probability to meet for a pair at the threshold, and share of the query set's links to meet
 QUERIES = 512  # texts that are compared with all classes to measure which links meet
 QUERY_POINTS = 1 << 16  # only texts of up to so many characters are queries, so that the set is bounded
+SMALL = 16  # classes with a common prefix that are all compared by sketch, at most
+DOUBT = 0.2  # a pair is ruled out only if its sketch is so far below the threshold: 8 standard errors at 0.8
 BLOCK_SHINGLES = 1 << 18  # shingles of a block, about
 BLOCK_CLASSES = 512  # classes of a block, about
 _COLUMNS = 4096  # shingles compared at once
@@ -139,20 +146,22 @@ def settled_depth(met: dict[int, int], threshold: float = THRESHOLD, target: flo
 
 
 def signed(docs: DataFrame, queries: QuerySet) -> DataFrame:
-    """doc_id, key of the shingle set, its size, the whole labels of all trees, and where the set meets the queries it is linked to."""
+    """doc_id, row (see ``row_key``), key of the shingle set, its size, the whole labels of all trees, their sketch (a byte of each
+    min-hash), and where the set meets the queries it is linked to."""
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(queries)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries = shared.value
-        seen: dict[bytes, tuple[bytes, list[int]]] = {}  # copies in a task are signed once
+        seen: dict[bytes, tuple[bytes, bytes, list[int]]] = {}  # copies in a task are signed once
         for batch in batches:
-            keys, sizes, labels, levels = [], [], [], []
+            keys, sizes, labels, sketches, levels = [], [], [], [], []
             for s in shingle_sets(list(batch["text"])):
                 if not len(s):
                     keys.append(None)
                     sizes.append(0)
                     labels.append(None)
+                    sketches.append(None)
                     levels.append([])
                     continue
                 key = set_key(s)
@@ -160,14 +169,17 @@ def signed(docs: DataFrame, queries: QuerySet) -> DataFrame:
                     if len(seen) > 20_000:
                         seen.clear()
                     label = label_of(s)
-                    seen[key] = label.astype(">u4").tobytes(), queries.levels(s, key, label)
+                    seen[key] = label.astype(">u4").tobytes(), label.astype(np.uint8).tobytes(), queries.levels(s, key, label)
                 keys.append(key)
                 sizes.append(len(s))
                 labels.append(seen[key][0])
-                levels.append(seen[key][1])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": keys, "size": sizes, "label": labels, "levels": levels})
+                sketches.append(seen[key][1])
+                levels.append(seen[key][2])
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "row": batch["row"], "key": keys, "size": sizes, "label": labels, "sketch": sketches, "levels": levels})
 
-    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, key binary, size int, label binary, levels array<int>")
+    return docs.select("doc_id", "text", row_key().alias("row")).mapInPandas(
+        sign, f"doc_id {kind}, row string, key binary, size int, label binary, sketch binary, levels array<int>")
 
 
 def prefixes_of(depth: int) -> Column:
@@ -175,31 +187,102 @@ def prefixes_of(depth: int) -> Column:
     return F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(label, t * {DEPTH * 4} + 1, {depth * 4})))")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node reachable over ``edges`` (a, b). Every node has a row in ``edges``, maybe to itself.
 
-    Each round takes the smallest root among the neighbours and then the root's root; both
-    are sums per node over shuffled rows, so a node may have any number of edges.
+    In each round every node points to its smallest neighbour, if that is smaller; pointers are
+    followed to their ends, and the edges are carried over to these ends. Loops and repeats among them
+    go, so what is left shrinks with every round, whatever the degrees are.
     """
-    both = write_through(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    roots = write_through(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).select("node", F.least("node", "root").alias("root")), "roots")
-    for _ in range(rounds):
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low"))
-        low = roots.join(near, "node").select("node", F.least("root", "low").alias("low"), "root")
-        jump = roots.select(F.col("node").alias("low"), F.col("root").alias("next"))
-        new = write_through(low.join(jump, "low").select("node", "next", (F.col("next") != F.col("root")).alias("moved")), "roots")
-        moved = new.filter("moved").limit(1).count()
-        roots = new.select("node", F.col("next").alias("root"))
-        if not moved:
-            return roots
-    raise RuntimeError("groups did not settle")
-
-
-def candidate_blocks(classes: DataFrame, depth: int) -> DataFrame:
-    """key, size, cluster, block, blocks: classes that share a prefix with another, and the blocks of their cluster."""
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+    nodes = ends(edges).select(F.col("a").alias("node")).distinct()
+    left, moves = write_through(ordered(edges), "edges"), []
+    while left.limit(1).count():
+        # Of an edge only the greater end has a smaller neighbour; each has one row in the sum.
+        move = write_through(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "moves")
+        while True:
+            after = move.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            move = write_through(move.join(after, "root", "left").select(
+                "node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "moves")
+            moved = move.filter("moved").limit(1).count()
+            move = move.select("node", "root")
+            if not moved:
+                break
+        moves.append(move)
+        for end, other in (("a", "b"), ("b", "a")):
+            target = move.select(F.col("node").alias(end), F.col("root").alias("_to"))
+            left = left.join(target, end, "left").select(F.coalesce("_to", end).alias(end), other)
+        left = write_through(ordered(left), "edges")
+    found = None
+    for move in reversed(moves):
+        if found is not None:
+            later = found.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            move = move.join(later, "root", "left").select("node", F.coalesce("next", "root").alias("root")).unionAll(found)
+        found = move
+    if found is None:
+        return nodes.select("node", F.col("node").alias("root"))
+    found = write_through(found, "roots")
+    return nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def likely_edges(members: DataFrame, threshold: float) -> DataFrame:
+    """a, b: edges that connect, within each row of ``members`` (key, size, sketch), those pairs that may reach the threshold."""
+    least = threshold - DOUBT
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("members")
+            ends, flat = column.offsets.to_numpy(), column.values
+            keys = flat.field("key").to_pylist()
+            sizes = flat.field("size").to_numpy().astype(np.float64)
+            sketches = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
+            a, b = [], []
+            for low, high in zip(ends, ends[1:]):
+                i, j = np.triu_indices(high - low, 1)
+                i, j = i + low, j + low
+                # Unequal min-hashes agree in their last byte in one of 256 cases.
+                alike = ((sketches[i] == sketches[j]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                near = (alike >= least) & (np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9)
+                root = list(range(high - low))
+                for x, y in zip((i[near] - low).tolist(), (j[near] - low).tolist()):
+                    while root[x] != x:
+                        x = root[x]
+                    while root[y] != y:
+                        y = root[y]
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        a.append(keys[low + x])
+                        b.append(keys[low + y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return members.select("members").mapInArrow(connect, "a binary, b binary")
+
+
+def candidate_edges(classes: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """a, b: edges over which all classes are connected that share a prefix and may be linked."""
     prefixes = classes.select("key", F.explode(prefixes_of(depth)).alias("prefix"))
-    hubs = prefixes.groupBy("prefix").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    edges = write_through(prefixes.join(write_through(hubs, "hubs"), "prefix").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), "edges")
+    hubs = prefixes.groupBy("prefix").agg(
+        F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("print")).filter("n > 1")
+    # Near copies share most of their prefixes: the same classes are met once, not once per tree.
+    once = write_through(hubs.groupBy("hub", "n", "print").agg(F.min("prefix").alias("prefix")), "hubs")
+    shared = write_through(prefixes.join(once.select("prefix", "hub", "n"), "prefix"), "shared")
+    few = shared.filter(F.col("n") <= SMALL).select("prefix", "key").join(classes.select("key", "size", "sketch"), "key")
+    members = few.groupBy("prefix").agg(F.collect_list(F.struct("key", "size", "sketch")).alias("members"))
+    # Of a class in large buckets: an edge to its smallest hub, and one from each other hub of it to that one.
+    many = shared.filter(F.col("n") > SMALL).groupBy("key").agg(F.min("hub").alias("b"), F.collect_set("hub").alias("hubs"))
+    stars = many.select(F.explode(F.array_union("hubs", F.array("key"))).alias("a"), "b").filter("a <> b").distinct()
+    return likely_edges(members, threshold).unionAll(stars)
+
+
+def candidate_blocks(classes: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """key, size, cluster, block, blocks: classes that may be linked with another, and the blocks of their cluster."""
+    edges = write_through(candidate_edges(classes, depth, threshold), "edges")
     found = components(edges).join(classes.select(F.col("key").alias("node"), "size"), "node")
     found = write_through(found.select(F.col("node").alias("key"), F.col("root").alias("cluster"), "size"), "clusters")
     width = found.groupBy(F.col("cluster")).agg(
@@ -285,24 +368,30 @@ def verified(docs: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
     return meetings.groupBy("cluster", "low", "high").applyInPandas(compare, "key binary, links long, root binary")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id of equal shingle sets), links, group_id, group_size.
-
-    ``links`` counts the other classes whose similarity is at least ``threshold``;
-    ``group_id`` is the smallest id of all classes connected by links.
-    """
+def signed_groups(docs: DataFrame, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
+    """(the signed rows; key, class_id, copies, links, root of every class: the smallest key of its group)."""
     rows = write_through(signed(docs, query_set(docs, threshold)), "signed")
+    first = [F.first(name).alias(name) for name in ("size", "label", "sketch", "levels")]
     classes = write_through(
-        rows.filter("size > 0").groupBy("key").agg(
-            F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("label").alias("label"), F.first("levels").alias("levels")), "classes")
+        rows.filter("size > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *first), "classes")
     met = {r.level: r["count"] for r in classes.select(F.explode("levels").alias("level")).groupBy("level").count().collect()}
-    blocks = write_through(candidate_blocks(classes, settled_depth(met, threshold, target)).join(classes.select("key", "doc_id"), "key"), "blocks")
+    blocks = candidate_blocks(classes, settled_depth(met, threshold, target), threshold)
+    blocks = write_through(blocks.join(classes.select("key", "doc_id"), "key"), "blocks")
     found = write_through(verified(docs, blocks, threshold), "links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     linked = groups.withColumnRenamed("node", "key").join(counts, "key")
     named = classes.select("key", F.col("doc_id").alias("class_id"), "copies").join(linked, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = write_through(named, "named")
+    return rows, write_through(named, "named")
+
+
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest id of equal shingle sets), links, group_id, group_size.
+
+    ``links`` counts the other classes whose similarity is at least ``threshold``;
+    ``group_id`` is the smallest id of all classes connected by links.
+    """
+    rows, named = signed_groups(docs, threshold, target)
     sizes = named.groupBy("root").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
     classed = write_through(named.join(write_through(sizes, "sizes"), "root").select("key", "class_id", F.coalesce("links", F.lit(0).cast("long")).alias("links"), "group_id", "group_size"), "classed")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
@@ -310,10 +399,16 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, target: float =
     return rows.filter("size > 0").select("doc_id", "key").join(classed, "key").drop("key").unionByName(empty)
 
 
-def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose id is their group's smallest, with the columns they came with; documents without an id stay."""
-    found = jaccard_join(docs, threshold)
-    ids = write_through(found.filter(F.col("doc_id") == F.col("group_id")).select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"))
-    kept = rows.filter("_doc IS NOT NULL").join(ids, F.col("_doc") == F.col("_id"), "left_semi")
-    return kept.unionAll(rows.filter("_doc IS NULL")).select("_row.*")
+def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
+    """One document of every group, with the columns they came with: that of the smallest id (a missing one last).
+
+    Of rows of that id in the group the one with the smallest hash of its text stays, of rows equal
+    in id and text the smallest row. Documents without words are groups of their own and all stay.
+    """
+    rows, named = signed_groups(docs, threshold, target)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    best = rows.filter("size > 0").select("doc_id", "row", "key").join(named.select("key", "root"), "key").groupBy("root").agg(F.min(order).alias("best"))
+    wanted = write_through(best.select(F.col("best.row").alias("_key")), "kept")
+    whole = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"), text_or_empty().rlike(f"[^{SPACE[1:]}").alias("_words"))
+    kept = least_row(whole.filter("_words").join(wanted, "_key").select("_key", "_row"))
+    return kept.unionAll(whole.filter("NOT _words").select("_row")).select("_row.*")

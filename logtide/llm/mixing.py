@@ -166,10 +166,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
     Rows of equal id, source and text are taken alike.
     """
-    copies = mix(docs, weights, most).filter("copies > 0").groupBy("doc_id", "shuffled").agg(F.max("copies").alias("copies"))
-    copies = copies.select(F.col("doc_id").alias("_id"), F.col("shuffled").alias("_key"), "copies")
+    copies = mix(docs, weights, most).filter("copies > 0").groupBy("doc_id", "source", "shuffled").agg(F.max("copies").alias("copies"))
+    copies = copies.select(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("shuffled").alias("_key"), "copies")
     text = text_or_empty()
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text).cast("binary"))
-    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), key.alias("_key"))
-    found = whole.join(copies, (whole["_key"] == copies["_key"]) & whole["_doc"].eqNullSafe(copies["_id"]))
+    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), key.alias("_key"))
+    same = (whole["_key"] == copies["_key"]) & whole["_doc"].eqNullSafe(copies["_id"]) & whole["_source"].eqNullSafe(copies["_of"])
+    found = whole.join(copies, same)
     return found.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")

@@ -185,14 +185,14 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, each
                 "times": [times[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])]})
 
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInPandas(extract, f"doc_id {kind}, grade int, feature binary, times binary").dropDuplicates(["doc_id"])
+    # Of several texts of one id the smallest, so that reruns fit the same model.
+    texts = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
+    return texts.mapInPandas(extract, f"doc_id {kind}, grade int, feature binary, times binary")
 
 
-def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE) -> Model:
-    """Fit on the driver from the bounded sample; a grade nobody gave only leaves its threshold at the end of the scale."""
-    rows = rated_sample(docs, ratings, sample).toPandas().sort_values("doc_id", ignore_index=True)
-    if not len(rows):
-        return Model(np.zeros(1 << BITS), np.full(grades - 1, -40.0))
+def fitted(rows: pd.DataFrame, grades: int) -> Model:
+    """The model of a sample as ``rated_sample`` makes it."""
+    rows = rows.sort_values("doc_id", ignore_index=True)
     found = [np.frombuffer(f, "<i4") for f in rows["feature"]]
     times = [np.frombuffer(t, "<i4") for t in rows["times"]]
     # Features that few rows have are left out before the rows are joined to one array: they are most.
@@ -201,11 +201,26 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
         held[f] += 1
     often = [held[f] >= SELDOM for f in found]
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [int(o.sum()) for o in often])
-    grade = rows["grade"].to_numpy(np.int64)
     feature = np.concatenate([f[o] for f, o in zip(found, often)])
     times = np.concatenate([t[o] for t, o in zip(times, often)])
-    del rows, found
-    return fit(row, feature, times, grade, grades)
+    return fit(row, feature, times, rows["grade"].to_numpy(np.int64), grades)
+
+
+def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE) -> Model:
+    """Fit in one task on the bounded sample; only weights and thresholds come back.
+
+    A grade nobody gave only leaves its threshold at the end of the scale.
+    """
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        model = fitted(rows, grades)
+        return pd.DataFrame({"weights": [model.weights.astype("<f4").tobytes()], "thresholds": [model.thresholds.astype("<f8").tobytes()]})
+
+    rows = rated_sample(docs, ratings, sample).withColumn("_all", F.lit(0))
+    found = rows.groupBy("_all").applyInPandas(lambda rows: learn(rows.drop(columns="_all")), "weights binary, thresholds binary").first()
+    if found is None:
+        return Model(np.zeros(1 << BITS), np.full(grades - 1, -40.0))
+    return Model(np.frombuffer(found.weights, "<f4"), np.frombuffer(found.thresholds, "<f8"))
 
 
 def graded(model: Model, text: Column, keep_at: float = KEEP_AT) -> Column:

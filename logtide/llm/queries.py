@@ -14,14 +14,15 @@ DEDUP_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256,
                   length(coalesce(text, '')) AS n FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
-       doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER w AS kept, text_sha256
+       row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
 """
 
 
 @register("op8_exact_dedup", DEDUP_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, folder, "documents"), exact_dedup.new_index(spark))
+    with exact_dedup.scratch_index(spark) as index:
+        return exact_dedup.exact_dedup(table(spark, folder, "documents"), index)
 
 
 MIX_SQL = r"""

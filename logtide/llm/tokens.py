@@ -9,6 +9,7 @@ with the ranks, all others with ``tokenizers``; tests compare the two.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 
@@ -42,13 +43,15 @@ class Encoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.ranks = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.path = path
+        with open(path, encoding="utf-8") as file:
+            # Their strings are one token wherever they stand in a text.
+            self.added = [token["content"] for token in json.load(file).get("added_tokens", [])]
 
     def slow_ids(self, text: str) -> bytes:
         if self.tokenizer is None:  # loaded with the first text that needs it
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_file(self.path)
-            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -56,5 +59,6 @@ class Encoder:
         if self.ranks is None:
             return [self.slow_ids(t) for t in texts]
         return [
-            np.asarray(self.ranks.encode_ordinary(t), "<u4").tobytes() if COMMON.fullmatch(t) else self.slow_ids(t)
+            np.asarray(self.ranks.encode_ordinary(t), "<u4").tobytes()
+            if COMMON.fullmatch(t) and not any(token in t for token in self.added) else self.slow_ids(t)
             for t in texts]

@@ -5,8 +5,8 @@ blocks. Every query block meets every shard once, by an equality join on the sha
 each tile is one matrix product with a partial selection per query, and the tiles' short
 lists are merged level by level. Shuffled: each query block once per cell, each vector once.
 
-Defined results: vectors that are null, empty or hold a null or non-finite component take no part,
-nor do rows without an id; a shorter vector counts as filled up with zeros; rows with the
+Defined results: vectors that are null or hold a null or non-finite component take no part,
+nor do rows without an id; a shorter vector counts as filled up with zeros, an empty one scores 0; rows with the
 query's own id are no candidates; each row with a query's id is a query of its own; ties go
 to the smaller id; scores beyond the range of a long stay at its end; an empty table gives no
 rows.
@@ -34,7 +34,7 @@ _BLOCK = "n int, dim int, ids binary, components binary"
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.filter(F.col("vec_id").isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False))).select(
+    return vectors.filter(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & F.coalesce(finite, F.lit(False))).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
 
 
@@ -74,7 +74,7 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a @ b.T for whole-numbered doubles, exactly: in doubles where no sum can pass 2^53, else in whole numbers of any size."""
     dim = max(a.shape[1], b.shape[1])
     a, b = (np.pad(m, ((0, 0), (0, dim - m.shape[1]))) for m in (a, b))
-    largest = float(np.abs(a).max()) * float(np.abs(b).max()) * dim
+    largest = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * dim
     if largest < 2.0**53:
         return (a @ b.T).astype(np.int64)
     ends = np.iinfo(np.int64)

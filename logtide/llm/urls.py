@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 
-LONGEST_WORD = 20  # characters of a word that a name may be split into
+LONGEST_WORD = 63  # characters of a label of a host name at most, so no word of one is longer
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TITLE = r"(?is)<title[^>]{0,200}>([^<]*)"
+_TITLE = r"(?is)<title\b[^>]*>([^<]*)"
 _NAME = r"\p{L}+"
 _PATH_WORD = r"[\p{L}]+|[0-9]+"
 

@@ -13,16 +13,19 @@ def expected_dedup(rows):
     groups = defaultdict(list)
     for i, text, *_ in rows:
         groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), i is None, i if i is not None else 0, i))
-    out = []
+    out, done = [], set()
     for i, text, *_ in rows:
         norm = re.sub(r"[\x20\x09-\x0D]", "", text or "")
         keep = min(groups[norm])[3]
-        out.append((i, keep, len(groups[norm]), i == keep, hashlib.sha256(norm.encode()).hexdigest()))
+        stays = (-len(text or ""), i is None, i if i is not None else 0, i) == min(groups[norm]) and norm not in done
+        done |= {norm} if stays else set()
+        out.append((i, keep, len(groups[norm]), stays, hashlib.sha256(norm.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
 def test_exact_dedup_equals_brute_force(spark, documents):
     rows = [(i, t, "en", "s") for i, t in enumerate(TEXTS)] + [(None, "ab", "en", "s"), (None, "only null", "en", "s")]
+    rows += [(50, "twice", "en", "s"), (50, "twice", "en", "s"), (50, "twi ce", "en", "s"), (None, "none", "en", "s"), (None, "none", "en", "t")]
     got = exact_dedup.exact_dedup(documents(*rows), exact_dedup.new_index(spark))
     assert sorted(map(tuple, got.collect()), key=repr) == expected_dedup(rows)
     assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
@@ -45,6 +48,36 @@ def test_index_persists_between_batches(spark, documents, plan_of):
     assert index.read().count() == 3
 
 
+def test_the_registered_query_runs_the_anti_join(spark, data, executed_plans):
+    from logtide import llm
+
+    ran = executed_plans(lambda: llm.queries()["op8_exact_dedup"](spark, data).count())
+    assert any("SortMergeJoin" in plan and "LeftAnti" in plan for plan in ran)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
+
+
+def test_buckets_are_kept_with_the_index(spark, documents):
+    index = exact_dedup.new_index(spark)
+    exact_dedup.exact_dedup(documents("a", "b"), index)
+    again = exact_dedup.DigestIndex(spark, index.name, index.path)
+    exact_dedup.exact_dedup(documents("c"), again)
+    assert again.buckets == index.buckets == exact_dedup.LEAST_BUCKETS and again.read().count() == 3
+
+
+def test_of_rows_equal_in_id_and_text_the_smallest_is_kept(spark, documents):
+    docs = documents((1, "a", "en", "t"), (1, "a", "en", "s"), (1, "a", "en", None))
+    got = exact_dedup.kept_documents(docs, exact_dedup.new_index(spark)).collect()
+    assert [(r.doc_id, r.source) for r in got] == [(1, None)]
+
+
+def test_a_text_in_two_sources_is_mixed_for_each(spark, documents):
+    text = " ".join(f"w{i}" for i in range(50))
+    docs = documents((1, text, "en", "x"), (1, text, "en", "y"), (1, text, "en", "y"), (1, text, "en", "y"))
+    taken = {(r.source, r.copies) for r in mixing.mix(docs).select("source", "copies").distinct().collect()}
+    got = mixing.mixed_documents(docs).groupBy("source").count().collect()
+    assert {(r.source, r["count"]) for r in got} == {(s, n * (1 if s == "x" else 3)) for s, n in taken if n}
+
+
 def test_kept_documents_carry_all_columns(spark, documents):
     docs = documents((1, "a", "en", "s"), (2, "a", "de", "t"), (1, "a", "en", "s"), (3, None, None, None), (None, " ", "fr", None))
     got = exact_dedup.kept_documents(docs, exact_dedup.new_index(spark))

@@ -121,4 +121,53 @@ def test_one_of_each_group_keeps_columns(spark, documents):
     docs = documents((5, same, "a", "b"), (3, same + " more", "c", "d"), (9, "other words are here now", None, None), (None, same, None, None), (7, None, None, None))
     got = jaccard_join.one_of_each_group(docs)
     assert got.columns == docs.columns
-    assert sorted((r.doc_id for r in got.collect()), key=repr) == sorted([3, 9, None, 7], key=repr)
+    assert sorted(r.doc_id for r in got.collect()) == [3, 7, 9]
+
+
+def test_one_row_of_each_group_stays(spark, documents):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    docs = documents((0, a, "en", "s"), (1, a, "en", "s"), (1, b, "en", "s"), (1, b, "en", "s"), (1, b, "en", "r"), (None, None, "en", "s"), (None, None, "en", "s"))
+    got = sorted(((r.doc_id, r.text, r.source) for r in jaccard_join.one_of_each_group(docs).collect()), key=repr)
+    assert got == sorted([(0, a, "s"), (1, b, "r"), (None, None, "s"), (None, None, "s")], key=repr)
+    copies = documents((None, a, "en", "s"), (None, a + " ", "en", "s"), (None, a, "en", "s"))
+    assert jaccard_join.one_of_each_group(copies).count() == 1
+
+
+def test_a_template_chains_no_texts(spark, documents, monkeypatch):
+    """Half of the words of each page come from one template: similarity 0.33, no links, and hardly anything to verify."""
+    rng, template = random.Random(4), [f"t{i}" for i in range(100)]
+    texts = [" ".join(template + [f"w{rng.random()}" for _ in range(100)]) for _ in range(400)]
+    docs = documents(*texts)
+    rows = jaccard_join.signed(docs, jaccard_join.QuerySet([], 0.8))
+    classes = jaccard_join.write_through(rows.select("key", "size", "label", "sketch"), "classes")
+    depth = jaccard_join.matched_depth()
+    shared = classes.select("key", jaccard_join.F.explode(jaccard_join.prefixes_of(depth)).alias("p")).groupBy("p").count().filter("count > 1")
+    assert shared.count() > 10 and jaccard_join.candidate_blocks(classes, depth, 0.8).count() == 0
+
+
+@pytest.mark.parametrize("small", [1, 2])
+def test_large_buckets_lose_nothing(spark, documents, monkeypatch, small):
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    rows = list(enumerate(near_copies(small)))
+    assert sorted(map(tuple, jaccard_join.jaccard_join(documents(*[t for _, t in rows])).collect())) == brute(rows)
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(9)
+    for n, m in ((40, 25), (60, 90), (30, 0)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i) for i in range(n)]
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        found = {r.node: r.root for r in jaccard_join.components(spark.createDataFrame(pairs, "a int, b int")).collect()}
+        assert found == dict(enumerate(root))
+
+
+def test_edges_shrink_with_every_round(spark, monkeypatch):
+    sizes, whole = [], jaccard_join.write_through
+    monkeypatch.setattr(jaccard_join, "write_through", lambda df, name: sizes.append((name, df.count())) or whole(df, name))
+    edges = [(i, hub) for i in range(300) for hub in range(i % 7, 20, 7) if i > hub]
+    jaccard_join.components(spark.createDataFrame(edges, "a int, b int")).count()
+    left = [n for name, n in sizes if name == "edges"]
+    assert left == sorted(left, reverse=True) and left[-1] == 0 and max(n for _, n in sizes) <= len(edges)

@@ -24,6 +24,15 @@ def test_both_libraries_give_the_same_ids(data):
     assert e.ids(texts) == [e.slow_ids(t) for t in texts]
 
 
+def test_strings_of_added_tokens_are_their_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "x<|endoftext|>y"
+    assert list(np.frombuffer(encoder().ids([text])[0], "<u4")) == plain.encode(text, add_special_tokens=False).ids == [87, 50256, 88]
+
+
 def fewest(sizes, capacity):
     """Fewest bins by trying all assignments."""
     best = len(sizes)

@@ -19,9 +19,9 @@ def test_query_equals_its_sql(spark, data, name):
     assert result.startswith("ok") and not result.startswith("ok 0 "), result
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 def test_stages(spark, data):

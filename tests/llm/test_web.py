@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 
+from pyspark.sql.functions import lit as spark_lit
+
 from logtide.llm import html_extract, urls
 
 PAGES = "page_id long, url string, html string, host string, path string, text string"
@@ -189,3 +191,46 @@ def test_names_do_not_drop_the_only_article(tag):
 
 def test_no_pages(pages):
     assert html_extract.extract(pages(("http://a.org/", "x")).limit(0)).count() == 0
+
+
+ARTICLE = "<p>First part of the text.</p><p>Second part of the text.</p><p>Third part of the text.</p>"
+PARTS = ["First part of the text.", "Second part of the text.", "Third part of the text."]
+
+
+@pytest.mark.parametrize("source, lines", [
+    (f"<body><form id=aspnet><div class=main>{ARTICLE}</div></form></body>", PARTS),
+    (f"<body><form><article>{ARTICLE}</article></form><p>(c) us</p></body>", PARTS),
+    (f"<body><article>{ARTICLE}<form><p>Your name</p><input></form></article></body>", PARTS),
+    (f"<article>{ARTICLE.replace('</p><p>Second', '</p><svg class=i /><p>Second')}</article>", PARTS),
+    (f"<article>{ARTICLE.replace('</p><p>Second', '</p><iframe src=x /><p>Second')}</article>", PARTS),
+    (f"<article>{ARTICLE.replace('</p><p>Second', '</p><svg><text>drawn</text></svg><p>Second')}</article>", PARTS),
+    (f"<article>{ARTICLE.replace('</p><p>Second', '</p><button>more<p>Second')}</article>", [PARTS[0], "more", *PARTS[1:]]),
+    (f"<article>{ARTICLE.replace('</p><p>Second', '</p><button>more</button><p>Second')}</article>", PARTS),
+    (f"<article><p title=Bob's>{ARTICLE[3:]}</article>", PARTS),
+    (f"<article><p title=\"a>b\" alt='it is > \"that\"'>{ARTICLE[3:]}<p>It's 'so' = \"this\"</p></article>", [*PARTS, "It's 'so' = \"this\""]),
+    (f"<article>{ARTICLE}<p class='social'>On society.</p><div id='notice'>Take note of this.</div><p class='related-work'>Others did too.</p></article>",
+     [*PARTS, "On society.", "Take note of this.", "Others did too."]),
+    (f"<article>{ARTICLE}<div class='related'><a href=x>One more</a> <a href=y>Another</a></div></article>", PARTS),
+    (f"<article>{ARTICLE}<div class='ad'>Buy now</div><div class='comments'><p>Nice</p></div></article>", PARTS),
+    (f"<body><article>{ARTICLE}</article><article class='comment'><p>A reader's own words</p></article></body>", PARTS),
+    ("<article class='comment'><p>only a reader</p></article>", ["only a reader"]),
+    ("<p>a</p><script>if (a < b) { x = '</p>' }</script><p>b</p><style>p {}", ["a", "b"]),
+    ("<p>a < b and c > d</p><p>x <3 y</p>", ["a < b and c > d", "x <3 y"]),
+])
+def test_main_text_is_kept_and_no_more(source, lines):
+    assert html_extract.text_of(source, None) == "\n".join(lines)
+
+
+def test_many_open_tags_take_no_longer():
+    import time
+
+    began = time.time()
+    html_extract.text_of("<svg class=x><button><a b='" * 20_000 + "text", None)
+    assert time.time() - began < 20
+
+
+def test_long_titles_and_words_count(spark, pages):
+    word = "pneumonoultramicroscopic"
+    rows = pages(("http://a.org/", f"<title class=\"{'x' * 500}\">{word} {word}</title>"))
+    urls_seen = rows.select(spark_lit("").alias("path"))
+    assert {(r.word, r.n) for r in urls.lexicon(rows, urls_seen).collect()} == {(word, 2)}
