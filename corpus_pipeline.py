@@ -25,7 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, against an index that begins empty."""
-    return exact_dedup.kept_documents(docs, exact_dedup.new_index(spark))
+    with exact_dedup.scratch_index(spark) as index:
+        return exact_dedup.kept_documents(docs, index)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,14 +61,22 @@ def plan_fixture():
 
 @pytest.fixture
 def executed_plans(spark):
-    """The final plans of all executions that a function starts, from Spark's own status store."""
+    """The final plans of all executions that a function starts, from Spark's own status store.
+
+    Executions are told by their ids: the store drops old ones, so numbers in its list move.
+    """
 
     def run(function):
         store = spark._jsparkSession.sharedState().statusStore()
-        before = store.executionsCount()
+        bus = spark.sparkContext._jsc.sc().listenerBus()
+
+        def kept():
+            bus.waitUntilEmpty(20_000)
+            found = store.executionsList()
+            return [found.apply(i) for i in range(found.size())]
+
+        last = max((e.executionId() for e in kept()), default=-1)
         function()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
-        found = store.executionsList(int(before), 10_000)
-        return [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+        return [e.physicalPlanDescription() for e in kept() if e.executionId() > last]
 
     return run

@@ -8,6 +8,13 @@ def test_work_before_the_last_read_is_seen(spark, data, executed_plans):
     assert len(ran) >= 4 and any("Generate" in plan for plan in ran)
 
 
+def test_plans_are_found_after_more_executions_than_are_kept(spark, executed_plans):
+    for _ in range(1050):  # Spark keeps 1,000
+        spark.range(1).write.format("noop").mode("overwrite").save()
+    for _ in range(3):
+        assert len(executed_plans(lambda: [spark.range(5).write.format("noop").mode("overwrite").save() for _ in range(8)])) == 8
+
+
 def test_flagship_sums_before_it_joins(spark, data, plan_of):
     plan = plan_of(plans.queries()["media_traffic_minute"](spark, data))
     assert "BroadcastHashJoin" in plan and plan.index("BroadcastHashJoin") < plan.index("HashAggregate")
