@@ -45,7 +45,7 @@ DEPTH = 8  # min-hashes of a whole label
 TARGET = 0.99999  # probability to meet for a pair at the threshold, and share of the query set's links to meet
 QUERIES = 512  # texts that are compared with all classes to measure which links meet
 QUERY_POINTS = 1 << 16  # only texts of up to so many characters are queries, so that the set is bounded
-SMALL = 16  # classes with a common prefix that are all compared by sketch, at most
+SMALL = 256  # classes with a common prefix that are all compared by sketch, at most
 DOUBT = 0.2  # a pair is ruled out only if its sketch is so far below the threshold: 8 standard errors at 0.8
 BLOCK_SHINGLES = 1 << 18  # shingles of a block, about
 BLOCK_CLASSES = 512  # classes of a block, about
@@ -244,19 +244,12 @@ def likely_edges(members: DataFrame, threshold: float) -> DataFrame:
             sketches = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
             a, b = [], []
             for low, high in zip(ends, ends[1:]):
-                i, j = np.triu_indices(high - low, 1)
-                i, j = i + low, j + low
+                some, size = sketches[low:high], sizes[low:high]
                 # Unequal min-hashes agree in their last byte in one of 256 cases.
-                alike = ((sketches[i] == sketches[j]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                near = (alike >= least) & (np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9)
-                root = list(range(high - low))
-                for x, y in zip((i[near] - low).tolist(), (j[near] - low).tolist()):
-                    while root[x] != x:
-                        x = root[x]
-                    while root[y] != y:
-                        y = root[y]
+                alike = ((some[:, None] == some[None]).mean(axis=2) - 1 / 256) / (1 - 1 / 256)
+                near = (alike >= least) & (np.minimum.outer(size, size) >= threshold * np.maximum.outer(size, size) - 1e-9)
+                for x, y in enumerate(forest(near, 0)):
                     if x != y:
-                        root[max(x, y)] = min(x, y)
                         a.append(keys[low + x])
                         b.append(keys[low + y])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
