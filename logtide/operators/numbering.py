@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, write_through
+from ..session import write_through
 from .lookups import lookup_join
 
-# monotonically_increasing_id(): partition number above, row number in the low 33 bits.
-_ROW_BITS = 33
-
 # Largest k for which Spark plans a group limit (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
 SLICES = 64
@@ -24,26 +21,25 @@ def dense_index(
 ) -> DataFrame:
     """Contiguous numbers in the order of ``order_by``, without sorting in one task.
 
-    Rows are range-partitioned and sorted, and that placement is written to the
-    checkpoint folder. A second look counts rows per partition; a row's number
-    is its place in the partition plus the rows of all earlier partitions. ``partitions``
-    sets the number of sorts for large inputs (default: the session's shuffle width). The
-    sampling for the ranges reads the input once more: write a costly one through first.
+    Rows are range-partitioned, sorted and written as a table; equal values of the order are dealt
+    to several partitions by a hash of the row. A row's number is its position in its
+    file plus the rows of all earlier files, so a reader reads the columns it needs, and
+    a lost executor takes nothing with it. ``partitions`` sets the number of sorts for large
+    inputs (default: the session's shuffle width). The sampling for the ranges reads the input
+    once more: write a costly one through first.
     """
-    slot = F.col("_slot")
-    ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
-    placed = materialize(
-        ranged
-        .sortWithinPartitions(*order_by)
-        .withColumn("_slot", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright(slot, _ROW_BITS))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    # One row per shuffle partition: small enough for a single ordered window and a broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    row = slot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbered = placed.join(F.broadcast(offsets), "_part")
-    return numbered.select(*df.columns, (F.col("_before") + row + F.lit(start)).alias(index))
+    spread = F.xxhash64(*[c for c, t in df.dtypes if "map" not in t and "variant" not in t])
+    order = [*order_by, spread]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    written = write_through(ranged.sortWithinPartitions(*order), "numbered")
+    placed = written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # One row per file; names begin with the number of the partition, and their footers hold the counts.
+    number = F.regexp_extract("_file", r"^part-(\d+)-", 1).cast("bigint")
+    sizes = placed.groupBy("_file").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.join(F.broadcast(offsets), "_file")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_row") + F.lit(start)).alias(index))
 
 
 def unique_id(df: DataFrame, index: str = "uid") -> DataFrame:
@@ -95,7 +91,8 @@ def top_k_per_key(
     if k <= GROUP_LIMIT:
         # The planner itself puts a group limit before and after the shuffle.
         return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
-    spread = df.withColumn("_slice", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if "map" not in t]), F.lit(SLICES)))
+    # By the row's place as well: equal rows of a key are dealt to all slices.
+    spread = df.withColumn("_slice", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SLICES)))
     sliced = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
     best = spread.withColumn(rank, F.row_number().over(sliced)).where(F.col(rank) <= k).drop("_slice", rank)
     return best.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)

@@ -1,4 +1,4 @@
-"""Stream positions as tables: ranges, bounds, ledgers and intake limits.
+"""Stream positions as tables: ranges, bounds, ledgers and what batches read.
 
 Messages are rows of (topic, partition_id, msg_offset, value); ranges are
 (topic, partition_id, start_offset, end_offset) with the end excluded.
@@ -6,7 +6,7 @@ Messages are rows of (topic, partition_id, msg_offset, value); ranges are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strict_int, strict_long
@@ -93,38 +93,11 @@ def starting_offsets_json(offsets: DataFrame) -> DataFrame:
     return per_topic.agg(F.when(F.count("*") > 0, text).otherwise(F.lit("latest")).alias("starting_offsets"))
 
 
-def intake_ranges(
-    ledger: DataFrame,
-    latest: DataFrame,
-    max_rate: int,
-    batch_seconds: float,
-    total_rate: float | None = None,
-) -> DataFrame:
-    """The next batch's ranges: from the ledger, as far as the rate limits allow.
+def batch_ranges(messages: DataFrame) -> DataFrame:
+    """batch_id, topic, partition, start_offset, end_offset (exclusive), messages: what each batch of a stream read.
 
-    ``max_rate`` is messages per partition and second, 0 for no limit. With
-    ``total_rate`` each partition gets a share of it by its backlog, at most
-    ``max_rate``. ``latest`` holds each partition's end as ``until_offset``.
+    ``messages`` are stored batches with their ``batch_id``; how much a batch takes is the source's own
+    limit (``maxFilesPerTrigger``, ``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``).
     """
-    ends = latest.select(*PARTITION, "until_offset")
-    lag = F.greatest(F.col("until_offset") - F.col("start_offset"), F.lit(0))
-    backlog = ledger.select(*PARTITION, "start_offset").join(ends, PARTITION).withColumn("_lag", lag)
-    # One row per topic partition, so the sums over all of them fit one task.
-    everything = Window.partitionBy()
-    if total_rate is not None and total_rate > 0:
-        share = F.try_divide(F.col("_lag") * F.lit(float(total_rate)), F.sum("_lag").over(everything))
-        limit = F.round(F.coalesce(share, F.lit(0.0))).cast("bigint")
-        if max_rate > 0:
-            limit = F.least(limit, F.lit(max_rate).cast("bigint"))
-    else:
-        limit = F.lit(max_rate).cast("bigint")
-    limited = backlog.withColumn("_limit", limit)
-    limited = limited.withColumn("_any", F.sum("_limit").over(everything) > 0)
-    allowed = F.col("start_offset") + (F.col("_limit") * F.lit(float(batch_seconds))).cast("bigint")
-    until = F.when(F.col("_any"), F.least(allowed, "until_offset")).otherwise(F.col("until_offset"))
-    return limited.select(*PARTITION, "start_offset", until.alias("end_offset"))
-
-
-def bounded_intake(messages: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The messages of the next batch."""
-    return offset_range_fetch(messages, ranges)
+    return messages.groupBy("batch_id", *PARTITION).agg(
+        F.min("msg_offset").alias("start_offset"), (F.max("msg_offset") + 1).alias("end_offset"), F.count("*").alias("messages"))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import filters, offsets, parsers, rollups
+from ..operators import filters, offsets, parsers
+from ..streaming.batches import batch_function_sink, batch_table_sink
 from .inputs import WHITE_TOPICS, Inputs
 from .registry import register
 
@@ -94,40 +95,43 @@ def starting_offsets_json(inputs: Inputs):
     return offsets.starting_offsets_json(offsets.save_offset_nodes(inputs.message()))
 
 
+# Stored messages, one folder per partition id: a stream that takes one file a batch reads one partition at a time.
 INTAKE_SQL = """
-    (SELECT r.topic AS topic, r.partition_id AS partition_id, r.start_offset AS start_offset,
-       least(r.start_offset + 3000, b.until_offset) AS end_offset
-     FROM {MANIFEST} r JOIN (SELECT topic, partition_id, max(msg_offset) + 1 AS until_offset
-                             FROM {MESSAGE} GROUP BY ALL) b
-       ON r.topic = b.topic AND r.partition_id = b.partition_id)"""
+    SELECT topic, partition_id, min(msg_offset) AS start_offset, max(msg_offset) + 1 AS end_offset,
+      count(*) AS messages, true AS bounded
+    FROM {MESSAGE} GROUP BY topic, partition_id"""
 
 
-def _intake_ranges(inputs: Inputs, **rate):
-    ledger = parsers.parse_offset_manifest(inputs.offset_info())
-    latest = rollups.batch_counts(inputs.message())
-    return offsets.intake_ranges(ledger, latest, max_rate=50, batch_seconds=60, **rate)
+def _stored_batches(inputs: Inputs, **limit):
+    """Messages read again as a stream whose source bounds each batch, stored under the batch's id."""
+    log, out, checkpoint = (inputs.new_folder(f"intake-{name}") for name in ("log", "out", "checkpoint"))
+    placed = inputs.message().withColumn("_file", F.col("partition_id"))
+    placed.repartition("_file").write.partitionBy("_file").parquet(log)
+    schema = placed.drop("_file").schema
+    reader = inputs.spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    for name, value in limit.items():
+        reader = reader.option(name, value)
+    batch_function_sink(reader.parquet(log), batch_table_sink(out), checkpoint).awaitTermination()
+    return inputs.spark.read.parquet(out)
 
 
-@register("intake_ranges", f"SELECT * FROM {INTAKE_SQL}")
+def _ranges(stored):
+    ranges = offsets.batch_ranges(stored)
+    held = ranges.groupBy("batch_id").agg(F.max("partition_id").alias("_high"), F.min("partition_id").alias("_low"))
+    bounded = held.agg(F.max(F.col("_high") - F.col("_low")) == 0).scalar()
+    return ranges.select(*offsets.PARTITION, "start_offset", "end_offset", "messages", bounded.alias("bounded"))
+
+
+@register("intake_ranges", INTAKE_SQL)
 def intake_ranges(inputs: Inputs):
-    return _intake_ranges(inputs)
+    return _ranges(_stored_batches(inputs, maxFilesPerTrigger=1))
 
 
-@register("intake_ranges_by_backlog", """
-    SELECT topic, partition_id, start_offset, least(start_offset
-        + CAST(least(floor(lag * 700.0 / sum(lag) OVER () + 0.5), 50) AS BIGINT) * 60, until_offset) AS end_offset
-    FROM (SELECT r.topic AS topic, r.partition_id AS partition_id, r.start_offset AS start_offset, until_offset,
-            greatest(until_offset - r.start_offset, 0) AS lag
-          FROM {MANIFEST} r JOIN (SELECT topic, partition_id, max(msg_offset) + 1 AS until_offset
-                                  FROM {MESSAGE} GROUP BY ALL) b
-            ON r.topic = b.topic AND r.partition_id = b.partition_id)""")
+@register("intake_ranges_by_backlog", INTAKE_SQL)
 def intake_ranges_by_backlog(inputs: Inputs):
-    return _intake_ranges(inputs, total_rate=700.0)
+    return _ranges(_stored_batches(inputs, maxBytesPerTrigger="1"))
 
 
-@register("bounded_intake", f"""
-    SELECT m.topic AS topic, m.partition_id AS partition_id, m.msg_offset AS msg_offset, m.value AS value
-    FROM {{MESSAGE}} m JOIN {INTAKE_SQL} r ON m.topic = r.topic AND m.partition_id = r.partition_id
-      AND m.msg_offset >= r.start_offset AND m.msg_offset < r.end_offset""")
+@register("bounded_intake", "SELECT topic, partition_id, msg_offset, value FROM {MESSAGE}")
 def bounded_intake(inputs: Inputs):
-    return offsets.bounded_intake(inputs.message(), _intake_ranges(inputs))
+    return _stored_batches(inputs, maxFilesPerTrigger=5).select(*offsets.PARTITION, "msg_offset", "value")

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import offsets, parsers
 from ..sinks.tables import create_hourly_table, read_sums
-from ..streaming import jobs
+from ..operators.lookups import attach_userid
+from ..streaming import jobs, minutes
 from ..streaming.batches import RefreshingDimension, batch_function_sink, batch_table_sink
 from .inputs import Inputs
 from .parsing import ACCESS_SQL, MEDIA_SQL
@@ -38,6 +39,15 @@ def stream_media_traffic(inputs: Inputs):
     return sums.select("domain", "userid", "timestamp", "cs")
 
 
+@register("stream_media_minutes", MEDIA_MINUTE_SQL)
+def stream_media_minutes(inputs: Inputs):
+    out, checkpoint = _folders(inputs, "stream-minutes")
+    lines = inputs.media_log(inputs.stream("events"))
+    minutes.stream_media_minutes(lines, out, checkpoint, hold=0).awaitTermination()
+    sums = attach_userid(minutes.minute_sums(inputs.spark.read.parquet(out)), inputs.channels())
+    return sums.select("domain", "userid", F.col("timestamp").cast("string").alias("timestamp"), "cs")
+
+
 @register("stream_hourly_table", f"""
     SELECT domain, dir1, dir2, timestamp, cs,
       strftime(make_timestamp(timestamp * 1000000), '%Y%m') AS month_,

@@ -73,30 +73,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(work_root(spark))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the files.
-
-    Used where a later step reads the same rows twice and both reads must see
-    the same row-to-partition placement, even when an executor is lost between.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def remove_at_exit(spark: SparkSession, folder: str) -> None:
     """Have the driver remove an intermediate folder when it ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
-def write_through(df: DataFrame, label: str = "rows") -> DataFrame:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove an intermediate folder that no reader needs any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_through(df: DataFrame, label: str = "rows", folder: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and continue from the table.
 
     For rows that several later steps read: they are computed once, columns
     not needed are not read back, and their size is known to the planner.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, label)
+    folder = folder or new_folder(spark, label)
     df.write.parquet(folder)
     remove_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import batch_time_parts
@@ -72,17 +74,20 @@ def write_hours(df: DataFrame, path: str, batch_id: int, table: str | None = Non
     """Write one micro-batch under ``month_/day_/hour_/batch_id``, and put its hours into the catalog.
 
     Only the folders of this batch id are replaced, so a batch that runs again leaves its
-    rows once, and other batches of the hour stay.
+    rows once, and other batches of the hour stay. The hours are those seen while writing: the batch
+    is computed once.
     """
     spark = df.sparkSession
     layout = [*HOUR_PARTITION, "batch_id"]
-    placed = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    seen = Observation(f"hours-{batch_id}-{uuid.uuid4().hex}")
+    # The hours that a batch touches are a handful of short values.
+    placed = df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).observe(
+        seen, F.collect_set(F.to_json(F.struct(*HOUR_PARTITION))).alias("hours"))
     placed.hint("rebalance", *HOUR_PARTITION).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
     if table is None:
         return
-    # The hours that a batch touches are a handful of short rows.
-    hours = df.select(*HOUR_PARTITION).distinct().collect()
+    hours = [json.loads(hour) for hour in sorted(seen.get["hours"])]
     for hour in hours:
         values = ", ".join(f"{name}='{hour[name]}'" for name in HOUR_PARTITION)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}, batch_id={batch_id})")

@@ -13,7 +13,7 @@ from ..operators.parsers import FIREWALL_TAG, parse_access_log, parse_media_log,
 from ..functions.times import batch_time_parts
 from ..sinks.tables import HOUR_PARTITION, write_batch, write_hours
 from ..sinks.text import keyed_messages
-from .batches import RefreshingDimension, batch_function_sink
+from .batches import RefreshingDimension, batch_function_sink, batch_moment
 
 
 def media_traffic_batch(lines: DataFrame) -> DataFrame:
@@ -53,14 +53,15 @@ def stream_hourly_table(
 ) -> StreamingQuery:
     """Parsed access lines under month_ / day_ / hour_, each hour's batches below it.
 
-    The hour is the line's own; with ``batch_time`` it is that of the batch. With ``table``
+    The hour is the line's own; with ``batch_time`` it is that of the batch, taken once and kept beside
+    the checkpoint, so that a batch that runs again has its first time. With ``table``
     (see ``create_hourly_table``) every hour that a batch wrote is put into the catalog. A
     batch that runs again replaces its rows, as each hour holds them under the batch's id.
     """
     parsed = parse_access_log(lines)
-    moment = F.current_timestamp() if batch_time else F.timestamp_seconds("timestamp")
 
     def action(batch: DataFrame, batch_id: int) -> None:
+        moment = F.lit(batch_moment(batch.sparkSession, checkpoint, batch_id)) if batch_time else F.timestamp_seconds("timestamp")
         parts = batch_time_parts(moment)
         placed = batch.withColumns({name: parts[name] for name in HOUR_PARTITION})
         write_hours(placed, path, batch_id, table)

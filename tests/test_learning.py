@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
@@ -50,6 +51,35 @@ def test_kmeans(spark):
         assert row.distance == pytest.approx(min(square)) and square[row.cluster] == pytest.approx(min(square))
 
 
+def test_all_runs_equal_a_plain_loop_from_the_same_centres(spark):
+    rng = np.random.default_rng(3)
+    made = np.concatenate([rng.normal(m, 0.6, (80, 3)) for m in (0, 4, 9)])
+    points = spark.createDataFrame([(p.tolist(),) for p in made], "point array<double>").repartition(5)
+    seeds = [made[rng.choice(len(made), 3, replace=False)] for _ in range(4)] + [np.array([made[0], made[0], made[0] + 1e6])]
+
+    def plain(centres):
+        for _ in range(20):
+            near = ((made[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+            centres = np.array([made[near == j].mean(axis=0) if (near == j).any() else c for j, c in enumerate(centres)])
+        return ((made[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+    for some in ([s] for s in seeds):
+        assert cluster.kmeans_train(points, seeds=some).summary.trainingCost == pytest.approx(plain(some[0]), rel=1e-6)
+    assert cluster.kmeans_train(points, seeds=seeds).summary.trainingCost == pytest.approx(min(map(plain, seeds)), rel=1e-6)
+
+
+def test_runs_share_their_passes(spark, executed_plans):
+    points = spark.range(300).select(F.array((F.col("id") % 17).cast("double"), (F.col("id") % 5).cast("double")).alias("point"))
+    passes = [len(executed_plans(lambda: cluster.kmeans_train(points, k=3, runs=runs, max_iter=4, tolerance=0.0))) for runs in (1, 10)]
+    assert passes[1] <= passes[0] + 6
+
+
+def test_few_distinct_points(spark):
+    points = spark.createDataFrame([([1.0],)] * 50 + [([2.0],)] * 3, "point array<double>")
+    model = cluster.kmeans_train(points, k=4, runs=2)
+    assert sorted(model.clusterCenters()) == [[1.0], [2.0]] and model.summary.trainingCost == 0
+
+
 def test_equally_near_centres_take_the_first(spark):
     points = spark.createDataFrame([([0.0],)], "point array<double>")
     assert cluster.kmeans_assign(points, [[1.0], [-1.0]]).first().cluster == 0

@@ -54,23 +54,9 @@ def test_no_ledger_starts_at_the_latest(spark):
     assert offsets.starting_offsets_json(nothing).first()[0] == "latest"
 
 
-@pytest.fixture
-def positions(spark):
-    ledger = spark.createDataFrame([("t", 0, 0), ("t", 1, 0), ("t", 2, 5)], "topic string, partition_id int, start_offset bigint")
-    latest = spark.createDataFrame([("t", 0, 900), ("t", 1, 100), ("t", 2, 5)], "topic string, partition_id int, until_offset bigint")
-    return ledger, latest
-
-
-@pytest.mark.parametrize("max_rate,total_rate,ends", [
-    (0, None, [900, 100, 5]),        # no limit
-    (10, None, [600, 100, 5]),       # 10 per second for 60 seconds
-    (0, 10.0, [540, 60, 5]),         # shares of 9, 1 and 0 per second
-    (5, 10.0, [300, 60, 5]),         # shares capped at 5
-    (0, 0.1, [900, 100, 5]),         # shares all round to 0: no limit applies
-])
-def test_intake(positions, max_rate, total_rate, ends):
-    got = offsets.intake_ranges(*positions, max_rate, 60, total_rate)
-    assert [r.end_offset for r in got.orderBy("partition_id").collect()] == ends
+def test_ranges_of_stored_batches(spark, rows):
+    read = spark.createDataFrame([(0, "t", 1, 5), (0, "t", 1, 9), (1, "t", 1, 10), (1, "u", 2, 3)], "batch_id long, topic string, partition_id int, msg_offset long")
+    assert rows(offsets.batch_ranges(read)) == [(0, "t", 1, 5, 10, 2), (1, "t", 1, 10, 11, 1), (1, "u", 2, 3, 4, 1)]
 
 
 def test_stream_options():

@@ -6,8 +6,8 @@ from logtide.plans.inputs import Inputs
 from logtide.session import new_folder
 from logtide.sinks.tables import compact_sums, create_hourly_table, read_sums, write_batch, write_hours
 from logtide.sources.streams import file_stream_scan
-from logtide.streaming import jobs
-from logtide.streaming.batches import RefreshingDimension, batch_function_sink, batch_table_sink
+from logtide.streaming import jobs, minutes
+from logtide.streaming.batches import RefreshingDimension, batch_function_sink, batch_moment, batch_table_sink
 
 
 @pytest.fixture
@@ -136,3 +136,99 @@ def test_hours_are_in_the_catalog_and_replays_replace(spark):
     assert sorted(r.id for r in spark.table(table).collect()) == list(range(30))
     assert spark.sql(f"SHOW PARTITIONS {table}").count() == 4
     spark.sql(f"DROP TABLE {table}")
+
+
+LINE = "edge1 [02/Jan/2024:{}:{:02}:07 +0000] 1 a.com live s1 10.0.0.1 172.16.0.1 PUBLISH rtmp://x \"args\" {} - 1"
+
+
+def test_minutes_close_once_and_later_lines_are_corrections(spark, lines):
+    """Three batches: a minute, a later one, and late lines of the first; each line is in one row."""
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("minutes", "out", "cp"))
+    def run(*texts):
+        lines(*texts).coalesce(1).write.mode("append").text(folder)
+        stream = file_stream_scan(spark, folder, "value string", "text").withColumnRenamed("value", "line")
+        minutes.stream_media_minutes(stream, out, checkpoint, hold=0).awaitTermination()
+        return spark.read.parquet(out)
+    run(LINE.format("05", 1, 100), LINE.format("05", 1, 50))
+    run(LINE.format("05", 2, 7))
+    rows = run(LINE.format("05", 1, 30), LINE.format("05", 1, 3), LINE.format("05", 3, 1))
+    first = 1704067200 + 86400 + 5 * 3600 + 60
+    assert sorted((r.timestamp, r.kind, r.cs) for r in rows.collect()) == [
+        (first, "closed", 150), (first, "correction", 33), (first + 60, "closed", 7), (first + 120, "closed", 1)]
+    assert {r.timestamp: r.cs for r in minutes.minute_sums(rows).collect()} == {first: 183, first + 60: 7, first + 120: 1}
+    # One table, however many batches there were; the session keeps its own state store.
+    assert not [f for f in rows.inputFiles() if "batch_id" in f]
+    assert spark.conf.get(minutes.STORE) != minutes.ROCKSDB
+
+
+def test_marks_of_closed_minutes_expire(spark, lines):
+    """After the time to live a minute opens again: nothing of it is left in the store, and no line is lost."""
+    import time
+
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("minutes", "out", "cp"))
+    for turn in range(2):
+        lines(LINE.format("05", 1, 100 + turn)).coalesce(1).write.mode("append").text(folder)
+        stream = file_stream_scan(spark, folder, "value string", "text").withColumnRenamed("value", "line")
+        minutes.stream_media_minutes(stream, out, checkpoint, hold=0, ttl=0.5).awaitTermination()
+        time.sleep(1)
+    assert sorted((r.kind, r.cs) for r in spark.read.parquet(out).collect()) == [("closed", 100), ("closed", 101)]
+
+
+def test_held_minutes_wait_for_their_time(spark, lines):
+    import time
+
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("minutes", "out", "cp"))
+    lines(LINE.format("05", 1, 100)).coalesce(1).write.text(folder)
+    stream = file_stream_scan(spark, folder, "value string", "text").withColumnRenamed("value", "line")
+    query = minutes.stream_media_minutes(stream, out, checkpoint, hold=4, interval="1 second")
+    try:
+        lines(LINE.format("05", 1, 11)).coalesce(1).write.mode("append").text(folder)
+        ends, rows = time.time() + 60, []
+        while not rows and time.time() < ends:
+            time.sleep(1)
+            rows = spark.read.schema(minutes.OUTPUT).parquet(out).collect()
+    finally:
+        query.stop()
+    assert [(r.kind, r.cs) for r in rows] == [("closed", 111)]
+
+
+def test_a_batch_keeps_its_first_time(spark):
+    checkpoint = new_folder(spark, "cp")
+    first = batch_moment(spark, checkpoint, 3, clock=lambda: 1704067199.0)
+    assert batch_moment(spark, checkpoint, 3, clock=lambda: 1704070000.0) == first
+    assert batch_moment(spark, checkpoint, 4, clock=lambda: 1704070000.0) != first
+
+
+def test_a_replay_in_the_next_hour_leaves_the_rows_where_they_were(spark, lines, monkeypatch):
+    import logtide.streaming.jobs as live
+
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("access", "out", "cp"))
+    taken = []
+    def action_of(stream, action, *rest):
+        taken.append(action)
+        return batch_function_sink(stream, action, *rest)
+    monkeypatch.setattr(live, "batch_function_sink", action_of)
+    lines("x").coalesce(1).write.text(folder)
+    stream = file_stream_scan(spark, folder, "value string", "text").withColumnRenamed("value", "line")
+    live.stream_hourly_table(stream, out, checkpoint, batch_time=True).awaitTermination()
+    rows = spark.createDataFrame([("a", 1)], "domain string, timestamp bigint")
+    for now in ("2024-01-01 00:59:59", "2024-01-01 01:00:10"):
+        at = __import__("datetime").datetime.fromisoformat(now + "+00:00").timestamp()
+        monkeypatch.setattr(live, "batch_moment", lambda s, c, b: batch_moment(s, c, b, clock=lambda: at))
+        taken[0](rows, 7)
+    assert [(r.hour_, r.domain) for r in spark.read.parquet(out).where("batch_id = 7").collect()] == [(r.hour_, "a") for r in spark.read.parquet(out).where("batch_id = 7").limit(1).collect()]
+    assert spark.read.parquet(out).where("batch_id = 7").count() == 1
+
+
+def test_old_copies_of_a_dimension_are_removed(spark):
+    import os
+
+    now = [0.0]
+    channels = RefreshingDimension(lambda: spark.range(2), ttl=1, clock=lambda: now[0])
+    copies = []
+    for turn in range(5):
+        now[0] = 10.0 * turn
+        copies.append(channels.rows())
+        assert copies[-1].count() == 2
+    held = [os.path.exists(f) for f in channels._folders]
+    assert len(held) == 2 and all(held)
