@@ -46,7 +46,7 @@ TARGET = 0.99999  # probability to meet for a pair at the threshold, and share o
 QUERIES = 512  # texts that are compared with all classes to measure which links meet
 QUERY_POINTS = 1 << 16  # only texts of up to so many characters are queries, so that the set is bounded
 SMALL = 256  # classes with a common prefix that are all compared by sketch, at most
-DOUBT = 0.2  # a pair is ruled out only if its sketch is so far below the threshold: 8 standard errors at 0.8
+DOUBT = 0.2  # a pair is ruled out only if its sketch is so far below the threshold: over 7 standard errors at 0.8
 BLOCK_SHINGLES = 1 << 18  # shingles of a block, about
 BLOCK_CLASSES = 512  # classes of a block, about
 _COLUMNS = 4096  # shingles compared at once
@@ -100,6 +100,19 @@ def label_of(shingles: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return out.reshape(depth, TREES).T
 
 
+def sketch_of(label: np.ndarray) -> bytes:
+    """Four bits of each min-hash, two min-hashes a byte."""
+    low = (label.ravel() & np.uint32(15)).astype(np.uint8)
+    return (low[::2] | low[1::2] << 4).tobytes()
+
+
+def alike(sketches: np.ndarray) -> np.ndarray:
+    """Estimated similarity of all pairs of sketches (rows of bytes). Unequal min-hashes agree in their four bits in one of 16 cases."""
+    differ = sketches[:, None] ^ sketches[None]
+    same = ((differ & 15) == 0).sum(axis=2) + ((differ >> 4) == 0).sum(axis=2)
+    return (same / (TREES * DEPTH) - 1 / 16) / (1 - 1 / 16)
+
+
 class QuerySet:
     """Some shingle sets, to compare any other set with all of them by brute force."""
 
@@ -146,8 +159,7 @@ def settled_depth(met: dict[int, int], threshold: float = THRESHOLD, target: flo
 
 
 def signed(docs: DataFrame, queries: QuerySet) -> DataFrame:
-    """doc_id, row (see ``row_key``), key of the shingle set, its size, the whole labels of all trees, their sketch (a byte of each
-    min-hash), and where the set meets the queries it is linked to."""
+    """doc_id, row (see ``row_key``), key of the shingle set, its size, the whole labels of all trees, their sketch, and where the set meets the queries it is linked to."""
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(queries)
 
@@ -169,7 +181,7 @@ def signed(docs: DataFrame, queries: QuerySet) -> DataFrame:
                     if len(seen) > 20_000:
                         seen.clear()
                     label = label_of(s)
-                    seen[key] = label.astype(">u4").tobytes(), label.astype(np.uint8).tobytes(), queries.levels(s, key, label)
+                    seen[key] = label.astype(">u4").tobytes(), sketch_of(label), queries.levels(s, key, label)
                 keys.append(key)
                 sizes.append(len(s))
                 labels.append(seen[key][0])
@@ -241,13 +253,11 @@ def likely_edges(members: DataFrame, threshold: float) -> DataFrame:
             ends, flat = column.offsets.to_numpy(), column.values
             keys = flat.field("key").to_pylist()
             sizes = flat.field("size").to_numpy().astype(np.float64)
-            sketches = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
+            sketches = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH // 2)
             a, b = [], []
             for low, high in zip(ends, ends[1:]):
                 some, size = sketches[low:high], sizes[low:high]
-                # Unequal min-hashes agree in their last byte in one of 256 cases.
-                alike = ((some[:, None] == some[None]).mean(axis=2) - 1 / 256) / (1 - 1 / 256)
-                near = (alike >= least) & (np.minimum.outer(size, size) >= threshold * np.maximum.outer(size, size) - 1e-9)
+                near = (alike(some) >= least) & (np.minimum.outer(size, size) >= threshold * np.maximum.outer(size, size) - 1e-9)
                 for x, y in enumerate(forest(near, 0)):
                     if x != y:
                         a.append(keys[low + x])
