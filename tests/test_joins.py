@@ -165,11 +165,44 @@ def check_ranges(spark, ranges):
     assert inner.count() == sum(expected[t] is not None for t in texts)
 
 
-def test_ip_plan_has_no_nested_loop(spark, ranges, plan_of):
+def test_ip_plan_is_one_shuffle_a_side(spark, ranges, plan_of):
     events = spark.createDataFrame([(1, "1.2.3.4")], "id int, ip string")
     table = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, company string")
     plan = plan_of(ipranges.ip_to_company(events, table))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Join") >= 6
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # The only join is the one of a part's number with its last start.
+    assert plan.count("Join") == 1 and plan.count("Exchange hashpartitioning(_ip_slot") == 1
+
+
+def test_overlapping_ranges_take_the_last_start(spark):
+    made = [(0, 100, "wide"), (10, 20, "inner"), (10, 12, "short"), (50, 60, "b"), (50, 60, "a"), (80, 70, "turned"), (None, 5, "open")]
+    asked = [0, 9, 10, 20, 21, 49, 55, 60, 61, 75, 101]
+    events = spark.createDataFrame([(a, f"0.0.0.{a}") for a in asked], "id int, ip string")
+    table = spark.createDataFrame(made, "start_ip bigint, end_ip bigint, company string")
+    want = {0: "wide", 9: "wide", 10: "inner", 20: "inner", 55: "a", 60: "a"}
+    for parts in (1, 3, 40):
+        got = {r.id: r.company for r in ipranges.ip_to_company(events, table, parts=parts).collect()}
+        assert got == {a: want.get(a) for a in asked}
+
+
+def test_a_hot_address_is_split(spark):
+    hot = F.when(F.col("id") % 3 == 0, F.lit("10.0.0.9")).otherwise(F.concat(F.lit("10.0."), F.col("id") % 200, F.lit(".1")))
+    events = spark.range(9000).select("id", hot.alias("ip"), F.lit("x").alias("_ip_part"), F.lit("y").alias("company_"))
+    table = spark.createDataFrame([(167772160, 167772170, "hot"), (167772416 + 255, 167903232, "rest")], "start_ip bigint, end_ip bigint, company string")
+    named = ipranges.ip_to_company(events, table, parts=30)
+    counts = {r.company: r["count"] for r in named.groupBy("company").count().collect()}
+    assert counts["hot"] >= 3000 and sum(counts.values()) == 9000 and named.columns == [*events.columns, "company"]
+    bounds, slots = ipranges._bounds(events.select(ipranges.ip_to_long("ip").alias("_ip_at")), 30)
+    at = bounds.index(167772169)
+    assert slots[at + 1] >= 9 and bounds[at + 1] == 167772170 and sum(slots) <= 60
+
+
+def test_ranges_without_events_or_the_other_way(spark):
+    events = spark.createDataFrame([(1, "1.2.3.4"), (2, None)], "id int, ip string")
+    table = spark.createDataFrame([(0, 2**40, "all")], "start_ip bigint, end_ip bigint, company string")
+    assert ipranges.ip_to_company(events.limit(0), table).count() == 0
+    assert [r.company for r in ipranges.ip_to_company(events, table.limit(0)).collect()] == [None, None]
+    assert {r.id: r.company for r in ipranges.ip_to_company(events, table).collect()} == {1: "all", 2: None}
 
 
 def test_repeated_pairs_multiply(spark, rows):
