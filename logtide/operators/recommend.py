@@ -8,8 +8,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_doubles, unit
-from ..session import ensure_checkpoint_dir
+from ..functions.vectors import as_doubles, norm, unit
+from ..session import ensure_checkpoint_dir, write_through
 from .lookups import lookup_join
 from .numbering import dense_index, take_n, top_k_per_key
 from .ratings import prediction_error
@@ -95,37 +95,78 @@ def _best_in_cell(n: int):
     return score
 
 
+def _in_cells(users: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Each cell's n best products per user; both sides are (_band, _stack, id, vector)."""
+    cells = users.groupBy("_band", "_stack").cogroup(items.groupBy("_band", "_stack"))
+    return cells.applyInPandas(_best_in_cell(n), "user bigint, item bigint, score double")
+
+
 def top_products(
-    users: DataFrame, items: DataFrame, n: int, cell_rows: int = CELL_ROWS
+    users: DataFrame, items: DataFrame, n: int, cell_rows: int = CELL_ROWS, met: list | None = None
 ) -> DataFrame:
     """user, rank, item, score: the n items with the largest vector product per user.
 
-    Both inputs are (id bigint, vector array<double>). The user x item grid is
-    cut into cells of about ``cell_rows`` by ``cell_rows``; each side is sent
-    once to every cell in its row or column, a cell is one matrix product, and
-    only the cell's n best per user leave it. No cross join is planned and no
-    task holds more than one cell. The work is users x items products, and each side is
-    shuffled once per ``cell_rows`` rows of the other: the cost of an exact ranking.
-    Equal scores are ordered by item id.
+    Both inputs are (id bigint, vector array<double>). Items are put in stacks of ``cell_rows``
+    by falling length, users in bands of about ``cell_rows``; a cell of one band and one stack is one
+    matrix product, and only its n best per user leave it. No cross join is planned and no
+    task holds more than one cell.
+
+    A product is at most the product of the lengths (Cauchy-Schwarz), so a user whose n-th score
+    beats its length times that of a stack's longest item meets neither that stack nor a later
+    one. Users meet the first stack, then the second, then two, four, ... more, with their n-th scores so far:
+    the answer is exact, the number of rounds the logarithm of the number of stacks. Items of
+    one length leave nothing to skip; the work is then users x items products.
+    Equal scores are ordered by item id. ``met`` receives the number of (user, stack) meetings of each round.
     """
     bands = max(1, -(-users.count() // cell_rows))
     stacks = max(1, -(-items.count() // cell_rows))
-
-    def placed(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
-        return df.select(
-            "id", "vector",
-            F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
-        )
-
-    left = placed(users, "_band", bands, "_stack", stacks).groupBy("_band", "_stack")
-    right = placed(items, "_stack", stacks, "_band", bands).groupBy("_band", "_stack")
-    best = left.cogroup(right).applyInPandas(
-        _best_in_cell(n), "user bigint, item bigint, score double"
-    )
-    return top_k_per_key(best, n, ["user"], [F.col("score").desc(), "item"]).select(
-        "user", "rank", "item", "score"
-    )
+    best_first = [F.col("score").desc(), "item"]
+
+    def banded(df: DataFrame, first: int, stop: int, last=None) -> DataFrame:
+        """Users once for each stack from ``first`` to ``stop``, or to their own last one."""
+        until = F.lit(stop - 1) if last is None else F.least(F.lit(stop - 1), last)
+        placed = df.where(until >= first).select(
+            "id", "vector", F.pmod(F.xxhash64("id"), F.lit(bands)).cast("int").alias("_band"),
+            F.explode(F.sequence(F.lit(first), until)).alias("_stack"))
+        if met is not None:
+            met.append(placed.count())
+        return placed
+
+    def stacked(df: DataFrame, first: int, stop: int) -> DataFrame:
+        return df.where(F.col("_stack").between(first, stop - 1)).select(
+            "id", "vector", "_stack", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("_band"))
+
+    if stacks == 1:
+        best = _in_cells(banded(users, 0, 1), stacked(items.withColumn("_stack", F.lit(0)), 0, 1), n)
+        return top_k_per_key(best, n, ["user"], best_first).select("user", "rank", "item", "score")
+
+    # A length that is not a number comes first and is never skipped.
+    sized = write_through(items.withColumn("_norm", norm("vector")), "item-lengths")
+    ordered = dense_index(sized, [F.col("_norm").desc(), "id"], "_place")
+    ordered = write_through(ordered.withColumn("_stack", F.floor(F.col("_place") / cell_rows).cast("int")), "item-stacks")
+    longest = F.first(F.sort_array(F.collect_list(F.struct("_stack", "_longest")))["_longest"])
+    longest = ordered.groupBy("_stack").agg(F.max("_norm").alias("_longest")).agg(longest.alias("_lengths"))
+    lengths = longest.first()["_lengths"]  # one number per stack of cell_rows items
+
+    best = write_through(
+        top_k_per_key(_in_cells(banded(users, 0, 1), stacked(ordered, 0, 1), n), n, ["user"], best_first), "best-products")
+    first = 1
+    while first < stacks:
+        stop = min(stacks, 2 * first)
+        # Stacks from `first` on that a user's n-th score does not rule out; the slack covers rounding.
+        reached = best.groupBy("user").agg(F.when(F.count("*") >= n, F.min("score")).alias("_least"))
+        left = lookup_join(users.withColumn("user", F.col("id")), reached, ["user"], "left")
+        bound = norm("vector") * (1 + 1e-9)
+        open_stacks = F.size(F.filter(F.lit(lengths[first:]), lambda longest: ~(longest * bound < F.col("_least") - 1e-300)))
+        last = F.when(F.col("_least").isNull(), stacks - 1).otherwise(first + open_stacks - 1)
+        left = left.withColumn("_last", last).where(F.col("_last") >= first)
+        if left.limit(1).count() == 0:
+            break
+        found = _in_cells(banded(left, first, stop, F.col("_last")), stacked(ordered, first, stop), n)
+        merged = best.select("user", "item", "score").unionByName(found)
+        best = write_through(top_k_per_key(merged, n, ["user"], best_first), "best-products")
+        first = stop
+    return best.select("user", "rank", "item", "score")
 
 
 def as_vectors(df: DataFrame, id_column: str, vector: str, normalise: bool = False) -> DataFrame:
