@@ -17,6 +17,9 @@ from .ratings import prediction_error
 # Rows of each side that meet in one task of a vector product.
 CELL_ROWS = 2048
 
+# Bounds on item lengths that a round of products goes by.
+LENGTHS = 64
+
 # Seeds up to this number are scored next to the scan of the items.
 MOST_SEEDS = 1024
 
@@ -141,26 +144,28 @@ def top_products(
         return top_k_per_key(best, n, ["user"], best_first).select("user", "rank", "item", "score")
 
     # A length that is not a number comes first and is never skipped.
-    sized = write_through(items.withColumn("_norm", norm("vector")), "item-lengths")
+    users = write_through(users.select("id", "vector"), "users")
+    sized = write_through(items.select("id", "vector").withColumn("_norm", norm("vector")), "item-lengths")
     ordered = dense_index(sized, [F.col("_norm").desc(), "id"], "_place")
     ordered = write_through(ordered.withColumn("_stack", F.floor(F.col("_place") / cell_rows).cast("int")), "item-stacks")
-    longest = F.first(F.sort_array(F.collect_list(F.struct("_stack", "_longest")))["_longest"])
-    longest = ordered.groupBy("_stack").agg(F.max("_norm").alias("_longest")).agg(longest.alias("_lengths"))
-    lengths = longest.first()["_lengths"]  # one number per stack of cell_rows items
 
-    best = write_through(
-        top_k_per_key(_in_cells(banded(users, 0, 1), stacked(ordered, 0, 1), n), n, ["user"], best_first), "best-products")
+    best = _in_cells(banded(users, 0, 1), stacked(ordered, 0, 1), n)
+    best = write_through(top_k_per_key(best, n, ["user"], best_first), "best-products")
     first = 1
     while first < stacks:
         stop = min(stacks, 2 * first)
-        # Stacks from `first` on that a user's n-th score does not rule out; the slack covers rounding.
+        # The longest item of every `step` stacks to come: at most LENGTHS numbers.
+        step = -(-(stop - first) // LENGTHS)
+        coming = ordered.where(F.col("_stack").between(first, stop - 1))
+        group = F.floor((F.col("_stack") - first) / step)
+        lengths = [r[1] for r in coming.groupBy(group).agg(F.max("_norm")).orderBy(group).collect()]
+        # What a user's n-th score does not rule out; the slack covers rounding.
         reached = best.groupBy("user").agg(F.when(F.count("*") >= n, F.min("score")).alias("_least"))
         left = lookup_join(users.withColumn("user", F.col("id")), reached, ["user"], "left")
         bound = norm("vector") * (1 + 1e-9)
-        open_stacks = F.size(F.filter(F.lit(lengths[first:]), lambda longest: ~(longest * bound < F.col("_least") - 1e-300)))
-        last = F.when(F.col("_least").isNull(), stacks - 1).otherwise(first + open_stacks - 1)
-        left = left.withColumn("_last", last).where(F.col("_last") >= first)
-        if left.limit(1).count() == 0:
+        open_groups = F.size(F.filter(F.lit(lengths), lambda length: F.coalesce(length * bound >= F.col("_least"), F.lit(True))))
+        left = left.withColumn("_last", F.lit(first - 1) + step * open_groups).where(F.col("_last") >= first)
+        if left.isEmpty():
             break
         found = _in_cells(banded(left, first, stop, F.col("_last")), stacked(ordered, first, stop), n)
         merged = best.select("user", "item", "score").unionByName(found)

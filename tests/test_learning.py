@@ -103,6 +103,34 @@ def test_top_products_equal_brute_force(vectors, cell_rows):
         assert mine == [(i + 1, item) for i, (_, item) in enumerate(scores)]
 
 
+def test_short_items_are_skipped_and_the_answer_is_exact(spark):
+    rng = np.random.default_rng(4)
+    made = [(i, (rng.normal(size=6) * 1.2 ** -i).tolist()) for i in range(90)]
+    users = spark.createDataFrame([(i, v) for i, v in made[:30]] + [(99, [0.0] * 6)], "id bigint, vector array<double>")
+    items = spark.createDataFrame(made, "id bigint, vector array<double>")
+    met = []
+    got = recommend.top_products(users, items, 4, 10, met).collect()
+    for user, v in [*made[:30], (99, [0.0] * 6)]:
+        scores = sorted((-float(np.dot(v, w)), item) for item, w in made)[:4]
+        mine = sorted((r["rank"], r.item) for r in got if r.user == user)
+        assert mine == [(i + 1, item) for i, (_, item) in enumerate(scores)]
+    # 31 users and nine stacks; the zero user meets all nine, others a few.
+    assert met[0] == 31 and sum(met) < 31 * 9 / 2
+
+
+def test_items_of_one_length_are_all_met(spark):
+    rng = np.random.default_rng(5)
+    made = rng.normal(size=(50, 5))
+    made /= np.linalg.norm(made, axis=1)[:, None]
+    side = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "id bigint, vector array<double>")
+    got = recommend.top_products(side, side, 3, 8).collect()
+    want = np.argsort(-(made @ made.T), axis=1, kind="stable")[:, :3]
+    for user in range(50):
+        assert [r.item for r in sorted((r for r in got if r.user == user), key=lambda r: r["rank"])] == want[user].tolist()
+    assert recommend.top_products(side.limit(0), side, 3, 8).count() == 0
+    assert recommend.top_products(side, side.limit(0), 3, 8).count() == 0
+
+
 def test_small_scores_keep_their_order(spark):
     users = spark.createDataFrame([(1, [1e-6, 0.0])], "id bigint, features array<double>")
     items = spark.createDataFrame([(1, [1e-5, 0.0]), (2, [2e-5, 0.0]), (3, [3e-5, 0.0])], "id bigint, features array<double>")
