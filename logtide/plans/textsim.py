@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import parsers, textsim
+from ..operators import parsers, textindex, textsim
 from .inputs import Inputs
 from .registry import register
 
@@ -85,15 +85,33 @@ def tfidf_vectors(inputs: Inputs):
     return vectors.withColumns({"tf": F.round("tf", 6), "idf": F.round("idf", 6)})
 
 
-@register("score_query", f"""
+SCORE_SQL = f"""
     WITH query AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS term FROM benchmark),
     size AS (SELECT count(*) AS n FROM query),
     norm AS (SELECT sqrt(sum(idf * idf)) AS n FROM {IDF_SQL} w JOIN query q ON w.term = q.term)
     SELECT f.name AS name, count(*) AS matched,
-      round(sum(f.tf * w.idf * w.idf) / any_value(norm.n) * count(*) / any_value(size.n), 6) AS score
+      round(sum(f.tf * w.idf * w.idf) / any_value(norm.n) * count(*) / any_value(size.n), {{DIGITS}}) AS score
     FROM {TFW_SQL} f JOIN query q ON f.term = q.term JOIN {IDF_SQL} w ON f.term = w.term, norm, size
-    GROUP BY f.name""")
+    GROUP BY f.name"""
+
+
+def _query(inputs: Inputs):
+    return inputs.table("benchmark").select(F.explode(F.split("text", " ")).alias("term"))
+
+
+@register("score_query", SCORE_SQL.replace("{DIGITS}", "6"))
 def score_query(inputs: Inputs):
-    query = inputs.table("benchmark").select(F.explode(F.split("text", " ")).alias("term"))
-    scores = textsim.score_documents(_docs(inputs), query)
+    scores = textsim.score_documents(_docs(inputs), _query(inputs))
     return scores.select("name", "matched", F.round("score", 6).alias("score"))
+
+
+@register("index_search", f"""
+    SELECT name, matched, score FROM ({SCORE_SQL.replace("{DIGITS}", "9")}) ORDER BY score DESC, name LIMIT 100""")
+def index_search(inputs: Inputs):
+    """The 100 best documents from a stored index of two batches."""
+    root = inputs.new_folder("text-index")
+    docs = _docs(inputs).withColumn("batch", F.pmod(F.xxhash64("name"), F.lit(2)))
+    textindex.create_index(inputs.spark, root)
+    for batch in (0, 1):
+        textindex.append_documents(docs.where(F.col("batch") == batch), root, batch)
+    return textindex.search(inputs.spark, root, _query(inputs), 100).withColumn("score", F.round("score", 9))
