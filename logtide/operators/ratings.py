@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import new_folder, remove_folder
+
 
 def rating_prediction_join(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
     """Inner join on (user, item) -> user, item, rate, pred, pairs.
@@ -41,3 +46,50 @@ def prediction_error(ratings: DataFrame, predictions: DataFrame) -> DataFrame:
     squares = F.col("_pn") * F.col("_r2") - 2 * F.col("_r1") * F.col("_p1") + F.col("_rn") * F.col("_p2")
     pairs = F.sum(F.col("_rn") * F.col("_pn"))
     return both.agg(F.coalesce(pairs, F.lit(0)).alias("pairs"), F.try_divide(F.sum(squares), pairs).alias("mse"))
+
+
+def store_pairs(df: DataFrame, value: str, table: str, folder: str, buckets: int) -> DataFrame:
+    """Write (user, item, value) as a catalog table bucketed and sorted by (user, item) -> that table.
+
+    Equal rows are folded before the shuffle to one with their number in ``rows``, so a pair
+    that holds a third of all rows costs its bucket one row per value. Each bucket is one file, so two tables with
+    as many buckets join on (user, item) where they lie, without an exchange.
+    """
+    folded = df.groupBy("user", "item", value).agg(F.count("*").alias("rows"))
+    placed = folded.repartition(buckets, "user", "item")
+    placed.write.bucketBy(buckets, "user", "item").sortBy("user", "item").option("path", folder).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+@contextmanager
+def scratch_pairs(df: DataFrame, value: str, buckets: int) -> Iterator[DataFrame]:
+    """A stored table for the length of a block; table and folder are removed at its end."""
+    spark = df.sparkSession
+    folder = new_folder(spark, "pairs")
+    table = "pairs_" + folder.rsplit("-", 1)[-1]
+    try:
+        yield store_pairs(df, value, table, folder, buckets)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_folder(spark, folder)
+
+
+def stored_join(rated: DataFrame, predicted: DataFrame) -> DataFrame:
+    """:func:`rating_prediction_join` of two stored tables: no row moves between tasks."""
+    theirs = predicted.withColumnRenamed("rows", "_predicted")
+    return rated.join(theirs, ["user", "item"]).select(
+        "user", "item", "rate", "pred", (F.col("rows") * F.col("_predicted")).alias("pairs"))
+
+
+def stored_error(rated: DataFrame, predicted: DataFrame) -> DataFrame:
+    """:func:`prediction_error` of two stored tables; one row per task is sent on."""
+    both = stored_join(rated, predicted).where(F.col("rate").isNotNull() & F.col("pred").isNotNull())
+    gap = F.col("rate") - F.col("pred")
+    pairs = F.sum("pairs")
+    return both.agg(F.coalesce(pairs, F.lit(0)).alias("pairs"), F.try_divide(F.sum(gap * gap * F.col("pairs")), pairs).alias("mse"))
+
+
+def stored_rows(rated: DataFrame, predicted: DataFrame) -> DataFrame:
+    """:func:`rated_predictions` of two stored tables, multiplied rows and all."""
+    joined = stored_join(rated, predicted)
+    return joined.select("user", "item", "rate", "pred", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("pairs"))).alias("_n")).drop("_n")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import filters, ipranges, lookups, parsers, ratings, textsim
+from ..session import write_through
 from .inputs import Inputs
 from .registry import register
 
@@ -46,14 +47,26 @@ PREDICTED_SQL = """
      FROM {RATING} r JOIN part ON item = p_partkey)"""
 
 
-@register("rating_prediction_join", f"""
+RATED_SQL = f"""
     SELECT CAST(r."user" AS INTEGER) AS "user", CAST(r.item AS INTEGER) AS item, r.rate AS rate,
       CAST(p.pred AS DOUBLE) AS pred, count(*) AS pairs
-    FROM {{RATING}} r JOIN {PREDICTED_SQL} p ON r."user" = p."user" AND r.item = p.item GROUP BY ALL""")
+    FROM {{RATING}} r JOIN {PREDICTED_SQL} p ON r."user" = p."user" AND r.item = p.item GROUP BY ALL"""
+
+
+@register("rating_prediction_join", RATED_SQL)
 def rating_prediction_join(inputs: Inputs):
     return ratings.rating_prediction_join(parsers.parse_ratings(inputs.rating_txt()), predictions(inputs))
 
 
+@register("stored_rating_join", RATED_SQL)
+def stored_rating_join(inputs: Inputs):
+    """The same join between tables bucketed by (user, item)."""
+    buckets = int(inputs.spark.conf.get("spark.sql.shuffle.partitions"))
+    rated = parsers.parse_ratings(inputs.rating_txt())
+    with ratings.scratch_pairs(rated, "rate", buckets) as mine, ratings.scratch_pairs(predictions(inputs), "pred", buckets) as theirs:
+        return write_through(ratings.stored_join(mine, theirs), "rated")
+
+
 @register("mean_squared_error", f"""
     SELECT count(*) AS pairs, round(avg(pow(r.rate - p.pred, 2)), 6) AS mse
     FROM {{RATING}} r JOIN {PREDICTED_SQL} p ON r."user" = p."user" AND r.item = p.item""")

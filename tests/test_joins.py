@@ -213,3 +213,28 @@ def test_repeated_pairs_multiply(spark, rows):
     assert ratings.prediction_error(rated, predicted).first() == (9, 1.0)
     whole = ratings.rated_predictions(rated, predicted)
     assert rows(whole, "user", "item", "rate", "pred") == rows(plain, "user", "item", "rate", "pred") and whole.count() == 9
+
+
+def test_stored_pairs_join_without_an_exchange(spark, rows, plan_of):
+    rated = spark.createDataFrame(
+        [(1, 1, 5.0), (1, 1, 5.0), (1, 1, 3.0), (2, 1, 4.0), (3, 3, None), (None, 1, 1.0)] + [(4, 4, 2.0)] * 500, "user int, item int, rate double")
+    predicted = spark.createDataFrame([(1, 1, 4.0)] * 3 + [(9, 9, 1.0), (3, 3, 1.0), (4, 4, 2.5), (4, 4, None)], "user int, item int, pred double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with ratings.scratch_pairs(rated, "rate", 6) as mine, ratings.scratch_pairs(predicted, "pred", 6) as theirs:
+            names = [t.name for t in spark.catalog.listTables() if t.name.startswith("pairs_")]
+            for stored, plain in (
+                (ratings.stored_join(mine, theirs), ratings.rating_prediction_join(rated, predicted)),
+                (ratings.stored_rows(mine, theirs), ratings.rated_predictions(rated, predicted)),
+            ):
+                plan = plan_of(stored)
+                assert "Exchange" not in plan and "SortMergeJoin" in plan
+                assert rows(stored, *plain.columns) == rows(plain, *plain.columns)
+            error = ratings.stored_error(mine, theirs)
+            assert "hashpartitioning" not in plan_of(error)
+            assert error.first() == ratings.prediction_error(rated.na.drop(), predicted.na.drop()).first()
+            empty = ratings.stored_error(mine.limit(0), theirs).first()
+            assert empty == (0, None)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(names) == 2 and not [t.name for t in spark.catalog.listTables() if t.name in names]
