@@ -3,9 +3,11 @@
 Words are hashed (64 bits). Map tasks count the grams of their texts and send each shard (a
 range of the hash) one sorted block; a shard's blocks are merged in one task and written as
 sorted arrays of hashes and counts. The number of shards follows the size of the corpus, so
-a shard stays of bounded size. Counts of the lower orders are continuation counts, derived
-from the distinct grams of the order above. Scoring tasks map all arrays and look up each
-distinct gram of a stretch of texts once.
+a shard stays of bounded size. What is known of the shards' files is kept beside them, in at
+most 1,024 directory files a table; the driver sees one row of sums per directory. Counts of the
+lower orders are continuation counts, derived from the distinct grams of the order above, whose
+blocks and shuffle files are removed once they have been read. Scoring tasks map the arrays that
+they need and look up each distinct gram of a stretch of texts once.
 
 A text is its words (A-Z lower-cased) and an end token; grams reach back over ORDER - 1
 start marks. Words never seen share one place in the vocabulary, so the probabilities of
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -27,14 +30,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_folder, write_through
+from ..session import new_folder, remove_folder, write_through
 from . import store
 from .words import combine, mix, word_hashes
 
-ORDER = 2
+ORDER = 3
 SHARD_CHARACTERS = 1 << 24  # characters of the corpus per shard, about
 COUNT_CHARACTERS = 1 << 23  # characters of texts counted at once
 SCORE_CHARACTERS = 1 << 20  # characters of texts looked up at once
+DIRECTORIES = 1 << 10  # directory files of a table at most; each tells of as many shards at least
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = mix(np.array([0x0E2D], np.uint64))[0]
 START_ID, UNKNOWN_ID = 0, (1 << 32) - 1  # vocabulary ids are 1 + place in the sorted hashes
 
@@ -99,10 +104,11 @@ def smallest(counts: np.ndarray) -> np.ndarray:
 
 
 def cut_by_shard(keys: np.ndarray, shards: int) -> list[tuple[int, slice]]:
-    """Slices of sorted keys per shard; a shard is a range of the highest bits."""
-    bounds = np.searchsorted(keys, np.arange(1, shards, dtype=np.uint64) << np.uint64(64 - shards.bit_length() + 1))
-    bounds = [0, *bounds.tolist(), len(keys)]
-    return [(s, slice(a, b)) for s, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+    """Slices of sorted keys per shard that has any; a shard is a range of the highest bits."""
+    shard = keys >> np.uint64(64 - shards.bit_length() + 1)
+    first = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+    bounds = [0, *first.tolist(), len(keys)] if len(keys) else []
+    return [(int(shard[a]), slice(a, b)) for a, b in zip(bounds, bounds[1:])]
 
 
 def block_rows(kind: str, keys: np.ndarray, payload: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple]:
@@ -118,15 +124,20 @@ def block_rows(kind: str, keys: np.ndarray, payload: np.ndarray, counts: np.ndar
 
 
 class Table:
-    """Sorted keys with one or more columns of numbers, in one file per shard and column."""
+    """Sorted keys with one or more columns of numbers, in one file per shard and column.
 
-    def __init__(self, folder: str, name: str, parts: list[dict], shards: int):
-        self.shards = shards
-        by_shard = {p["shard"]: p for p in parts}
-        self.parts = [by_shard.get(s, {"n": 0, "kinds": []}) for s in range(shards)]
-        self.starts = np.cumsum([0] + [p["n"] for p in self.parts])
-        self.keys = [store.mapped(folder, f"{name}-{s}-keys", "<u8", p["n"]) for s, p in enumerate(self.parts)]
-        self.columns = [[store.mapped(folder, f"{name}-{s}-{j}", k, p["n"]) for j, k in enumerate(p["kinds"])] for s, p in enumerate(self.parts)]
+    ``sizes`` are the keys per directory. A directory tells the lengths and types of its shards' files; it
+    is read, and a file is mapped, when a key of theirs is first asked for.
+    """
+
+    def __init__(self, folder: str, name: str, sizes: list[int], shards: int):
+        self.folder, self.name, self.shards, self.wide = folder, name, shards, -(-shards // len(sizes))
+        self.starts = np.cumsum([0, *sizes])
+        self._directories: dict[int, tuple[list[dict], np.ndarray]] = {}
+        self._files: dict[tuple[int, int], np.ndarray] = {}
+
+    def __len__(self) -> int:
+        return int(self.starts[-1])
 
     @staticmethod
     def write(folder: str, name: str, shard: int, keys: np.ndarray, *columns: np.ndarray) -> dict:
@@ -136,27 +147,80 @@ class Table:
             store.put(folder, f"{name}-{shard}-{j}", c.tobytes())
         return {"shard": int(shard), "n": len(keys), "kinds": [c.dtype.str for c in small]}
 
+    def _directory(self, number: int) -> tuple[list[dict], np.ndarray]:
+        """What is known of a directory's shards, and the place of each one's first key in the whole table."""
+        if number not in self._directories:
+            empty = self.starts[number + 1] == self.starts[number]
+            told = [] if empty else json.loads(store.read(self.folder, f"{self.name}-shards-{number}"))
+            by_shard = {p["shard"]: p for p in told}
+            first = number * self.wide
+            parts = [by_shard.get(s, {"n": 0, "kinds": []}) for s in range(first, min(first + self.wide, self.shards))]
+            self._directories[number] = parts, np.cumsum([self.starts[number]] + [p["n"] for p in parts])
+        return self._directories[number]
+
+    def _file(self, shard: int, column: int) -> np.ndarray:
+        """A shard's column of numbers, or its keys for column -1."""
+        if (shard, column) not in self._files:
+            number, at = divmod(shard, self.wide)
+            part = self._directory(number)[0][at]
+            suffix, kind = ("keys", "<u8") if column < 0 else (str(column), part["kinds"][column])
+            self._files[shard, column] = store.mapped(self.folder, f"{self.name}-{shard}-{suffix}", kind, part["n"])
+        return self._files[shard, column]
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each of the sorted keys in the whole table, -1 where it is not."""
         out = np.full(len(keys), -1, np.int64)
         for s, at in cut_by_shard(keys, self.shards):
-            have = self.keys[s]
-            if len(have):
+            parts, starts = self._directory(s // self.wide)
+            if parts[s % self.wide]["n"]:
+                have = self._file(s, -1)
                 place = np.searchsorted(have, keys[at])
                 there = have[np.minimum(place, len(have) - 1)] == keys[at]
-                out[at] = np.where(there, place + self.starts[s], -1)
+                out[at] = np.where(there, place + starts[s % self.wide], -1)
         return out
 
     def values(self, places: np.ndarray, column: int) -> np.ndarray:
-        """Numbers at places in ascending order of the table; 0 where the place is -1."""
+        """Numbers at places of the table; 0 where the place is -1."""
         out = np.zeros(len(places), np.float64)
-        shard = np.searchsorted(self.starts, places, "right") - 1
-        for s in np.unique(shard[places >= 0]):
-            at = (shard == s) & (places >= 0)
-            out[at] = self.columns[s][column][places[at] - self.starts[s]]
+        number = np.searchsorted(self.starts, places, "right") - 1
+        for d in np.unique(number[places >= 0]):
+            _, starts = self._directory(int(d))
+            here = np.flatnonzero((number == d) & (places >= 0))
+            within = np.searchsorted(starts, places[here], "right") - 1
+            for i in np.unique(within):
+                at = here[within == i]
+                out[at] = self._file(int(d) * self.wide + int(i), column)[places[at] - starts[i]]
         return out
 
 
+def directory_width(shards: int) -> int:
+    """Shards per directory: as many as there may be directories, and more if those do not do."""
+    return max(DIRECTORIES, shards // DIRECTORIES)
+
+
+def write_directories(parts: DataFrame, folder: str, name: str, shards: int) -> tuple[list[int], dict[str, list[int]]]:
+    """Write what ``parts`` (shard, part) tell of a table's files; give back the keys per directory and the sums of all other numbers."""
+    wide = directory_width(shards)
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        told = [json.loads(p) for p in rows["part"]]
+        files = sorted(({k: p[k] for k in ("shard", "n", "kinds")} for p in told), key=lambda p: p["shard"])
+        store.put(folder, f"{name}-shards-{key[0]}", json.dumps(files).encode())
+        sums = {k: np.sum([p[k] for p in told], axis=0).tolist() for k in told[0] if k not in ("shard", "n", "kinds")}
+        return pd.DataFrame({"number": [key[0]], "n": [sum(p["n"] for p in told)], "sums": [json.dumps(sums)]})
+
+    number = F.floor(F.col("shard") / wide).cast("int").alias("number")
+    grouped = parts.select(number, "part").groupBy("number")
+    rows = grouped.applyInPandas(run, "number int, n long, sums string").collect()  # at most DIRECTORIES short rows
+    sizes = [0] * -(-shards // wide)
+    sums: dict[str, list[int]] = {}
+    for row in rows:
+        sizes[row["number"]] = row["n"]
+        for k, v in json.loads(row["sums"]).items():
+            sums[k] = (np.asarray(v) + np.asarray(sums.get(k, 0))).tolist()
+    return sizes, sums
+
+
 def token_ids(vocabulary: Table, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of tokens, and their places in the vocabulary (-1: unknown)."""
     distinct, inverse = np.unique(hashes, return_inverse=True)
@@ -174,8 +238,8 @@ def grams(ids: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
     return np.column_stack(columns).astype("<u4")
 
 
-def count_words(docs: DataFrame, folder: str, shards: int) -> list[dict]:
-    """Write the vocabulary: sorted hashes of all tokens and their counts."""
+def count_words(docs: DataFrame, folder: str, shards: int) -> tuple[list[int], int]:
+    """Write the vocabulary, sorted hashes of all tokens and their counts; give back its sizes and the number of tokens."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, tokens, _ in stretches(batches, COUNT_CHARACTERS):
@@ -185,14 +249,15 @@ def count_words(docs: DataFrame, folder: str, shards: int) -> list[dict]:
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         keys, _, (times,) = summed(unsqueeze(blocks["ids"], "<u8"), unsqueeze(blocks["counts"], "<i8"))
         part = Table.write(folder, "words", key[0], keys, times)
-        return pd.DataFrame({"part": [json.dumps(part | {"sum": int(times.sum())})]})
+        return pd.DataFrame({"shard": [key[0]], "part": [json.dumps(part | {"sum": int(times.sum())})]})
 
     blocks = docs.select("text").mapInPandas(count, _BLOCK)
-    rows = blocks.groupBy("shard").applyInPandas(merge, "part string").collect()  # one short row per shard
-    return [json.loads(r["part"]) for r in rows]
+    parts = blocks.groupBy("shard").applyInPandas(merge, "shard int, part string")
+    sizes, sums = write_directories(parts, folder, "words", shards)
+    return sizes, sums.get("sum", 0)
 
 
-def count_grams(docs: DataFrame, folder: str, order: int, shards: int, words: list[dict]) -> DataFrame:
+def count_grams(docs: DataFrame, folder: str, order: int, shards: int, words: list[int]) -> DataFrame:
     """Blocks of the distinct grams of the highest order with their counts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,15 +294,16 @@ def merge_level(blocks: DataFrame, folder: str, level: int, shards: int) -> Data
     return blocks.groupBy("shard").applyInPandas(merge, _BLOCK)
 
 
-def merge_contexts(blocks: DataFrame, folder: str, level: int) -> list[dict]:
-    """Write per context of a level: the sum of its grams' counts, and its grams of count 1, 2 and more."""
+def merge_contexts(blocks: DataFrame, folder: str, level: int, shards: int) -> list[int]:
+    """Write per context of a level: the sum of its grams' counts, and its grams of count 1, 2 and more; give back the sizes."""
 
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         keys, _, sums = summed(unsqueeze(blocks["ids"], "<u8"), *unsqueeze(blocks["counts"], "<i8", 4).T)
-        return pd.DataFrame({"part": [json.dumps(Table.write(folder, f"contexts{level}", key[0], keys, *sums))]})
+        part = Table.write(folder, f"contexts{level}", key[0], keys, *sums)
+        return pd.DataFrame({"shard": [key[0]], "part": [json.dumps(part)]})
 
-    rows = blocks.groupBy("shard").applyInPandas(merge, "part string").collect()  # one short row per shard
-    return [json.loads(r["part"]) for r in rows]
+    parts = blocks.groupBy("shard").applyInPandas(merge, "shard int, part string")
+    return write_directories(parts, folder, f"contexts{level}", shards)[0]
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -247,25 +313,45 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(d, 0.0), float(j)) for j, d in zip((1, 2, 3), raw)]
 
 
+@contextmanager
+def shuffle_files_removed(spark: SparkSession):
+    """Shuffle files of a job go when it ends, not when the driver next collects its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def train(docs: DataFrame, order: int = ORDER) -> str:
     """Count ``docs`` and write the model to a new folder of the shared folder; return the folder."""
+    with shuffle_files_removed(docs.sparkSession):
+        return _train(docs, order)
+
+
+def _train(docs: DataFrame, order: int) -> str:
     spark: SparkSession = docs.sparkSession
     folder = new_folder(spark, "language-model")
     shards = shards_for(docs)
-    words = count_words(docs, folder, shards)
-    model = {"order": order, "shards": shards, "words": words, "tokens": sum(p["sum"] for p in words), "levels": {}}
-    assert sum(p["n"] for p in words) < UNKNOWN_ID - 1, "the vocabulary is beyond 32-bit ids"
-    blocks = count_grams(docs, folder, order, shards, words)
+    words, tokens = count_words(docs, folder, shards)
+    model = {"order": order, "shards": shards, "words": words, "tokens": tokens, "levels": {}}
+    assert sum(words) < UNKNOWN_ID - 1, "the vocabulary is beyond 32-bit ids"
+    blocks, above = count_grams(docs, folder, order, shards, words), None
     for level in range(order, 0, -1):
-        merged = write_through(merge_level(blocks, folder, level, shards), f"grams{level}")
-        parts = [json.loads(bytes(r["ids"])) for r in merged.filter("kind = 'part'").select("ids").collect()]  # one short row per shard
-        contexts = merge_contexts(merged.filter("kind = 'context'"), folder, level) if level > 1 else []
-        of = [sum(p["of"][j] for p in parts) for j in range(4)]
-        total, n = sum(p["sum"] for p in parts), sum(p["n"] for p in parts)
+        held = new_folder(spark, f"grams{level}")
+        merged = write_through(merge_level(blocks, folder, level, shards), folder=held)
+        if above:
+            remove_folder(spark, above)
+        parts = merged.filter("kind = 'part'").select("shard", F.col("ids").cast("string").alias("part"))
+        sizes, sums = write_directories(parts, folder, f"grams{level}", shards)
+        contexts = merge_contexts(merged.filter("kind = 'context'"), folder, level, shards) if level > 1 else []
+        of, n = sums.get("of", [0] * 4), sum(sizes)
         model["levels"][str(level)] = {
-            "parts": parts, "contexts": contexts, "discounts": discounts(of), "sum": total,
+            "sizes": sizes, "contexts": contexts, "discounts": discounts(of), "sum": sums.get("sum", 0),
             "more": [of[0], of[1], n - of[0] - of[1]]}
-        blocks = merged.filter("kind = 'gram'")
+        blocks, above = merged.filter("kind = 'gram'"), held
+    remove_folder(spark, above)
     store.put(folder, "model.json", json.dumps(model).encode())
     return folder
 
@@ -277,9 +363,9 @@ class Scorer:
         m = json.loads(store.read(folder, "model.json"))
         self.order, self.tokens = m["order"], m["tokens"]
         self.words = Table(folder, "words", m["words"], m["shards"])
-        self.size = int(self.words.starts[-1])
+        self.size = len(self.words)
         self.levels = {int(k): v for k, v in m["levels"].items()}
-        self.grams = {k: Table(folder, f"grams{k}", v["parts"], m["shards"]) for k, v in self.levels.items()}
+        self.grams = {k: Table(folder, f"grams{k}", v["sizes"], m["shards"]) for k, v in self.levels.items()}
         self.contexts = {k: Table(folder, f"contexts{k}", v["contexts"], m["shards"]) for k, v in self.levels.items() if k > 1}
 
     def _discounted(self, level: int, count: np.ndarray) -> np.ndarray:

@@ -1,4 +1,6 @@
+import json
 import math
+import pathlib
 import re
 from collections import Counter, defaultdict
 
@@ -6,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from logtide import session
 from logtide.llm import kneser_ney, store
 
 TEXTS = ["the cat sat", "the cat ran", "a cat sat down", "The  CAT\nsat", "", None, "dog", "the the the the", "a b c a b c a b d É é", "the cat sat", "x y z w", "a b c"]
@@ -92,6 +95,29 @@ def test_nothing_to_learn_from(spark, documents):
     assert sorted((r.n_tokens, r.n_known, r.score) for r in kneser_ney.score(docs, folder, F.lit(True)).collect()) == [(1, 0, 0.0), (3, 0, 0.0)]
 
 
+def test_several_directories_give_the_same_scores(spark, documents, monkeypatch):
+    docs = documents(*TEXTS)
+
+    def scores():
+        folder = kneser_ney.train(docs, 2)
+        found = kneser_ney.score(docs, folder, F.lit(False)).collect()
+        return folder, sorted((r.doc_id, r.score, r.base_score, r.n_known) for r in found)
+
+    one, expected = scores()
+    monkeypatch.setattr(kneser_ney, "DIRECTORIES", 2)
+    several, got = scores()
+    sizes = json.loads(store.read(several, "model.json"))["words"]
+    assert len(sizes) == 2 and len(json.loads(store.read(one, "model.json"))["words"]) == 1
+    assert got == expected
+
+
+def test_blocks_of_a_level_are_removed(spark, documents):
+    root = pathlib.Path(session.work_root(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    kneser_ney.train(documents(*TEXTS), 3)
+    assert [n.rsplit("-", 1)[0] for n in {p.name for p in root.iterdir()} - before] == ["language-model"]
+
+
 def test_files_are_whole_and_written_again_alike(tmp_path):
     for data in (b"one", b"two"):
         store.put(f"file://{tmp_path}/a", "x", data)
