@@ -34,7 +34,7 @@ from ..session import new_folder, remove_folder, write_through
 from . import store
 from .words import combine, mix, word_hashes
 
-ORDER = 3
+ORDER = 2
 SHARD_CHARACTERS = 1 << 24  # characters of the corpus per shard, about
 COUNT_CHARACTERS = 1 << 23  # characters of texts counted at once
 SCORE_CHARACTERS = 1 << 20  # characters of texts looked up at once
@@ -233,7 +233,7 @@ def grams(ids: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
     within = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
     columns = []
     for back in range(order - 1, -1, -1):
-        shifted = np.concatenate((np.zeros(back, np.uint32), ids[: len(ids) - back]))
+        shifted = np.concatenate((np.zeros(back, np.uint32), ids))[: len(ids)]
         columns.append(np.where(within >= back, shifted, np.uint32(START_ID)))
     return np.column_stack(columns).astype("<u4")
 

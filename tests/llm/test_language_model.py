@@ -89,9 +89,10 @@ def test_probabilities_add_up(spark, documents, order):
         assert model.probabilities(rows).sum() == pytest.approx(1.0)
 
 
-def test_nothing_to_learn_from(spark, documents):
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_nothing_to_learn_from(spark, documents, order):
     docs = documents("a b", None)
-    folder = kneser_ney.train(docs.limit(0))
+    folder = kneser_ney.train(docs.limit(0), order)
     assert sorted((r.n_tokens, r.n_known, r.score) for r in kneser_ney.score(docs, folder, F.lit(True)).collect()) == [(1, 0, 0.0), (3, 0, 0.0)]
 
 
