@@ -239,6 +239,20 @@ def json_extract(
     return drop_malformed(fields, [name for name in fields.columns if name not in keep])
 
 
+def variant_extract(
+    requests: DataFrame, request: str, fields: dict[str, tuple[str, str]], keep: Sequence[str] = ()
+) -> DataFrame:
+    """JSON text -> ``{field: (path, type)}``, parsed once as a variant; rows lacking any field are dropped.
+
+    For nested paths (``$.a.b[0]``), and fields that come with different types. Text that is no JSON, has a key twice, or
+    has a value that does not fit its type, lacks the field.
+    """
+    parsed = _parsed(requests, *keep, F.try_parse_json(request).alias("_v"))
+    found = [F.try_variant_get("_v", path, kind).alias(name) for name, (path, kind) in fields.items()]
+    # Computed once per row as well: the filter below stays above this generator.
+    return drop_malformed(_parsed(parsed, *keep, *found), list(fields))
+
+
 def parse_json_request(
     requests: DataFrame, request: str = "req", keep: Sequence[str] = ()
 ) -> DataFrame:

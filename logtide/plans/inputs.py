@@ -98,6 +98,24 @@ class Inputs:
             F.get(cells, F.lit(0)).alias("domain"), F.get(cells, F.lit(6)).alias("userid")
         )
 
+    def channel_history(self) -> DataFrame:
+        """domain, userid and the time from which it holds, within the six hours around a midnight; some have none."""
+        return self.table("customer").selectExpr(
+            "concat('d', c_custkey % 25, '.example.com') AS domain",
+            "CASE WHEN c_custkey % 10 <> 0 THEN concat('u', c_custkey) END AS userid",
+            f"timestamp_seconds({DAY_START} - 10800 + c_custkey * 977 % 21600) AS valid_from",
+        )
+
+    def channel_states(self) -> list[DataFrame]:
+        """The dimension at three readings: domains change their users, some come, some go."""
+        kept = ["c_custkey % 7 <> 3", "c_custkey % 7 <> 4", "c_custkey % 11 <> 5"]
+        return [
+            self.table("customer").where(rows).selectExpr(
+                "concat('c', c_custkey, '.example.com') AS domain",
+                f"concat('u', CASE WHEN c_custkey % 5 < {changed} THEN c_custkey + 1 ELSE c_custkey END) AS userid")
+            for changed, rows in enumerate(kept)
+        ]
+
     def ip_range(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "CAST(167772160 + s_suppkey * 65536 AS BIGINT) AS start_ip",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import filters, ipranges, lookups, parsers, ratings, textsim
+from ..operators import filters, ipranges, lookups, parsers, ratings, textsim, versions
 from ..session import write_through
 from .inputs import Inputs
 from .registry import register
@@ -98,3 +98,16 @@ def term_lookup(inputs: Inputs):
     return lookups.term_lookup(terms, known).select("name", "term", "term_id")
 
 
+@register("as_of_userid", """
+    SELECT e.event_id AS event_id, e.domain AS domain, e.cs AS cs, v.userid AS userid
+    FROM (SELECT event_id, {DOMAIN} AS domain, {CS} AS cs, {MOMENT} AS moment FROM events) e
+    ASOF LEFT JOIN (
+      SELECT domain, valid_from, max(userid) AS userid
+      FROM (SELECT concat('d', c_custkey % 25, '.example.com') AS domain,
+              CASE WHEN c_custkey % 10 <> 0 THEN concat('u', c_custkey) END AS userid,
+              make_timestamp((1704067200 - 10800 + c_custkey * 977 % 21600) * 1000000) AS valid_from FROM customer)
+      GROUP BY ALL) v
+    ON e.domain = v.domain AND e.moment >= v.valid_from""")
+def as_of_userid(inputs: Inputs):
+    named = versions.as_of_join(inputs.hour_events(), inputs.channel_history(), ["domain"], "moment")
+    return named.select("event_id", "domain", "cs", "userid")

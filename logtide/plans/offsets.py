@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import filters, offsets, parsers
+from ..sources.messagelog import append_messages, log_range_fetch, log_scan, log_stream_scan
 from ..streaming.batches import batch_function_sink, batch_table_sink
 from .inputs import WHITE_TOPICS, Inputs
 from .registry import register
@@ -135,3 +136,46 @@ def intake_ranges_by_backlog(inputs: Inputs):
 @register("bounded_intake", "SELECT topic, partition_id, msg_offset, value FROM {MESSAGE}")
 def bounded_intake(inputs: Inputs):
     return _stored_batches(inputs, maxFilesPerTrigger=5).select(*offsets.PARTITION, "msg_offset", "value")
+
+
+# Offsets per segment of the stored logs.
+SEGMENT = 50_000
+
+
+def _stored_log(inputs: Inputs) -> str:
+    log = inputs.new_folder("message-log")
+    append_messages(inputs.message(), log, SEGMENT)
+    return log
+
+
+@register("log_scan", """
+    SELECT m.topic AS topic, m.partition_id AS partition_id, m.msg_offset AS msg_offset, m.value AS value
+    FROM {MESSAGE} m JOIN {MANIFEST} r ON m.topic = r.topic AND m.partition_id = r.partition_id
+      AND m.msg_offset >= r.start_offset""")
+def log_scan_query(inputs: Inputs):
+    """A bounded read of the stored log from the positions of the manifest to its end."""
+    starts = parsers.parse_offset_manifest(inputs.offset_info()).select("topic", "partition_id", "start_offset")
+    starting = offsets.starting_offsets_json(starts).first().starting_offsets
+    return log_scan(inputs.spark, _stored_log(inputs), SEGMENT, starting)
+
+
+@register("log_range_fetch", f"""
+    SELECT r.topic AS topic, r.partition_id AS partition_id, m.msg_offset AS msg_offset, m.value AS value,
+      r.start_offset AS start_offset, r.end_offset AS end_offset
+    FROM {USABLE_SQL} r JOIN {{MESSAGE}} m ON m.topic = r.topic AND m.partition_id = r.partition_id
+      AND m.msg_offset >= r.start_offset AND m.msg_offset < r.end_offset""")
+def log_range_fetch_query(inputs: Inputs):
+    return log_range_fetch(inputs.spark, _stored_log(inputs), _usable(inputs), SEGMENT)
+
+
+@register("log_stream_scan", "SELECT topic, partition_id, msg_offset, value FROM {MESSAGE}")
+def log_stream_scan_query(inputs: Inputs):
+    """The stored log as a stream, half of it appended after the first run: the second one resumes from the checkpoint."""
+    log, out, checkpoint = (inputs.new_folder(f"log-{name}") for name in ("messages", "out", "checkpoint"))
+    messages = inputs.message()
+    middle = messages.agg(F.percentile_approx("msg_offset", 0.5)).first()[0]
+    for part in (F.col("msg_offset") <= middle, F.col("msg_offset") > middle):
+        append_messages(messages.where(part), log, SEGMENT)
+        rows = log_stream_scan(inputs.spark, log, SEGMENT)
+        batch_function_sink(rows, batch_table_sink(out), checkpoint).awaitTermination()
+    return inputs.spark.read.parquet(out).select(*offsets.PARTITION, "msg_offset", "value")

@@ -94,6 +94,14 @@ def json_extract(inputs: Inputs):
     return parsers.json_extract(inputs.table("events"), "props", "k bigint", keep=["event_id"])
 
 
+@register("variant_extract", """
+    SELECT event_id, concat('d', user_id % 20) AS domain, concat('10.0.0.', user_id % 256) AS node,
+      event_id AS op_time FROM events WHERE event_id % 13 <> 0 AND event_id % 7 <> 0""")
+def variant_extract(inputs: Inputs):
+    fields = {"domain": ("$.domain", "string"), "node": ("$.node", "string"), "op_time": ("$.op_time", "bigint")}
+    return parsers.variant_extract(inputs.request_json(), "req", fields, keep=["event_id"])
+
+
 @register("to_documents", """
     SELECT concat('d', user_id % 4, '.example.com') AS domain, concat('a', event_id % 3) AS directory,
       {CS} AS bytes, '2024010100' AS write_time

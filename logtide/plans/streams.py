@@ -1,5 +1,7 @@
 """Streaming jobs run to the end of the present data, then read back."""
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from ..operators import offsets, parsers
@@ -7,6 +9,7 @@ from ..sinks.tables import create_hourly_table, read_sums
 from ..operators.lookups import attach_userid
 from ..streaming import jobs, minutes
 from ..streaming.batches import RefreshingDimension, batch_function_sink, batch_table_sink
+from ..streaming.versions import VersionedDimension, stream_media_as_of
 from .inputs import Inputs
 from .parsing import ACCESS_SQL, MEDIA_SQL
 from .registry import register
@@ -101,3 +104,33 @@ def refreshing_dimension(inputs: Inputs):
     channels = RefreshingDimension(inputs.channels, ttl=3600)
     jobs.stream_with_dimension(media, channels, out, checkpoint).awaitTermination()
     return inputs.spark.read.parquet(out).select("domain", "userid", "flag", "cs", "timestamp")
+
+
+@register("stream_media_as_of", MEDIA_MINUTE_SQL)
+def stream_media_as_of_query(inputs: Inputs):
+    out, checkpoint = _folders(inputs, "stream-as-of")
+    channels = VersionedDimension(inputs.spark, inputs.new_folder("channel-versions"), inputs.channels, ["domain"])
+    stream_media_as_of(inputs.media_log(inputs.stream("events")), channels, out, checkpoint).awaitTermination()
+    sums = read_sums(inputs.spark, out, ["domain", "timestamp"], "cs")
+    return sums.select("domain", "userid", "timestamp", "cs")
+
+
+READINGS = [datetime(2024, 1, 1, hour, tzinfo=timezone.utc) for hour in (0, 6, 12)]
+
+
+@register("versioned_channels", """
+    SELECT 1 AS reading, concat('c', c_custkey, '.example.com') AS domain,
+      concat('u', CASE WHEN c_custkey % 5 < 1 THEN c_custkey + 1 ELSE c_custkey END) AS userid
+    FROM customer WHERE c_custkey % 7 <> 4
+    UNION ALL SELECT 2, concat('c', c_custkey, '.example.com'),
+      concat('u', CASE WHEN c_custkey % 5 < 2 THEN c_custkey + 1 ELSE c_custkey END)
+    FROM customer WHERE c_custkey % 11 <> 5""")
+def versioned_channels(inputs: Inputs):
+    """Three readings, the versions that ended before the second one folded, then the states after the second and third."""
+    now = iter(inputs.channel_states())
+    channels = VersionedDimension(inputs.spark, inputs.new_folder("channel-versions"), lambda: next(now), ["domain"])
+    for moment in READINGS:
+        channels.refresh(moment)
+    channels.forget(READINGS[1])
+    states = [channels.rows(READINGS[i] + timedelta(hours=1)).select(F.lit(i).alias("reading"), "domain", "userid") for i in (1, 2)]
+    return states[0].unionByName(states[1])
