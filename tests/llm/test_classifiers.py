@@ -1,9 +1,14 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from logtide.llm import langid, ordinal
+from logtide.llm.words import mix, word_hashes
 
 
 def labelled(data):
@@ -75,6 +80,71 @@ def test_ratings_from_labels(spark):
     assert got == {1: 2, 2: 0, 3: 1, 4: 0, 5: None, 6: 1, 7: 0}
 
 
+ODD_TEXTS = ["", " \n", "One word", "The THE the 12 3.4 x-y!", "naïve Ünïcode 日本 日本 a b c", "same " * 300, "Mixed CASE 99 lines\n" * 40, "unseen zebra"]
+
+
+def plain_tails(model, text):
+    """One text by dictionaries: its features, their log counts at unit length, one sigmoid per threshold."""
+
+    def spaced(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", t)
+
+    def key(number):
+        return int(np.asarray(number, np.uint64).ravel()[0]) & ((1 << ordinal.BITS) - 1)
+
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = spaced(lowered)
+    if not words:
+        return [0.0] * len(model.thresholds)
+    found = [key(word_hashes([w])[0]) for w in words]
+    found += [key(mix(word_hashes([w], prefix=ordinal.PREFIX)[0] + np.uint64(2))) for w in words]
+    shape = re.sub(r"0+", "0", re.sub(r"a+", "a", re.sub(r"A+", "A", re.sub(r"[0-9]", "0", "".join(
+        "A" if "A" <= c <= "Z" else "a" if "a" <= c <= "z" or ord(c) > 127 else c for c in text)))))
+    found += [key(mix(word_hashes([w])[0] + np.uint64(1))) for w in spaced(shape)]
+    tenths, size = 10 * len(set(words)) // len(words), math.floor(2 * math.log2(len(words)))
+    found += [key(mix(np.array([7 + tenths], np.uint64))), key(mix(np.array([1007 + tenths + 64 * size], np.uint64)))]
+    known = {k: math.log1p(n) for k, n in Counter(found).items() if not math.isnan(model.weights[k])}
+    length = math.sqrt(sum(v * v for v in known.values()))
+    score = sum(float(model.weights[k]) * v / length for k, v in known.items()) if known else 0.0
+    return [1 / (1 + math.exp(-min(max(score - t, -40), 40))) for t in model.thresholds]
+
+
+def test_tails_equal_the_plain_ones(spark, documents, rated):
+    some = rated.head(600)
+    model = ordinal.fit(*ordinal.features(list(some["text"])), some["grade"].to_numpy(), 3)
+    model.weights = model.weights.astype(np.float32)
+    texts = [*ODD_TEXTS, *rated["text"].iloc[600:640]]
+    expected = {i: plain_tails(model, t) for i, t in enumerate(texts)}
+    got = documents(*texts).select("doc_id", ordinal.graded(model, F.col("text")).alias("g")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        plain = expected[r.doc_id]
+        assert (r.g.expected_grade, r.g.tail) == pytest.approx((sum(plain), plain[-1]), abs=1e-9)
+        assert r.g.selected == (r.g.tail >= ordinal.KEEP_AT)
+
+
+def test_first_step_follows_the_gradient_of_the_likelihood():
+    texts = [f"bad worse b{i % 7}" for i in range(20)] + [f"so so m{i % 5}" for i in range(30)] + [f"good better b{i % 7}" for i in range(40)]
+    grade = np.repeat([0, 1, 2], [20, 30, 40])
+    model = ordinal.fit(*ordinal.features(texts), grade, 3, epochs=1, rate=1.0, batch=1000, seldom=1)
+    used = np.flatnonzero(~np.isnan(model.weights))
+    zero = np.where(np.isnan(model.weights), np.nan, 0.0)
+    # At weights of 0 the thresholds already fit the shares of the grades, so the step leaves them.
+    assert model.thresholds == pytest.approx([-math.log(70 / 20), -math.log(40 / 50)], abs=1e-6)
+
+    def likelihood(weights):
+        tails = np.column_stack([np.ones(90), ordinal.Model(weights, model.thresholds).tails(texts), np.zeros(90)])
+        i = np.arange(90)
+        return np.log(tails[i, grade] - tails[i, grade + 1]).mean()
+
+    for f in used:
+        step = np.zeros(len(zero))
+        step[f] = 1e-5
+        slope = (likelihood(zero + step) - likelihood(zero - step)) / 2e-5
+        # The first adaptive step is g / sqrt(g^2 + 1e-8).
+        assert model.weights[f] == pytest.approx(slope / math.sqrt(slope * slope + 1e-8), abs=1e-4)
+
+
 def test_windows_cover_every_byte():
     for n in (0, 1, 255, 256, 257, 509, 3000):
         text = "".join(chr(97 + i * 7 % 26) for i in range(n))
@@ -91,6 +161,38 @@ def test_pooled_responses_equal_the_plain_ones():
     assert np.allclose(net._pooled(x), net.responses(x)[1], atol=1e-5)
 
 
+def plain_language(net, text):
+    """Mean over the windows of one text, each by loops over its places and filters."""
+    data = text.lower().encode("utf-8", "surrogatepass")
+    step = langid.WINDOW - langid.OVERLAP
+    starts = range(0, max(len(data) - langid.OVERLAP, 1), step)
+    total = np.zeros(len(net.languages))
+    for start in starts:
+        window = data[start : start + langid.WINDOW].ljust(langid.WINDOW, b" ")
+        tops = []
+        for table in net.tables:
+            places = range(langid.WINDOW - len(table) + 1)
+            responses = [[sum(table[j][window[at + j]][f] for j in range(len(table))) for at in places] for f in range(langid.FILTERS)]
+            tops += [max(r) for r in responses]
+        z = np.array([max(t + b, 0) for t, b in zip(tops, net.bias)]) @ net.weights + net.offsets
+        total += np.exp(z) / np.exp(z).sum()
+    return total / len(starts)
+
+
+def test_predictions_of_whole_texts_equal_the_plain_ones(spark, documents, monkeypatch):
+    known = [("the quick brown fox and the dog", "en"), ("le renard brun et le chien", "fr"), ("der schnelle braune fuchs und der hund", "de")] * 4
+    x = np.concatenate([langid.windows(t) for t, _ in known])
+    languages = ["de", "en", "fr"]
+    net = langid.fit(x, np.array([languages.index(lang) for _, lang in known]), languages, epochs=20)
+    texts = ["Hello there", "a" * 253, "b" * 254, "le chien et " * 40, "Größe und Straße 日本 " * 30]
+    expected = [plain_language(net, t) for t in texts]
+    monkeypatch.setattr(langid, "_ROUND", 512)  # two windows at once: texts are cut over several rounds
+    assert np.allclose(net.languages_of(texts), expected, atol=1e-5)
+    got = {r.doc_id: r for r in langid.predict(documents(*texts), net).collect()}
+    for i, p in enumerate(expected):
+        assert got[i].lang_pred == languages[int(p.argmax())] and got[i].score == pytest.approx(p.max(), abs=1e-5)
+
+
 def test_network_gradient_equals_differences():
     rng = np.random.default_rng(1)
     x, y = rng.integers(97, 123, (6, langid.WINDOW)).astype(np.uint8), np.array([0, 1, 0, 1, 1, 0])
