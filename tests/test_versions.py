@@ -51,7 +51,7 @@ def test_as_of_of_empty_tables_and_clashing_names(spark):
     assert versions.as_of_join(facts.limit(0), held, ["key"], "at", values=["other"]).count() == 0
 
 
-def test_a_crowded_stretch_is_dealt_out_and_facts_are_shuffled_once(spark, monkeypatch, executed_plans):
+def test_a_crowded_stretch_is_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(versions, "SHARE", 1 / 8)
     facts = spark.range(4000).select(F.lit("k").alias("key"), F.lit(10).cast("long").alias("at"), "id").repartition(4)
     held = spark.createDataFrame([("k", 3, "u"), ("k", 10, "v")], "key string, valid_from long, user string")
