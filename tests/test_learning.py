@@ -184,3 +184,22 @@ def test_als(spark):
     assert all([r.item for r in sorted((t for t in tops if t.user == u), key=lambda t: t["rank"])] == own[u] for u in (1, 2))
     by_rank = sorted((r for r in tops if r.user == 1), key=lambda r: r["rank"])
     assert [r.score for r in by_rank] == sorted((r.score for r in by_rank), reverse=True)
+
+
+def test_bands_and_slabs_equal_brute_force_and_ties_go_by_id(spark):
+    rng = np.random.default_rng(8)
+    made = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(120)] + [(5, [1.0] * 4), (None, [2.0] * 4)]
+    side = spark.createDataFrame(made, "id bigint, vector array<double>")
+    got = recommend.top_products(side, side, 3, 8, band_bytes=4096).collect()
+    low = -1  # a null id comes first
+    for user in {u for u, _ in made}:
+        pairs = [(-float(np.dot(v, w)), low if i is None else i) for u, v in made if u == user for i, w in made]
+        mine = [low if r.item is None else r.item for r in sorted((r for r in got if r.user == user), key=lambda r: r["rank"])]
+        assert mine == [i for _, i in sorted(pairs)[:3]]
+
+
+def test_a_band_meets_an_item_once(spark, executed_plans):
+    made = [(i, [float(np.cos(i)), float(np.sin(i))]) for i in range(64)]
+    side = spark.createDataFrame(made, "id bigint, vector array<double>")
+    plans = executed_plans(lambda: recommend.top_products(side, side, 2, 8).collect())
+    assert any("MapInArrow" in plan for plan in plans) and not any("FlatMapCoGroups" in plan for plan in plans)
