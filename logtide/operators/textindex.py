@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 from .lookups import lookup_join
-from .textsim import document_lengths, term_frequency
+from .textsim import counts_with_totals, document_lengths
 
 BUCKETS = 64
 BLOCK_DOCS = 4096
@@ -64,8 +64,8 @@ def append_documents(
 ) -> None:
     """Index the new names among (name, words) as batch number ``batch``.
 
-    The first batch sets the number of buckets for all. Counts meet lengths by name, then
-    postings are gathered by (term, block): two shuffles of (name, term) rows and the sorted write.
+    The first batch sets the number of buckets for all. Texts are shuffled by name and counted, then
+    postings are gathered by (term, block): one shuffle of (name, term) rows and the sorted write.
     """
     spark = docs.sparkSession
     settled = _committed(spark, root, "batches").agg(F.max("buckets")).first()[0]
@@ -76,7 +76,7 @@ def append_documents(
     lengths = write_through(document_lengths(fresh), "lengths")
     total = lengths.count()
     blocks = max(1, -(-total // block_docs))
-    counted = lookup_join(term_frequency(fresh).where(F.col("term").isNotNull()), lengths, ["name"], "inner")
+    counted = counts_with_totals(fresh).where(F.col("term").isNotNull())
     tf = F.sqrt(F.col("cnt") / F.col("total"))
     placed = counted.select("term", "name", tf.alias("tf"), F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
     postings = placed.groupBy("term", "block").agg(

@@ -8,7 +8,7 @@ divides as real numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_through
@@ -19,8 +19,11 @@ from .numbering import dense_index
 def term_frequency(docs: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """name, term, cnt: how often each word occurs in each document.
 
-    With ``only`` (one row per ``term``) other words are left out before the count.
+    With ``only`` (one row per ``term``) other words are left out before the count. Without it the texts are
+    shuffled by name, not their words: a row per word takes several times the room of the word.
     """
+    if only is None:
+        docs = docs.select("name", "words").repartition("name")
     words = docs.select("name", F.explode("words").alias("term"))
     if only is not None:
         words = _only_terms(words, only)
@@ -70,6 +73,11 @@ def document_lengths(docs: DataFrame) -> DataFrame:
     return docs.groupBy("name").agg(F.sum(F.size("words")).cast("bigint").alias("total"))
 
 
+def counts_with_totals(docs: DataFrame) -> DataFrame:
+    """name, term, cnt, total: :func:`term_frequency` and the words of the document, where the counts lie."""
+    return term_frequency(docs).withColumn("total", F.sum("cnt").over(Window.partitionBy("name")))
+
+
 def tf_weight(
     docs: DataFrame, compat: bool = False, frequencies: DataFrame | None = None,
     lengths: DataFrame | None = None,
@@ -78,12 +86,18 @@ def tf_weight(
 
     Pass ``frequencies`` and ``lengths`` (name, total) where they have been computed already.
     """
+    if frequencies is None and lengths is None:
+        return _weights(counts_with_totals(docs), compat)
     counts = term_frequency(docs) if frequencies is None else frequencies
     if lengths is None:
         lengths = document_lengths(docs)
-    joined = lookup_join(counts, lengths, ["name"], "inner")
+    return _weights(lookup_join(counts, lengths, ["name"], "inner"), compat)
+
+
+def _weights(joined: DataFrame, compat: bool) -> DataFrame:
     weight = F.sqrt(_ratio(F.col("cnt"), F.col("total"), compat))
-    return joined.select("name", "term", "cnt", "total", weight.alias("tf"))
+    named = joined.where(F.col("name").isNotNull())
+    return named.select("name", "term", "cnt", "total", weight.alias("tf"))
 
 
 def vocabulary(
@@ -91,7 +105,7 @@ def vocabulary(
 ) -> DataFrame:
     """term, term_id (contiguous, by term), df, idf."""
     counts = term_frequency(docs) if frequencies is None else frequencies
-    return dense_index(idf(docs, counts, compat), ["term"], "term_id")
+    return dense_index(write_through(idf(docs, counts, compat), "terms"), ["term"], "term_id")
 
 
 def tfidf_vectors(
@@ -108,16 +122,16 @@ def tfidf_vectors(
     to weigh new documents by earlier ones; ``only`` then limits the vectors to
     some terms, as a query needs them.
     """
-    lengths = None
     if terms is None:
-        counts = write_through(term_frequency(docs), "word-counts")
-        lengths = write_through(counts.groupBy("name").agg(F.sum("cnt").alias("total")), "lengths")
-        terms = dense_index(write_through(_weighed(counts, lengths.count(), compat), "terms"), ["term"], "term_id")
+        counts = write_through(counts_with_totals(docs), "word-counts")
+        documents = counts.select("name").distinct().count()
+        terms = dense_index(write_through(_weighed(counts, documents, compat), "terms"), ["term"], "term_id")
+        weights = _weights(counts, compat)
     else:
-        counts = term_frequency(docs, only)
+        weights = tf_weight(docs, compat, term_frequency(docs, only))
         if only is not None:
             terms = _only_terms(terms, only)
-    weighted = term_lookup(tf_weight(docs, compat, counts, lengths), terms.select("term", "term_id", "idf"))
+    weighted = term_lookup(weights, terms.select("term", "term_id", "idf"))
     return weighted.select("name", "term_id", "term", "tf", "idf")
 
 

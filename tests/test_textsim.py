@@ -135,3 +135,12 @@ def test_an_empty_index_finds_nothing(spark, index, many):
     assert textindex.search(spark, index, query, 5).count() == 0
     textindex.append_documents(many.limit(0), index, 0)
     assert textindex.search(spark, index, query, 5).count() == 0
+
+
+def test_texts_are_shuffled_once_and_words_not(spark, plan_of):
+    docs = spark.createDataFrame([("a", ["x", "y", "x"]), ("a", ["y"]), ("b", []), ("c", ["", None])], "name string, words array<string>")
+    weights = textsim.tf_weight(docs)
+    got = {(r.name, r.term): (r.cnt, r.total) for r in weights.collect()}
+    assert got == {("a", "x"): (2, 4), ("a", "y"): (2, 4), ("c", ""): (1, 2), ("c", None): (1, 2)}
+    plan = plan_of(textsim.tf_weight(docs))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
