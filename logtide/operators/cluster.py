@@ -14,6 +14,7 @@ from ..session import write_through
 
 ROUNDS = 2  # sampling passes of the seeding
 _CHUNK = 1 << 21  # distances held at once
+_FEW = 64  # numbers in the centres, up to which distances are taken column by column
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,22 @@ def _batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np
 
 def _near(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centre of each point and the squared distance to it."""
+    if centres.size <= _FEW:
+        # Centre by centre and axis by axis: whole columns, nothing per point.
+        axes = np.ascontiguousarray(points.T)
+        near, least = np.zeros(len(points), np.int64), None
+        for c, centre in enumerate(centres):
+            square = np.zeros(len(points))
+            for x, at in zip(axes, centre):
+                gap = x - at
+                gap *= gap
+                square += gap
+            if least is None:
+                least = square
+            else:
+                near[square < least] = c
+                np.minimum(least, square, out=least)
+        return near, least
     products = points @ centres.T
     near = ((centres * centres).sum(axis=1)[None, :] - 2 * products).argmin(axis=1)
     return near, ((points - centres[near]) ** 2).sum(axis=1)
@@ -65,10 +82,11 @@ def _sums(points: DataFrame, runs: list[np.ndarray], width: int) -> tuple[list[n
         # Columns: the sum of the points, their number, their cost.
         sums = [np.zeros((len(c), width + 2)) for c in runs]
         for _, some in _batches(batches, width):
+            axes = np.ascontiguousarray(some.T)
             for total, centres in zip(sums, runs):
                 near, cost = _near(some, centres)
                 for j in range(width):
-                    total[:, j] += np.bincount(near, some[:, j], len(centres))
+                    total[:, j] += np.bincount(near, axes[j], len(centres))
                 total[:, width] += np.bincount(near, minlength=len(centres))
                 total[:, width + 1] += np.bincount(near, cost, len(centres))
         rows = [(r, c, j, x) for r, total in enumerate(sums) for c, row in enumerate(total) if row[width] for j, x in enumerate(row)]

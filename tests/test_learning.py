@@ -203,3 +203,15 @@ def test_a_band_meets_an_item_once(spark, executed_plans):
     side = spark.createDataFrame(made, "id bigint, vector array<double>")
     plans = executed_plans(lambda: recommend.top_products(side, side, 2, 8).collect())
     assert any("MapInArrow" in plan for plan in plans) and not any("FlatMapCoGroups" in plan for plan in plans)
+
+
+def test_near_centres_of_few_and_many_axes():
+    rng = np.random.default_rng(2)
+    for width in (2, 40):
+        points, centres = rng.normal(size=(200, width)), rng.normal(size=(5, width))
+        square = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
+        near, cost = cluster._near(points, centres)
+        assert (near == square.argmin(axis=1)).all() and np.allclose(cost, square.min(axis=1))
+    # Columns keep the distance of near points that lie far out; products lose it.
+    far = np.array([[1e9, 1e9]])
+    assert cluster._near(far, np.array([[1e9 + 1, 1e9], [1e9, 1e9 + 0.25]]))[0].tolist() == [1]
