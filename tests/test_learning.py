@@ -186,6 +186,14 @@ def test_als(spark):
     assert [r.score for r in by_rank] == sorted((r.score for r in by_rank), reverse=True)
 
 
+def test_als_blocks_go_by_the_ratings(spark, monkeypatch):
+    ratings = spark.createDataFrame([(u, i, float(u % 3 + i % 2)) for u in range(20) for i in range(10)], "user int, item int, rate double")
+    train = lambda: recommend.als_train(ratings, rank=2, max_iter=1)
+    assert {side.rdd.getNumPartitions() for side in (train().userFactors, train().itemFactors)} == {recommend.LEAST_BLOCKS}
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 45)
+    assert train().userFactors.rdd.getNumPartitions() == 5
+
+
 def test_bands_and_slabs_equal_brute_force_and_ties_go_by_id(spark):
     rng = np.random.default_rng(8)
     made = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(120)] + [(5, [1.0] * 4), (None, [2.0] * 4)]
