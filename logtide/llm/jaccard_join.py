@@ -269,11 +269,12 @@ def likely_edges(members: DataFrame, threshold: float) -> DataFrame:
 
 def candidate_edges(classes: DataFrame, depth: int, threshold: float) -> DataFrame:
     """a, b: edges over which all classes are connected that share a prefix and may be linked."""
-    prefixes = classes.select("key", F.explode(prefixes_of(depth)).alias("prefix"))
+    # Dealt once: the count of a prefix and its join both read this exchange, as they are in one plan.
+    prefixes = classes.select("key", F.explode(prefixes_of(depth)).alias("prefix")).repartition("prefix")
     hubs = prefixes.groupBy("prefix").agg(
         F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("print")).filter("n > 1")
     # Near copies share most of their prefixes: the same classes are met once, not once per tree.
-    once = write_through(hubs.groupBy("hub", "n", "print").agg(F.min("prefix").alias("prefix")), "hubs")
+    once = hubs.groupBy("hub", "n", "print").agg(F.min("prefix").alias("prefix"))
     shared = write_through(prefixes.join(once.select("prefix", "hub", "n"), "prefix"), "shared")
     few = shared.filter(F.col("n") <= SMALL).select("prefix", "key").join(classes.select("key", "size", "sketch"), "key")
     members = few.groupBy("prefix").agg(F.collect_list(F.struct("key", "size", "sketch")).alias("members"))

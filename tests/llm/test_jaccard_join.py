@@ -171,3 +171,11 @@ def test_edges_shrink_with_every_round(spark, monkeypatch):
     jaccard_join.components(spark.createDataFrame(edges, "a int, b int")).count()
     left = [n for name, n in sizes if name == "edges"]
     assert left == sorted(left, reverse=True) and left[-1] == 0 and max(n for _, n in sizes) <= len(edges)
+
+
+def test_prefixes_are_dealt_once(spark, documents, executed_plans):
+    signed = jaccard_join.signed(documents(*near_copies(5)), jaccard_join.QuerySet([], 0.8)).filter("size > 0")
+    classes = jaccard_join.write_through(signed.dropDuplicates(["key"]), "classes")
+    plans = executed_plans(lambda: jaccard_join.candidate_edges(classes, 5, 0.8).collect())
+    trees = [p.split("== Final Plan ==")[1].split("== Initial Plan ==")[0] for p in plans if "Generate (" in p and "WriteFiles" in p]
+    assert [tree.count("Generate (") for tree in trees] == [1] and "ReusedExchange" in trees[0]
