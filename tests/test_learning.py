@@ -194,6 +194,23 @@ def test_als_blocks_go_by_the_ratings(spark, monkeypatch):
     assert train().userFactors.rdd.getNumPartitions() == 5
 
 
+def test_predictions_equal_those_of_the_model_and_pairs_carry_no_factors(spark, monkeypatch, executed_plans):
+    ratings = spark.createDataFrame([(u * 7 - 30, i * 5, float((u * i) % 5)) for u in range(40) for i in range(30) if (u + i) % 4], "user int, item int, rate double")
+    model = recommend.als_train(ratings, rank=7, max_iter=2)
+    pairs = ratings.select("user", "item").unionAll(ratings.select(F.col("user") + 1, "item")).unionAll(ratings.select("user", "item").limit(9))
+    pairs = pairs.unionAll(spark.createDataFrame([(5, 2**31 - 1), (-(2**31), 0)], "user int, item int")).repartition(3)
+    own = sorted((r.user, r.item, r.prediction) for r in model.transform(pairs).collect())
+    for most in (recommend.PART_FACTORS, 5):
+        monkeypatch.setattr(recommend, "PART_FACTORS", most)
+        got = recommend.als_predict(model, pairs)
+        assert got.dtypes == [("user", "int"), ("item", "int"), ("pred", "double")]
+        found = sorted(map(tuple, got.collect()))
+        assert [r[:2] for r in found] == [r[:2] for r in own] and np.allclose([r[2] for r in found], [r[2] for r in own], rtol=1e-5, atol=1e-6)
+    plans = executed_plans(lambda: recommend.als_predict(model, pairs).collect())
+    assert any("MapInArrow" in plan for plan in plans) and not any("SortMergeJoin" in plan or "HashJoin" in plan for plan in plans)
+    assert recommend.als_predict(model, pairs.limit(0)).count() == 0
+
+
 def test_bands_and_slabs_equal_brute_force_and_ties_go_by_id(spark):
     rng = np.random.default_rng(8)
     made = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(120)] + [(5, [1.0] * 4), (None, [2.0] * 4)]
