@@ -83,3 +83,42 @@ def test_a_block_is_a_task_of_bounded_ratings(spark):
             recommend.als_train(odd, rank=2, max_iter=1)
     with pytest.raises(ValueError, match="no ratings"):
         recommend.als_train(df.limit(0), rank=2, max_iter=1)
+
+
+def test_the_error_in_cells_equals_that_of_the_joined_predictions(spark, ratings, monkeypatch, executed_plans):
+    from logtide.operators.ratings import prediction_error
+
+    rated = [*ratings, *ratings[:9], (7, 3, None), (7, 3, 1.0), (7, 14, None), (99, 3, 1.0), (7, 99, 1.0), (None, 3, 1.0), (7, None, 1.0)]
+    model = recommend.als_train(spark.createDataFrame(ratings, "user int, item int, rate double"), rank=RANK, max_iter=1)
+    for kind in ("int", "bigint"):
+        df = spark.createDataFrame(rated, f"user {kind}, item {kind}, rate double").repartition(5)
+        want, got = (prediction_error(df, recommend.als_predict(model, df)), recommend.als_evaluate(model, df))
+        assert got.dtypes == want.dtypes
+        want, got = want.first(), got.first()
+        assert got.pairs == want.pairs and got.mse == pytest.approx(want.mse, rel=1e-9)
+    assert tuple(recommend.als_evaluate(model, df.where("user = 99")).first()) == (0, None)
+    plans = executed_plans(lambda: recommend.als_evaluate(model, df).collect())
+    assert not any("SortMergeJoin" in plan or "HashJoin" in plan for plan in plans)
+
+
+def test_ratings_of_a_cell_fold_as_they_come(monkeypatch):
+    rng = np.random.default_rng(3)
+    users, items, rates = rng.integers(0, 4, 200).astype("i4"), rng.integers(0, 4, 200).astype("i4"), rng.integers(0, 3, 200) * 1.0
+    table = pa.RecordBatch.from_arrays([pa.array(users), pa.array(items), pa.array(rates), pa.array(np.ones(200, "i4"))], ["user", "item", "rate", "known"])
+
+    class Frame:  # runs the function of mapInArrow here
+        def mapInArrow(self, function, _):
+            return list(function(iter([table.slice(i, 20) for i in range(0, 200, 20)])))
+
+    monkeypatch.setattr(recommend, "PACK_PAIRS", 40)
+    factors = [(np.arange(4, dtype="<i4").tobytes(), rng.normal(size=(4, 2)).astype("<f4").tobytes()) for _ in range(2)]
+    sums = []
+    for most in (30, 10**6):
+        monkeypatch.setattr(recommend, "FOLD_PAIRS", most)
+        packs = [recommend._packed([0], kind, [f[0]], [f[1]]) for kind, f in enumerate(factors)] + recommend._packed_ratings(Frame(), 1)
+        sums.append([tuple(b.to_pylist()[0].values()) for b in recommend._error_cells(2)(iter(packs))])
+    vectors = [np.frombuffer(f[1], "<f4").reshape(4, 2) for f in factors]
+    score = (vectors[0][users] * vectors[1][items]).sum(axis=1, dtype=np.float32)
+    rows = np.array([((users == u) & (items == i)).sum() for u, i in zip(users, items)])
+    assert [s[0] for x in sums for s in x] == [rows.sum()] * 2
+    assert np.allclose([s[1] for x in sums for s in x], (rows * (rates - score) ** 2).sum(), rtol=1e-5)
