@@ -83,3 +83,12 @@ def test_cosine(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<float>, b array<float>")
     got = [r[0] for r in df.select(vectors.cosine_similarity("a", "b")).collect()]
     assert abs(got[0] - 0.96) < 1e-12 and got[1] is None
+
+
+def test_delimiters_at_the_end_are_cut_as_by_the_pattern_and_others_not_searched(spark, plan_of):
+    ends = ["", "\n", "\r\n", "\r", "\u0085", " ", " ", "\n\n", " "]
+    made = [(head + mark * n + end,) for head in ("", "a", "a::b", ":", "é::") for mark in ("::", ":") for n in range(4) for end in ends] + [(None,)]
+    df = spark.createDataFrame(made, "t string")
+    both = df.select(text.trim_end("t", "::").alias("got"), F.regexp_replace("t", "(?:::)+$", "").alias("want"))
+    assert both.where(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+    assert "EndsWith(" in plan_of(df.select(text.split_trimmed("t", "::")))
